@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnLike = Column | str | float | int
@@ -183,59 +183,73 @@ def _radii(lat):
     return nu, rho, nu / rho - 1
 
 
-def wgs84_to_bng(lat: ColumnLike, lon: ColumnLike) -> tuple[Column, Column]:
-    """(easting, northing) by Helmert shift and Transverse Mercator series; metre-level."""
-    xyz = _to_cartesian(F.radians(as_col(lat)), F.radians(as_col(lon)), WGS84)
-    phi, lam = _to_geodetic(*_helmert(*xyz, inverse=False), AIRY)
-    nu, rho, eta2 = _radii(phi)
-    s, c, t = F.sin(phi), F.cos(phi), F.tan(phi)
-    t2, t4 = t * t, t * t * t * t
-    c3, c5 = c * c * c, c * c * c * c * c
-    d = lam - BNG_TRUE_ORIGIN[1]
-    d2 = d * d
-    northing = (
-        _meridian_arc(phi)
-        + BNG_FALSE_ORIGIN[1]
-        + d2 * (nu / 2) * s * c
-        + d2 * d2 * (nu / 24) * s * c3 * (5 - t2 + 9 * eta2)
-        + d2 * d2 * d2 * (nu / 720) * s * c5 * (61 - 58 * t2 + t4)
-    )
-    easting = (
-        BNG_FALSE_ORIGIN[0]
-        + d * nu * c
-        + d * d2 * (nu / 6) * c3 * (nu / rho - t2)
-        + d * d2 * d2 * (nu / 120) * c5 * (5 - 18 * t2 + t4 + 14 * eta2 - 58 * t2 * eta2)
-    )
-    return easting, northing
-
-
-def bng_to_wgs84(x: ColumnLike, y: ColumnLike, rounds: int = 4) -> tuple[Column, Column]:
-    """F13 inverse: (lat, lon) in degrees. ``rounds`` foot-point steps reach well below 1 mm."""
-    east, north = as_col(x), as_col(y)
-    a = AIRY[0]
-    foot = (north - BNG_FALSE_ORIGIN[1]) / (a * BNG_SCALE) + BNG_TRUE_ORIGIN[0]
-    for _ in range(rounds):
-        foot = foot + (north - BNG_FALSE_ORIGIN[1] - _meridian_arc(foot)) / (a * BNG_SCALE)
-    nu, rho, eta2 = _radii(foot)
-    t = F.tan(foot)
-    t2, t4, t6 = t * t, t * t * t * t, t * t * t * t * t * t
-    sec = 1 / F.cos(foot)
-    d = east - BNG_FALSE_ORIGIN[0]
-    d2 = d * d
-    phi = (
-        foot
-        - d2 * t / (2 * rho * nu)
-        + d2 * d2 * t / (24 * rho * nu * nu * nu) * (5 + 3 * t2 + eta2 - 9 * t2 * eta2)
-        - d2 * d2 * d2 * t / (720 * rho * nu * nu * nu * nu * nu) * (61 + 90 * t2 + 45 * t4)
-    )
-    lam = (
-        BNG_TRUE_ORIGIN[1]
-        + d * sec / nu
-        - d * d2 * sec / (6 * nu * nu * nu) * (nu / rho + 2 * t2)
-        + d * d2 * d2 * sec / (120 * nu * nu * nu * nu * nu) * (5 + 28 * t2 + 24 * t4)
-        - d * d2 * d2 * d2 * sec / (5040 * nu * nu * nu * nu * nu * nu * nu)
-        * (61 + 662 * t2 + 1320 * t4 + 720 * t6)
-    )
-    xyz = _helmert(*_to_cartesian(phi, lam, AIRY), inverse=True)
-    lat, lon = _to_geodetic(*xyz, WGS84)
-    return F.degrees(lat), F.degrees(lon)
+def _staged(df: DataFrame, stages: list[dict[str, Column]], keep: list[str]) -> DataFrame:
+    """Add columns stage by stage, so that each intermediate is computed once, then drop them."""
+    start = df.columns
+    for stage in stages:
+        df = df.withColumns(stage)
+    return df.select(*[c for c in start if c not in keep], *keep)
+
+
+def _c(*names: str) -> tuple[Column, ...]:
+    return tuple(F.col(f"__g_{n}") for n in names)
+
+
+def _stage(**cols: Column) -> dict[str, Column]:
+    return {f"__g_{n}": c for n, c in cols.items()}
+
+
+def wgs84_to_bng(df: DataFrame, lat: str = "lat", lon: str = "lon",
+                 names: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """add easting and northing by Helmert shift and Transverse Mercator series; metre-level."""
+    x, y, z = _c("x", "y", "z")
+    u, v, w = _c("u", "v", "w")
+    phi, lam, nu, rho, eta2, d = _c("phi", "lam", "nu", "rho", "eta2", "d")
+    s, c, t2, d2 = _c("s", "c", "t2", "d2")
+    c3, c5, t4 = c * c * c, c * c * c * c * c, t2 * t2
+    stages = [
+        _stage(**dict(zip("xyz", _to_cartesian(F.radians(lat), F.radians(lon), WGS84)))),
+        _stage(**dict(zip("uvw", _helmert(x, y, z, inverse=False)))),
+        _stage(**dict(zip(("phi", "lam"), _to_geodetic(u, v, w, AIRY)))),
+        _stage(**dict(zip(("nu", "rho", "eta2"), _radii(phi))), s=F.sin(phi), c=F.cos(phi),
+               t2=F.tan(phi) * F.tan(phi), d=lam - BNG_TRUE_ORIGIN[1]),
+        _stage(d2=d * d, m=_meridian_arc(phi)),
+        {
+            names[0]: BNG_FALSE_ORIGIN[0] + d * nu * c + d * d2 * (nu / 6) * c3 * (nu / rho - t2)
+            + d * d2 * d2 * (nu / 120) * c5 * (5 - 18 * t2 + t4 + 14 * eta2 - 58 * t2 * eta2),
+            names[1]: F.col("__g_m") + BNG_FALSE_ORIGIN[1] + d2 * (nu / 2) * s * c
+            + d2 * d2 * (nu / 24) * s * c3 * (5 - t2 + 9 * eta2)
+            + d2 * d2 * d2 * (nu / 720) * s * c5 * (61 - 58 * t2 + t4),
+        },
+    ]
+    return _staged(df, stages, list(names))
+
+
+def bng_to_wgs84(df: DataFrame, x: str = "x", y: str = "y", names: tuple[str, str] = ("lat", "lon"),
+                 rounds: int = 4) -> DataFrame:
+    """F13 inverse: add latitude and longitude; ``rounds`` foot-point steps reach below 1 mm."""
+    east, north = F.col(x), F.col(y)
+    scale = AIRY[0] * BNG_SCALE
+    foot, nu, rho, eta2, t, t2, sec, d, d2 = _c("foot", "nu", "rho", "eta2", "t", "t2", "sec", "d", "d2")
+    phi, lam = _c("phi", "lam")
+    t4, t6, nu3 = t2 * t2, t2 * t2 * t2, nu * nu * nu
+    stages = [_stage(foot=(north - BNG_FALSE_ORIGIN[1]) / scale + BNG_TRUE_ORIGIN[0])]
+    stages += [_stage(foot=foot + (north - BNG_FALSE_ORIGIN[1] - _meridian_arc(foot)) / scale)] * rounds
+    stages += [
+        _stage(**dict(zip(("nu", "rho", "eta2"), _radii(foot))), t=F.tan(foot), t2=F.tan(foot) * F.tan(foot),
+               sec=1 / F.cos(foot), d=east - BNG_FALSE_ORIGIN[0]),
+        _stage(d2=d * d),
+        _stage(
+            phi=foot - d2 * t / (2 * rho * nu)
+            + d2 * d2 * t / (24 * rho * nu3) * (5 + 3 * t2 + eta2 - 9 * t2 * eta2)
+            - d2 * d2 * d2 * t / (720 * rho * nu3 * nu * nu) * (61 + 90 * t2 + 45 * t4),
+            lam=BNG_TRUE_ORIGIN[1] + d * sec / nu - d * d2 * sec / (6 * nu3) * (nu / rho + 2 * t2)
+            + d * d2 * d2 * sec / (120 * nu3 * nu * nu) * (5 + 28 * t2 + 24 * t4)
+            - d * d2 * d2 * d2 * sec / (5040 * nu3 * nu3 * nu) * (61 + 662 * t2 + 1320 * t4 + 720 * t6),
+        ),
+        _stage(**dict(zip("xyz", _to_cartesian(phi, lam, AIRY)))),
+        _stage(**dict(zip("uvw", _helmert(*_c("x", "y", "z"), inverse=True)))),
+        _stage(**dict(zip(("phi", "lam"), _to_geodetic(*_c("u", "v", "w"), WGS84)))),
+        {names[0]: F.degrees(phi), names[1]: F.degrees(lam)},
+    ]
+    return _staged(df, stages, list(names))

@@ -47,21 +47,31 @@ def lerp(a, b, alpha) -> Column:
     return a * (1 - alpha) + b * alpha
 
 
-def slerp(q0, q1, alpha) -> tuple[Column, Column, Column, Column]:
-    """shortest-path spherical interpolation, linear for nearly equal inputs, unit length."""
-    q0, q1, alpha = [as_col(c) for c in q0], [as_col(c) for c in q1], as_col(alpha)
+def slerp_weights(q0, q1, alpha) -> tuple[Column, Column]:
+    """Weights of both quaternions on the shortest path; linear for nearly equal inputs."""
+    alpha = as_col(alpha)
     raw = quat_dot(q0, q1)
     sign = F.when(raw < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    dot = F.abs(raw)
-    theta = F.acos(F.least(dot, F.lit(1.0)))
-    near = dot > LERP_ABOVE
+    theta = F.acos(F.least(F.abs(raw), F.lit(1.0)))
+    near = F.abs(raw) > LERP_ABOVE
     w0 = F.when(near, 1 - alpha).otherwise(F.sin((1 - alpha) * theta) / F.sin(theta))
     w1 = F.when(near, alpha).otherwise(F.sin(alpha * theta) / F.sin(theta)) * sign
-    mixed = [w0 * a + w1 * b for a, b in zip(q0, q1)]
+    return w0, w1
+
+
+def blend(q0, q1, w0, w1) -> tuple[Column, Column, Column, Column]:
+    """Weighted sum of two quaternions, scaled to unit length."""
+    w0, w1 = as_col(w0), as_col(w1)
+    mixed = [w0 * as_col(a) + w1 * as_col(b) for a, b in zip(q0, q1)]
     norm = F.sqrt(sum((m * m for m in mixed[1:]), mixed[0] * mixed[0]))
     return tuple(m / norm for m in mixed)
 
 
+def slerp(q0, q1, alpha) -> tuple[Column, Column, Column, Column]:
+    """shortest-path spherical interpolation of unit quaternions."""
+    return blend(q0, q1, *slerp_weights(q0, q1, alpha))
+
+
 def quat_to_rot(q) -> tuple[Column, ...]:
     """F8: nine rotation entries in row order."""
     x, y, z, w = map(as_col, q)

@@ -6,13 +6,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import sector_of, zone_of
 from kerbline.operators.points import _finite
 from kerbline.operators.windows import top_k
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _plane_normal(moments: pd.Series) -> pd.Series:
     """Upward normal of the best plane from six covariances; one 3x3 matrix per row."""
     m = np.stack([np.asarray(v, float) for v in moments])

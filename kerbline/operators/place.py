@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from kerbline.functions.labels import ring_of, sector_of
 from kerbline.operators.skew import hot_key_join
@@ -45,7 +46,7 @@ def ring_key(descriptor: str | Column) -> Column:
     return F.transform(descriptor, _mean)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def descriptor_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """Least distance over all sector shifts, divided by the number of cells.
 

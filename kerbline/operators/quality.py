@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import motion_class
 from kerbline.functions.pose import compose_t, invert_t, pose_t
@@ -197,7 +198,7 @@ def rpe(pairs: DataFrame, by: list[str], delta: float = 1.0, time: str = "t_ns",
 ALIGN_FIELDS = [f"r{i}" for i in range(9)] + ["tx", "ty", "tz"]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _rigid_fit(moments: pd.Series) -> pd.Series:
     """Rotation and shift from centroids and cross-covariance, one small matrix per row."""
     out = []

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.functions.pose import compose_t, invert_t, lerp, pose_t, slerp
+from kerbline.functions.pose import blend, compose_t, invert_t, lerp, pose_t, slerp_weights
 from kerbline.operators.ordered import DEFAULT_CHUNK_NS, last_known, running_max_before
 
 SIDE, TIE = "__side", "__tie"
@@ -162,7 +162,10 @@ def interpolate_poses(left: DataFrame, poses: DataFrame, by: list[str], time: st
     rows = rows.withColumn("__f", first).withColumn("__s", second)
     f, s, a = F.col("__f"), F.col("__s"), F.col("__a")
     spot = [lerp(f[c], s[c], a).alias(prefix + c) for c in POSE[:3]]
-    turn = slerp([f[c] for c in POSE[3:]], [s[c] for c in POSE[3:]], a)
+    q0, q1 = [f[c] for c in POSE[3:]], [s[c] for c in POSE[3:]]
+    w0, w1 = slerp_weights(q0, q1, a)
+    rows = rows.withColumns({"__w0": w0, "__w1": w1})  # computed once, used eight times
+    turn = blend(q0, q1, "__w0", "__w1")
     return rows.select(*left.columns, *spot, *[q.alias(prefix + c) for q, c in zip(turn, POSE[3:])])
 
 

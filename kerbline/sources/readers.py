@@ -10,7 +10,7 @@ from kerbline.functions.pose import rot_to_quat
 
 MESSAGES = "topic STRING, log_time_ns LONG, publish_time_ns LONG, seq LONG, payload BINARY"
 TRAJECTORY = "t DOUBLE, x DOUBLE, y DOUBLE, z DOUBLE, qx DOUBLE, qy DOUBLE, qz DOUBLE, qw DOUBLE"
-SIDECAR = T.StructType.fromDDL(
+SIDECAR = (
     "timestamp_ns LONG, gps STRUCT<lat: DOUBLE, lon: DOUBLE>, bng STRUCT<x: DOUBLE, y: DOUBLE>, "
     "heading_deg DOUBLE, heading_source STRING, camera STRING, rig_id STRING, gnss_fix_status INT, "
     "min_temp_c DOUBLE, max_temp_c DOUBLE, mean_temp_c DOUBLE, radiometric STRING"
