@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import motion_class
-from kerbline.functions.pose import compose_t, invert_t, pose_t
+from kerbline.functions.pose import quat_cols, quat_to_rot, rotate, transpose
 from kerbline.operators.ordered import DEFAULT_CHUNK_NS, neighbour
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.windows import circular_from_means, cumulative_distance, step_deltas
@@ -188,10 +188,12 @@ def rpe(pairs: DataFrame, by: list[str], delta: float = 1.0, time: str = "t_ns",
     marks = marks.select(*by, time, F.col("__p.*"))
     cols = {f"o_{c}": F.col(c) for c in (*pose, *[f"{b}{c}" for c in pose])}
     legs = neighbour(marks, by, [time], cols, chunk).filter(F.col("o_x").isNotNull())
-    want = compose_t(invert_t(pose_t("o_")), pose_t(""))
-    got = compose_t(invert_t(pose_t(f"o_{b}")), pose_t(b))
-    _, shift = compose_t(invert_t(want), got)
-    err = F.sqrt(shift[0] * shift[0] + shift[1] * shift[1] + shift[2] * shift[2])
+    # |want^-1 got| equals the distance of the two steps seen from their own start poses
+    moved = [rotate(transpose(quat_to_rot(quat_cols(f"o_{p}"))),
+                    [F.col(f"{p}{c}") - F.col(f"o_{p}{c}") for c in "xyz"]) for p in ("", b)]
+    gaps = [g - w for w, g in zip(*moved)]
+    legs = legs.withColumns({f"__g{i}": g for i, g in enumerate(gaps)})
+    err = F.sqrt(sum((F.col(f"__g{i}") * F.col(f"__g{i}") for i in (1, 2)), F.col("__g0") * F.col("__g0")))
     return error_stats(legs.withColumn("__e", err), by, "__e")
 
 

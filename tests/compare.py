@@ -25,7 +25,7 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     cols = sorted(df.columns)
     out = []
     for record in df[cols].astype(object).itertuples(index=False):
-        out.append(tuple(None if v is None or v != v or v is pd.NA else v.item() if hasattr(v, "item") else v for v in record))
+        out.append(tuple(None if v is None or v is pd.NA or v != v else v.item() if hasattr(v, "item") else v for v in record))
     return sorted(out, key=lambda t: tuple((v is None, str(type(v)), v if v is not None else 0) for v in t))
 
 
