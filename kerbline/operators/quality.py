@@ -13,6 +13,7 @@ from kerbline.functions.pose import quat_cols, quat_to_rot, rotate, transpose
 from kerbline.operators.ordered import DEFAULT_CHUNK_NS, neighbour
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.windows import circular_from_means, cumulative_distance, step_deltas
+from kerbline.session import settle
 
 NS = 1_000_000_000
 GRAVITY = 9.80665
@@ -96,6 +97,7 @@ def pose_stats(poses: DataFrame, by: list[str], order: list[str],
     a group's speeds in one buffer.
     """
     steps = step_deltas(poses, by, order, rotation=True, chunk=chunk)
+    steps = settle(steps.select(*by, order[0], "x", "y", "z", "dt_s", "step_m", "speed_mps", "rot_rad"))
     t, zero = order[0], F.lit(0.0)
     span = (F.max(t) - F.min(t)) / NS
     stats = steps.groupBy(*by).agg(
@@ -165,6 +167,7 @@ def ate(pairs: DataFrame, by: list[str], a: str = "", b: str = "e_") -> DataFram
 
 def error_stats(rows: DataFrame, by: list[str], col: str) -> DataFrame:
     e = F.col(col)
+    rows = settle(rows.select(*by, col))
     stats = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("mean"),
         F.stddev_pop(e).alias("std"), F.min(e).alias("min"), F.max(e).alias("max"),
@@ -192,8 +195,7 @@ def rpe(pairs: DataFrame, by: list[str], delta: float = 1.0, time: str = "t_ns",
     moved = [rotate(transpose(quat_to_rot(quat_cols(f"o_{p}"))),
                     [F.col(f"{p}{c}") - F.col(f"o_{p}{c}") for c in "xyz"]) for p in ("", b)]
     gaps = [g - w for w, g in zip(*moved)]
-    legs = legs.withColumns({f"__g{i}": g for i, g in enumerate(gaps)})
-    err = F.sqrt(sum((F.col(f"__g{i}") * F.col(f"__g{i}") for i in (1, 2)), F.col("__g0") * F.col("__g0")))
+    err = F.hypot(F.hypot(gaps[0], gaps[1]), gaps[2])
     return error_stats(legs.withColumn("__e", err), by, "__e")
 
 

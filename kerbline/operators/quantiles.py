@@ -14,40 +14,38 @@ from pyspark.sql import functions as F
 
 V = "__v"
 RANK = "__rank"
+TOTAL = "__total"
 
 
 def _targets(df: DataFrame, by: list[str], bin_cols: list[str], wanted: DataFrame | None,
              qs: list[float]) -> DataFrame:
     """Bins that contain a wanted rank, with the number of rows before each bin."""
-    order = Window.partitionBy(*by, *bin_cols[:-1], RANK).orderBy(bin_cols[-1])
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = df.groupBy(*by, *bin_cols).agg(F.count(F.lit(1)).alias("__n"))
     if wanted is None:
-        totals = counts.groupBy(*by).agg(F.sum("__n").alias("__total"))
-        spots = F.array(*[
-            spot
-            for q in qs
-            for spot in (
-                F.floor(F.lit(q) * (F.col("__total") - 1)), F.ceil(F.lit(q) * (F.col("__total") - 1)),
-            )
-        ])
+        totals = counts.groupBy(*by).agg(F.sum("__n").alias(TOTAL))
+        last = F.col(TOTAL) - 1
+        spots = F.array(*[f(F.lit(q) * last) for q in qs for f in (F.floor, F.ceil)])
         wanted = totals.select(
-            *by, F.explode(F.array_distinct(spots)).alias(RANK), F.lit(0).cast("long").alias("__base")
+            *by, TOTAL, F.explode(F.array_distinct(spots)).alias(RANK), F.lit(0).cast("long").alias("__base")
         )
-    ranked = counts.join(wanted, [*by, *bin_cols[:-1]]) if by or bin_cols[:-1] else counts.crossJoin(wanted)
+    upper = [*by, *bin_cols[:-1]]
+    ranked = counts.join(wanted, upper) if upper else counts.crossJoin(F.broadcast(wanted))
+    order = Window.partitionBy(*upper, RANK).orderBy(bin_cols[-1])
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = ranked.withColumn("__start", F.col("__base") + F.sum("__n").over(upto) - F.col("__n"))
     hit = (F.col(RANK) >= F.col("__start")) & (F.col(RANK) < F.col("__start") + F.col("__n"))
-    return placed.filter(hit).select(*by, *bin_cols, RANK, F.col("__start").alias("__base"))
+    return placed.filter(hit).select(*by, TOTAL, *bin_cols, RANK, F.col("__start").alias("__base"))
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: Column, qs: dict[str, float],
                     bins_per_unit: int = 64, fan_out: int = 4096) -> DataFrame:
     """One row per group with linearly interpolated quantiles named by ``qs``.
 
-    Null, NaN and infinite values are left out. With no group columns the wanted ranks are a
-    handful of rows, so pairing them with the bins stays small.
+    Null, NaN and infinite values are left out. ``df`` is read three times, so it should be
+    a table or a settled result. With no group columns the wanted ranks are at most two rows
+    per quantile, so pairing them with the bins is bounded.
     """
-    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    finite = F.abs(value) < float("inf")  # NaN sorts above infinity, null gives null
     rows = df.filter(finite).select(*by, value.cast("double").alias(V))
     scaled = F.asinh(F.col(V)) * bins_per_unit
     binned = rows.select(
@@ -57,20 +55,16 @@ def exact_quantiles(df: DataFrame, by: list[str], value: Column, qs: dict[str, f
     )
     levels = list(qs.values())
     first = _targets(binned, by, ["__b1"], None, levels)
-    keys1 = first.select(*by, "__b1").distinct()
-    second = _targets(binned.join(keys1, [*by, "__b1"], "left_semi"), by, ["__b1", "__b2"], first, levels)
-    keys2 = second.select(*by, "__b1", "__b2").distinct()
-    third = _targets(
-        binned.join(keys2, [*by, "__b1", "__b2"], "left_semi"), by, ["__b1", "__b2", V], second, levels
-    )
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
-    picked = third.select(*by, RANK, V)
-    paired = picked.join(counts, by) if by else picked.crossJoin(counts)
+    keys1, keys2 = [*by, "__b1"], [*by, "__b1", "__b2"]
+    second = _targets(binned.join(first.select(*keys1).distinct(), keys1, "left_semi"), by, ["__b1", "__b2"],
+                      first, levels)
+    third = _targets(binned.join(second.select(*keys2).distinct(), keys2, "left_semi"), by, ["__b1", "__b2", V],
+                     second, levels)
 
     def at(q: float) -> Column:
-        spot = F.lit(q) * (F.first("__total") - 1)
-        low = F.max(F.when(F.col(RANK) == F.floor(F.lit(q) * (F.col("__total") - 1)), F.col(V)))
-        high = F.max(F.when(F.col(RANK) == F.ceil(F.lit(q) * (F.col("__total") - 1)), F.col(V)))
-        return low + (high - low) * (spot - F.floor(spot))
+        spot = F.lit(q) * (F.col(TOTAL) - 1)
+        low = F.max(F.when(F.col(RANK) == F.floor(spot), F.col(V)))
+        high = F.max(F.when(F.col(RANK) == F.ceil(spot), F.col(V)))
+        return low + (high - low) * F.max(spot - F.floor(spot))
 
-    return paired.groupBy(*by).agg(*[at(q).alias(n) for n, q in qs.items()])
+    return third.groupBy(*by).agg(*[at(q).alias(n) for n, q in qs.items()])

@@ -8,8 +8,8 @@ their past quickly, so a few rounds settle almost every chunk; the worst case (s
 never forgets) takes one short round per chunk and is still exact, with one chunk in a
 task's memory at any time. A last pass writes the rows.
 
-Only one row per chunk (key, chunk, entry, exit) travels between rounds. Those rows are
-checkpointed in the cluster's shared folder so that the plan does not grow.
+Only one row per chunk (key, chunk, entry, exit) travels between rounds. They are
+written to the cluster's shared checkpoint folder so that the plan does not grow.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from kerbline.operators.ordered import CHUNK, with_chunk
 from kerbline.operators.steps import Step
-from kerbline.session import ensure_checkpoint_dir
+from kerbline.session import settle
 
 DAY_NS = 86_400 * 1_000_000_000
 ENTRY, EXIT = "__entry", "__exit"
@@ -52,8 +52,6 @@ def _walk(step: Step, order: list[str], pdf: pd.DataFrame, entry: str | None, em
 def run_sequential(df: DataFrame, by: list[str], order: list[str], step: Step,
                    chunk: int = DAY_NS, max_rounds: int = 100_000) -> DataFrame:
     """Apply ``step`` to each key in ``order``; rows it emits keep their columns and gain its outputs."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = [*by, CHUNK]
     needed = list(dict.fromkeys([*order, *step.inputs]))
     data = with_chunk(df, order, chunk)
@@ -72,15 +70,15 @@ def run_sequential(df: DataFrame, by: list[str], order: list[str], step: Step,
         return rows.groupBy(*keys).applyInPandas(run, state_schema)
 
     before = Window.partitionBy(*by).orderBy(CHUNK)
-    known = exits(narrow.withColumn(ENTRY, F.lit(None).cast("string"))).checkpoint()
+    known = settle(exits(narrow.withColumn(ENTRY, F.lit(None).cast("string"))))
     for _ in range(max_rounds):
         wanted = known.withColumn("__want", F.lag(EXIT).over(before))
         stale = wanted.filter(~F.col("__want").eqNullSafe(F.col(ENTRY)))
-        stale = stale.select(*keys, F.col("__want").alias(ENTRY)).checkpoint()
+        stale = settle(stale.select(*keys, F.col("__want").alias(ENTRY)))
         if stale.isEmpty():
             break
         again = exits(narrow.join(stale, keys))
-        known = known.join(stale.select(*keys), keys, "left_anti").unionByName(again).checkpoint()
+        known = settle(known.join(stale.select(*keys), keys, "left_anti").unionByName(again))
 
     added = T.StructType.fromDDL(step.outputs) if step.outputs else T.StructType()
     out_schema = T.StructType([*df.schema.fields, *added.fields])

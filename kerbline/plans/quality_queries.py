@@ -93,11 +93,11 @@ def _stats(t: Tables):
     return Q.pose_stats(t.odometry(), ["session_id", "source"], T, chunk=DAY)
 
 
-@query(STATS + """SELECT session_id, source, pose_count, round(span_s, 4) AS span_s, round(rate_hz, 8) AS rate_hz, round(cumul_m, 2) AS cumul_m,
+@query(STATS + """SELECT session_id, source, pose_count, round(span_s, 3) AS span_s, round(rate_hz, 8) AS rate_hz, round(cumul_m, 2) AS cumul_m,
   round(mean_speed_mps, 6) AS mean_speed_mps, round(p99_speed_mps, 6) AS p99_speed_mps, round(max_speed_mps, 6) AS max_speed_mps,
   round(max_dt_s, 6) AS max_dt_s, round(rot_span_rad, 4) AS rot_span_rad, round(extent_x, 6) AS extent_x, round(extent_y, 6) AS extent_y FROM full_stats""")
 def pose_stats(t: Tables):
-    return _stats(t).select("session_id", "source", "pose_count", r("span_s", 4), r("rate_hz", 8), r("cumul_m", 2),
+    return _stats(t).select("session_id", "source", "pose_count", r("span_s", 3), r("rate_hz", 8), r("cumul_m", 2),
                             r("mean_speed_mps"), r("p99_speed_mps"), r("max_speed_mps"), r("max_dt_s"), r("rot_span_rad", 4),
                             r("extent_x"), r("extent_y"))
 
@@ -162,15 +162,13 @@ def rpe(t: Tables):
 
 
 @query(MATCH + """, m AS (SELECT session_id, avg(ex) AS sx, avg(ey) AS sy, avg(x) AS dx, avg(y) AS dy,
-  covar_pop(x, ex) + covar_pop(y, ey) AS c, covar_pop(y, ex) - covar_pop(x, ey) AS s FROM pairs GROUP BY session_id),
-a AS (SELECT *, atan2(s, c) AS th FROM m)
-SELECT session_id, round(dx - (cos(th) * sx - sin(th) * sy), 3) AS tx, round(dy - (sin(th) * sx + cos(th) * sy), 3) AS ty FROM a""")
+  covar_pop(x, ex) + covar_pop(y, ey) AS c, covar_pop(y, ex) - covar_pop(x, ey) AS s,
+  covar_pop(x, ex) - covar_pop(y, ey) AS c2, covar_pop(y, ex) + covar_pop(x, ey) AS s2 FROM pairs GROUP BY session_id),
+an AS (SELECT *, atan2(s, c) AS th, atan2(s2, c2) AS th2, c * c + s * s >= c2 * c2 + s2 * s2 AS keep FROM m)
+SELECT session_id, round(CASE WHEN keep THEN dx - (cos(th) * sx - sin(th) * sy) ELSE dx - (cos(th2) * sx + sin(th2) * sy) END, 3) AS tx,
+  round(CASE WHEN keep THEN dy - (sin(th) * sx + cos(th) * sy) ELSE dy - (sin(th2) * sx - cos(th2) * sy) END, 3) AS ty FROM an""")
 def align_rigid(t: Tables):
-    """A13 on planar tracks, where the best rotation has a closed form.
-
-    With all points in one plane the 3x3 problem also allows the plane to be turned over, so
-    a small height that follows the position on both sides keeps the answer in the plane.
-    """
+    """A13 on planar tracks: the best turn, or the best turn of the plane turned over, in closed form."""
     m = _matched(t)
     return Q.align_rigid(m, S).select("session_id", r("tx", 3), r("ty", 3))
 

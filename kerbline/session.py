@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "kerbline", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -39,3 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kerbline-checkpoint-"))
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a result to the shared checkpoint folder and read it back.
+
+    Cuts the plan before it is used several times or in a loop. Unlike a cached or local
+    copy the table survives the loss of executors; unlike ``checkpoint()`` it is written in
+    one pass and read by column.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.fleet import merge_progress
 from kerbline.operators.points import with_tile
-from kerbline.session import ensure_checkpoint_dir
+from kerbline.session import settle
 
 SAMPLE_SPACE = 1_000_000
 
@@ -72,11 +72,9 @@ def sample_export(points: DataFrame, share: float, id_cols: list[str], seed: int
 def upsert_progress(batch: DataFrame, path: str, keys: list[str], version: str, bucket: str) -> None:
     """Merge a batch into a table partitioned by ``bucket``; only touched buckets are rewritten.
 
-    The merged rows are checkpointed before the write because it replaces files it reads.
+    The merged rows are settled before the write because it replaces files it reads.
     """
     spark = batch.sparkSession
-
-    ensure_checkpoint_dir(spark)
     try:
         stored = spark.read.schema(batch.schema).parquet(path)
     except Exception as error:
@@ -90,7 +88,7 @@ def upsert_progress(batch: DataFrame, path: str, keys: list[str], version: str,
         rows = merge_progress(rows, batch, keys, version)
     else:
         rows = merge_progress(batch.limit(0), batch, keys, version)
-    rows.checkpoint().write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
+    settle(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
 
 
 def slim_recording(messages: DataFrame, topics: list[str]) -> DataFrame:
