@@ -45,8 +45,8 @@ def motion_class(accel_rms, gyro_rms) -> Column:
 def stamp_name(t_ns) -> Column:
     """nanoseconds to ``YYYYMMDD_HHMMSS_mmm`` in UTC, without going through a time zone."""
     t = as_col(t_ns).cast("long")
-    ms = (t - F.pmod(t, F.lit(1_000_000))) / 1_000_000
-    whole_s = F.floor(ms / 1000)
+    in_second = F.pmod(t, F.lit(1_000_000_000))
+    whole_s = F.floor((t - in_second) / 1_000_000_000)  # exact: a multiple of 2^9 fits a double
     days = F.floor(whole_s / 86400)
     in_day = whole_s - days * 86400
     day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")), "yyyyMMdd")
@@ -57,7 +57,7 @@ def stamp_name(t_ns) -> Column:
     return F.concat(
         day, F.lit("_"),
         two(in_day / 3600), two(F.pmod(in_day / 60, F.lit(60.0))), two(F.pmod(in_day, F.lit(60))),
-        F.lit("_"), two(ms - whole_s * 1000, 3),
+        F.lit("_"), two(in_second / 1_000_000, 3),
     )
 
 

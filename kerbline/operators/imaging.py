@@ -101,7 +101,7 @@ def sobel(pixels: DataFrame, frame: list[str], value: str) -> DataFrame:
 
 
 def thermal_anomalies(pixels: DataFrame, frame: list[str], value: str, patch: int, k: float,
-                      g: float) -> DataFrame:
+                      g: float, digits: int = 2) -> DataFrame:
     """Patches far from the frame mean or with a steep gradient, with a confidence.
 
     ``pixels`` has ``row, col`` and a temperature; patches that do not fit the picture whole
@@ -130,7 +130,7 @@ def thermal_anomalies(pixels: DataFrame, frame: list[str], value: str, patch: in
     ))
     out = rows.withColumn("__k", F.explode(kinds))
     return out.select(*frame, F.col("__k.class").alias("class"), F.round("__k.c", 3).alias("confidence"),
-                      "x", "y", F.round(delta, 2).alias("temp_delta"))
+                      "x", "y", F.round(delta, digits).alias("temp_delta"))
 
 
 def frame_temps(pixels: DataFrame, frame: list[str], value: str) -> DataFrame:

@@ -82,13 +82,14 @@ def run_sequential(df: DataFrame, by: list[str], order: list[str], step: Step,
 
     added = T.StructType.fromDDL(step.outputs) if step.outputs else T.StructType()
     out_schema = T.StructType([*df.schema.fields, *added.fields])
+    kept_columns, new_columns = list(df.columns), added.fieldNames()
 
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
         entry = pdf[ENTRY].iloc[0]
         pdf, kept, values, _ = _walk(step, order, pdf, entry if isinstance(entry, str) else None, emit=True)
-        out = pdf.iloc[kept][df.columns].reset_index(drop=True)
-        for i, field in enumerate(added.fields):
-            out[field.name] = pd.Series([v[i] for v in values], dtype=object)
+        out = pdf.iloc[kept][kept_columns].reset_index(drop=True)
+        for i, name in enumerate(new_columns):
+            out[name] = pd.Series([v[i] for v in values], dtype=object)
         return out
 
     return data.join(known.select(*keys, ENTRY), keys).groupBy(*keys).applyInPandas(emit, out_schema)

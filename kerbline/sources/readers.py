@@ -149,7 +149,7 @@ def parse_segments(lines: DataFrame, text: str = "value") -> DataFrame:
     """``- {start: .., end: .., tag: .., class: .., n_bags: ..}`` lines."""
     hit = F.col(text).rlike(r"^\s*-\s*\{start:.*n_bags:\s*\d+\}")
     return lines.filter(hit).select(
-        *[F.regexp_extract(text, p, 1).cast(t).alias(n) for n, (p, t) in SEGMENT_LINE.items()]
+        *[F.regexp_extract(text, p, 1).try_cast(t).alias(n) for n, (p, t) in SEGMENT_LINE.items()]
     )
 
 
