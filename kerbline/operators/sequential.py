@@ -1,15 +1,18 @@
 """Batch form of the order-dependent operators, parallel inside a key.
 
-The next decision depends on earlier ones, so a key cannot simply be cut. It is cut into
-time chunks anyway and the chunks are run on a guess: each chunk first runs from an empty
-state and only its exit state is kept. Then every chunk whose entry state differs from the
-exit of the chunk before it runs again, until nothing changes. Gates and guards forget
-their past quickly, so a few rounds settle almost every chunk; the worst case (state that
-never forgets) takes one short round per chunk and is still exact, with one chunk in a
-task's memory at any time. A last pass writes the rows.
-
-Only one row per chunk (key, chunk, entry, exit) travels between rounds. They are
-written to the cluster's shared checkpoint folder so that the plan does not grow.
+The next decision depends on earlier ones, so a key cannot simply be cut. The rows are put
+in (key, time) order over all tasks by range partitioning and cut into segments of about
+equal size, wherever the keys begin and end, so a key with a third of all rows spans a third
+of the segments. Each segment first runs on a guess: the part of a key that continues from
+the segment before starts from an empty state, and only its exit state is kept. Then every
+part whose entry state differs from the exit of the part before runs again, until nothing
+changes. Gates and guards forget their past quickly, so a few rounds settle almost every
+part; the worst case (state that never forgets) takes one short round per segment of the
+longest key and is still exact, with one segment in a task's memory at any time. A last
+pass writes the rows.
+
+Between rounds only one row per (key, segment) travels. Rows and states are settled in the
+cluster's shared checkpoint folder, which also fixes where the segments are cut.
 """
 
 from __future__ import annotations
@@ -21,12 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbline.operators.ordered import CHUNK, with_chunk
 from kerbline.operators.steps import Step
 from kerbline.session import settle
 
-DAY_NS = 86_400 * 1_000_000_000
-ENTRY, EXIT = "__entry", "__exit"
+SEG, ENTRY, EXIT = "__seg", "__entry", "__exit"
+SEGMENT_ROWS = 200_000
 
 
 def _plain(value):
@@ -36,60 +38,93 @@ def _plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
-def _walk(step: Step, order: list[str], pdf: pd.DataFrame, entry: str | None, emit: bool):
-    state = json.loads(entry) if entry else None
-    pdf = pdf.sort_values(order, kind="stable")
-    kept, values = [], []
-    columns = [pdf[c].tolist() for c in step.inputs]
-    for i, row in enumerate(zip(*columns)):
-        state, out = step.advance(state, tuple(_plain(v) for v in row))
-        if emit and out is not None:
+def _walk(step: Step, by: list[str], order: list[str], pdf: pd.DataFrame, entries: dict):
+    """Run the step over the sorted rows of a segment, key by key.
+
+    Returns the sorted frame, the emitted positions and values, and the exit state per key.
+    """
+    pdf = pdf.sort_values([*by, *order], kind="stable").reset_index(drop=True)
+    keys = list(zip(*[pdf[c].tolist() for c in by])) if by else [()] * len(pdf)
+    inputs = zip(*[[_plain(v) for v in pdf[c].tolist()] for c in step.inputs])
+    kept, values, exits = [], [], {}
+    now, state = None, None
+    for i, (key, row) in enumerate(zip(keys, inputs)):
+        if key != now or i == 0:
+            if i:
+                exits[now] = json.dumps(state)
+            entry = entries.get(key)
+            now, state = key, json.loads(entry) if entry else None
+        state, out = step.advance(state, row)
+        if out is not None:
             kept.append(i)
             values.append(out)
-    return pdf, kept, values, json.dumps(state)
+    if len(pdf):
+        exits[now] = json.dumps(state)
+    return pdf, kept, values, exits
+
+
+def _entries(states: pd.DataFrame, by: list[str]) -> dict:
+    rows = zip(*[states[c].tolist() for c in (*by, ENTRY)])
+    return {tuple(r[:-1]): r[-1] if isinstance(r[-1], str) else None for r in rows}
 
 
 def run_sequential(df: DataFrame, by: list[str], order: list[str], step: Step,
-                   chunk: int = DAY_NS, max_rounds: int = 100_000) -> DataFrame:
+                   segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Apply ``step`` to each key in ``order``; rows it emits keep their columns and gain its outputs."""
-    keys = [*by, CHUNK]
-    needed = list(dict.fromkeys([*order, *step.inputs]))
-    data = with_chunk(df, order, chunk)
-    narrow = data.select(*keys, *[c for c in needed if c not in keys])
-    key_fields = [narrow.schema[k] for k in keys]
-    state_schema = T.StructType([*key_fields, T.StructField(ENTRY, T.StringType()), T.StructField(EXIT, T.StringType())])
-
-    def exits(rows: DataFrame) -> DataFrame:
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            entry = pdf[ENTRY].iloc[0]
-            entry = entry if isinstance(entry, str) else None
-            *_, left = _walk(step, order, pdf, entry, emit=False)
-            head = {k: [pdf[k].iloc[0]] for k in keys}
-            return pd.DataFrame({**head, ENTRY: [entry], EXIT: [left]})
-
-        return rows.groupBy(*keys).applyInPandas(run, state_schema)
-
-    before = Window.partitionBy(*by).orderBy(CHUNK)
-    known = settle(exits(narrow.withColumn(ENTRY, F.lit(None).cast("string"))))
-    for _ in range(max_rounds):
-        wanted = known.withColumn("__want", F.lag(EXIT).over(before))
-        stale = wanted.filter(~F.col("__want").eqNullSafe(F.col(ENTRY)))
-        stale = settle(stale.select(*keys, F.col("__want").alias(ENTRY)))
-        if stale.isEmpty():
-            break
-        again = exits(narrow.join(stale, keys))
-        known = settle(known.join(stale.select(*keys), keys, "left_anti").unionByName(again))
+    columns = list(df.columns)
+    segments = max(1, -(-df.count() // segment_rows))
+    cut = df.repartitionByRange(segments, *by, *order) if segments > 1 else df.coalesce(1)
+    data = settle(cut.withColumn(SEG, F.spark_partition_id()))
+    narrow = data.select(SEG, *dict.fromkeys([*by, *order, *step.inputs]))
+    key_fields = [data.schema[k] for k in by]
+    states = T.StructType([T.StructField(SEG, T.IntegerType()), *key_fields,
+                           T.StructField(ENTRY, T.StringType()), T.StructField(EXIT, T.StringType())])
+
+    def exit_rows(pdf: pd.DataFrame, entries: dict) -> pd.DataFrame:
+        seg = pdf[SEG].iloc[0]
+        *_, exits = _walk(step, by, order, pdf, entries)
+        rows = [(seg, *key, entries.get(key), left) for key, left in exits.items()]
+        return pd.DataFrame(rows, columns=[SEG, *by, ENTRY, EXIT])
+
+    def guess(pdf: pd.DataFrame) -> pd.DataFrame:
+        return exit_rows(pdf, {})
+
+    def again(pdf: pd.DataFrame, stale: pd.DataFrame) -> pd.DataFrame:
+        return exit_rows(pdf, _entries(stale, by))
+
+    if segments == 1:
+        known = None
+    else:
+        part = [SEG, *by]
+        before = Window.partitionBy(*by).orderBy(SEG)
+        known = settle(narrow.groupBy(SEG).applyInPandas(guess, states))
+        while True:
+            wanted = known.withColumn("__want", F.lag(EXIT).over(before))
+            stale = wanted.filter(~F.col("__want").eqNullSafe(F.col(ENTRY)))
+            stale = settle(stale.select(*part, F.col("__want").alias(ENTRY)))
+            if stale.isEmpty():
+                break
+            rows = narrow.join(stale.select(*part), part, "left_semi")
+            fresh = rows.groupBy(SEG).cogroup(stale.groupBy(SEG)).applyInPandas(again, states)
+            known = settle(known.join(stale.select(*part), part, "left_anti").unionByName(fresh))
 
     added = T.StructType.fromDDL(step.outputs) if step.outputs else T.StructType()
+    new_columns = added.fieldNames()
     out_schema = T.StructType([*df.schema.fields, *added.fields])
-    kept_columns, new_columns = list(df.columns), added.fieldNames()
 
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf[ENTRY].iloc[0]
-        pdf, kept, values, _ = _walk(step, order, pdf, entry if isinstance(entry, str) else None, emit=True)
-        out = pdf.iloc[kept][kept_columns].reset_index(drop=True)
+    def emit(pdf: pd.DataFrame, entries: dict) -> pd.DataFrame:
+        pdf, kept, values, _ = _walk(step, by, order, pdf, entries)
+        out = pdf.iloc[kept][columns].reset_index(drop=True)
         for i, name in enumerate(new_columns):
             out[name] = pd.Series([v[i] for v in values], dtype=object)
         return out
 
-    return data.join(known.select(*keys, ENTRY), keys).groupBy(*keys).applyInPandas(emit, out_schema)
+    def emit_first(pdf: pd.DataFrame) -> pd.DataFrame:
+        return emit(pdf, {})
+
+    def emit_known(pdf: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        return emit(pdf, _entries(entries, by))
+
+    if known is None:
+        return data.groupBy(SEG).applyInPandas(emit_first, out_schema)
+    return data.groupBy(SEG).cogroup(known.groupBy(SEG)).applyInPandas(emit_known, out_schema)

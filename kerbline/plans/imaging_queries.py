@@ -275,7 +275,7 @@ def valid_poses(t: Tables):
   CASE event_id % 5 WHEN 0 THEN 'nofix' WHEN 1 THEN 'gps' WHEN 2 THEN 'sbas' WHEN 3 THEN 'rtk' ELSE '3' END AS fix,
   CASE WHEN value * 3.6 <= 5 THEN 2.0 WHEN value * 3.6 <= 30 THEN 5.0 WHEN value * 3.6 <= 60 THEN 10.0 ELSE 20.0 END::DOUBLE AS spacing,
   CASE WHEN -value - 60 >= -95 THEN 'Excellent' WHEN -value - 60 >= -105 THEN 'Good' WHEN -value - 60 >= -115 THEN 'Fair' ELSE 'Poor' END AS grade,
-  greatest(value, 1) ** 2 AS var_e, 4 * greatest(value, 1) ** 2 AS var_u, coalesce(TRY_CAST(props ->> '$.k' AS DOUBLE), -1) AS k,
+  round(greatest(value, 1) ** 2, 6) AS var_e, round(4 * greatest(value, 1) ** 2, 6) AS var_u, coalesce(TRY_CAST(props ->> '$.k' AS DOUBLE), -1) AS k,
   CAST(coalesce(TRY_CAST(event_type AS DOUBLE), 7.5) AS DOUBLE) AS bad_num,
   CASE WHEN event_type = 'view' THEN value - 273.15 ELSE value END AS celsius, CASE WHEN event_type = 'view' THEN value > 75 ELSE value > -150 END AS too_hot FROM events""")
 def label_functions(t: Tables):
@@ -290,7 +290,7 @@ def label_functions(t: Tables):
     return ev.select(
         "event_id", labels.stamp_name("t_ns").alias("stamp"), labels.recording_id(name, "rec", 2026).alias("recording"),
         labels.camera_side(cam).alias("side"), labels.fix_name(F.col("event_id") % 5 - 1).alias("fix"), labels.keyframe_distance("value").alias("spacing"),
-        labels.signal_grade(-v - 60).alias("grade"), cov[0].alias("var_e"), cov[8].alias("var_u"),
+        labels.signal_grade(-v - 60).alias("grade"), r(cov[0], 6, "var_e"), r(cov[8], 6, "var_u"),
         labels.num(labels.meta_field("props", "$.k"), -1.0).alias("k"), labels.num("event_type", 7.5).alias("bad_num"),
         thermal.to_celsius("value", unit).alias("celsius"), thermal.temp_alert("value", family).alias("too_hot"))
 
