@@ -19,6 +19,7 @@ from kerbline.operators.sequential import _plain
 from kerbline.operators.steps import Step
 
 NS_PER_MS = 1_000_000
+RELEASE_MS = 1000  # timers lie on whole seconds, so a key has few of them
 
 
 class OrderedStep(StatefulProcessor):
@@ -33,20 +34,22 @@ class OrderedStep(StatefulProcessor):
         self.buffer = handle.getListState("buffer", "row string")
         self.state = handle.getValueState("state", "value string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        waiting = {t for t in self.handle.listTimers()}
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        waiting = set(self.handle.listTimers())
+        place = self.columns.index(self.order[0])
         for pdf in rows:
             for record in pdf[self.columns].itertuples(index=False):
                 values = [_plain(v) for v in record]
                 self.buffer.appendValue((json.dumps(values),))
-                due = values[self.columns.index(self.order[0])] // NS_PER_MS + 1
+                due = (values[place] // NS_PER_MS // RELEASE_MS + 1) * RELEASE_MS
                 if due not in waiting:
                     self.handle.registerTimer(due)
                     waiting.add(due)
         yield pd.DataFrame()
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
-        limit = expired.getExpiryTimeInMs() * NS_PER_MS
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # the first timer of a batch releases everything behind the watermark, the others find nothing left
+        limit = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * NS_PER_MS
         places = [self.columns.index(c) for c in self.order]
         rows = [json.loads(r[0]) for r in self.buffer.get()]
         rows.sort(key=lambda r: [r[p] for p in places])
@@ -75,17 +78,18 @@ class OrderedStep(StatefulProcessor):
 
 
 def stream_sequential(stream: DataFrame, by: list[str], order: list[str], step: Step, event_time: str,
-                      delay: str = "10 seconds") -> DataFrame:
+                      delay: str | None = None) -> DataFrame:
     """Apply ``step`` to a stream; needs the RocksDB state store provider.
 
-    ``event_time`` is a TIMESTAMP column for the watermark and is not part of the output.
+    ``event_time`` is a TIMESTAMP column for the watermark and is not part of the output. Give
+    ``delay`` only when the stream has no watermark yet.
     """
     columns = [c for c in stream.columns if c != event_time]
     added = T.StructType.fromDDL(step.outputs) if step.outputs else T.StructType()
     schema = T.StructType([stream.schema[c] for c in columns] + added.fields)
+    marked = stream.withWatermark(event_time, delay) if delay else stream
     return (
-        stream.withWatermark(event_time, delay)
-        .groupBy(*by)
+        marked.groupBy(*by)
         .transformWithStateInPandas(
             OrderedStep(step, by, order, columns, added.fieldNames()),
             outputStructType=schema,
