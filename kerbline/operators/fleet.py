@@ -172,7 +172,7 @@ def soak_alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     ``(metric, source, test, limit)`` where test is ``below``, ``above`` or ``abs_above`` and
     a null source stands for all. A rate rule of 80 % is a ``below`` limit of 0.8 x expected.
     """
-    r = F.broadcast(rules.withColumnsRenamed({"metric": "__m", "source": "__s"}))
+    r = rules.withColumnsRenamed({"metric": "__m", "source": "__s"})
     on = (F.col("metric") == F.col("__m")) & (F.col("__s").isNull() | (F.col("source") == F.col("__s")))
     value, limit = F.col("value"), F.col("limit")
     hit = (

@@ -146,7 +146,8 @@ def percentile_stretch(pixels: DataFrame, frame: list[str], value: str, lo: floa
     """Grey value 0-255 between two percentiles of each frame.
 
     ``nonzero`` measures and shows only pixels above zero; ``roi`` measures the centre share
-    of the picture. The percentile buffer holds one frame, bounded by the sensor.
+    of the picture. Raw counts have 16 bits, so
+    the percentile buffer of a frame holds at most 65,536 distinct values.
     """
     basis = F.lit(True)
     rows = pixels

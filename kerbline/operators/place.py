@@ -100,8 +100,9 @@ def loop_candidates(keyframes: DataFrame, ring_size: int, separation: int = 100,
     for name in cells:
         spread = spread.withColumn("__o", F.explode(around)).withColumn(name, F.col(name) + F.col("__o")).drop("__o")
     pairs = hot_key_join(base, spread, [*by, *cells], hot_rows)
-    squares = F.zip_with("ring_key", "__k2", lambda p, q: (p - q) * (p - q))
-    gap = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v))
+    # the key has a fixed length, so the distance is written out and compiled
+    parts = [F.pow(F.col("ring_key")[i] - F.col("__k2")[i], 2) for i in range(ring_size)]
+    gap = F.sqrt(sum(parts[1:], parts[0]))
     close = (
         pairs.filter(F.col("idx") - F.col("cand_idx") >= separation)
         .withColumn("ring_dist", gap).filter(F.col("ring_dist") < threshold)

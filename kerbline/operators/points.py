@@ -14,6 +14,7 @@ from kerbline.operators.timejoin import interpolate_poses, nearest_asof
 
 VOXEL = ("ix", "iy", "iz")
 HASH_SPAN = 1 << 40
+MAX_CAMERAS = 64
 
 
 def _finite(c: str) -> Column:
@@ -100,7 +101,7 @@ def subsample_scan(df: DataFrame, scan: list[str], fraction: float, point_id: st
     """
     spread = F.pmod(F.xxhash64(F.lit(seed), F.col(point_id)), F.lit(HASH_SPAN))
     mixed = df.withColumn("__h", spread)
-    placed = row_index(mixed, scan, ["__h", point_id], "__i", HASH_SPAN // 16, total="__n")
+    placed = row_index(mixed, scan, ["__h", point_id], "__i", HASH_SPAN // 256, total="__n")
     keep = F.greatest(F.lit(min_keep), F.floor(F.col("__n") * fraction))
     return placed.filter(F.col("__i") < keep).select(*df.columns)
 
@@ -309,8 +310,11 @@ def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cam
     handful of rows. Scans are matched to images once per camera, not once per point, and
     only points that fall inside a picture reach the pixel join.
     """
-    rig = cameras.select("camera").distinct()
-    scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct().crossJoin(F.broadcast(rig))
+    rig = [row.camera for row in cameras.select("camera").distinct().limit(MAX_CAMERAS + 1).collect()]
+    if len(rig) > MAX_CAMERAS:
+        raise ValueError(f"more than {MAX_CAMERAS} cameras on one vehicle")
+    each = F.explode(F.array(*[F.lit(name) for name in sorted(rig)]))
+    scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct().withColumn("camera", each)
     matched = nearest_asof(scans, images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id",
                            chunk=chunk)
     matched = matched.select(*by, F.col("t_ns").alias("scan_ns"), "camera", F.col("i_image_id").alias("image_id"))

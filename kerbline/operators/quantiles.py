@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 V = "__v"
 RANK = "__rank"
 TOTAL = "__total"
+SMALL_GROUP = 2_000_000
 
 
 def _targets(df: DataFrame, by: list[str], bin_cols: list[str], wanted: DataFrame | None,
@@ -38,15 +39,21 @@ def _targets(df: DataFrame, by: list[str], bin_cols: list[str], wanted: DataFram
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: Column, qs: dict[str, float],
-                    bins_per_unit: int = 64, fan_out: int = 4096) -> DataFrame:
+                    small_group: int = SMALL_GROUP, bins_per_unit: int = 64,
+                    fan_out: int = 4096) -> DataFrame:
     """One row per group with linearly interpolated quantiles named by ``qs``.
 
-    Null, NaN and infinite values are left out. ``df`` is read three times, so it should be
-    a table or a settled result. With no group columns the wanted ranks are at most two rows
+    Null, NaN and infinite values are left out. The groups are counted first: when the
+    largest has at most ``small_group`` rows the built-in percentile is used. Otherwise
+    ``df`` is read three times, so it should be a table or a settled result. With no group columns the wanted ranks are at most two rows
     per quantile, so pairing them with the bins is bounded.
     """
     finite = F.abs(value) < float("inf")  # NaN sorts above infinity, null gives null
     rows = df.filter(finite).select(*by, value.cast("double").alias(V))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    biggest = sizes.agg(F.max("__n")).first()[0] or 0
+    if biggest <= small_group:
+        return rows.groupBy(*by).agg(*[F.percentile(V, F.lit(q)).alias(n) for n, q in qs.items()])
     scaled = F.asinh(F.col(V)) * bins_per_unit
     binned = rows.select(
         *by, V,

@@ -13,19 +13,20 @@ from kerbline.operators.skew import hot_key_join
 HOT_CELL_ROWS = 200_000
 
 
-def grid_radius_join(frames: DataFrame, props: DataFrame, radius: float, cell: float = 50.0,
+def grid_radius_join(frames: DataFrame, props: DataFrame, radius: float, cell: float | None = None,
                      window: int | None = None, by: list[str] | None = None,
                      hot_rows: int | None = HOT_CELL_ROWS) -> DataFrame:
     """Pairs within ``radius`` by an equi-join on grid cells, exact distance last.
 
     ``window`` is the number of neighbour cells on each side; the default reaches the whole
-    radius, ``1`` gives the reference's 3x3 block. Properties are the smaller side, so they
+    radius, ``window=1`` with 50 m cells gives a 3x3 block that can miss pairs beyond 50 m.
+    The default cell is half the radius: 5x5 cells that hold 2.0 times the area of the circle. Properties are the smaller side, so they
     are copied to the cells around them, and only to cells that hold frames. A cell with
     more than ``hot_rows`` frames (a parked vehicle) is split: its frames get a part number
     and its properties are copied to every part, so no task receives the whole cell.
     ``hot_rows=None`` leaves skew to adaptive execution.
     """
-    by = by or []
+    by, cell = by or [], cell or radius / 2
     reach = math.ceil(radius / cell) if window is None else window
     offsets = F.array(*[F.lit(i) for i in range(-reach, reach + 1)])
     placed = frames.withColumn("__gx", F.floor(F.col("x") / cell)).withColumn(

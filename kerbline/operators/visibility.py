@@ -15,7 +15,7 @@ from kerbline.operators.timejoin import asof_backward, nearest_asof
 from kerbline.operators.windows import dedup_by_time, top_k
 
 
-def visibility_pairs(frames: DataFrame, props: DataFrame, radius: float = 75.0, cell: float = 50.0,
+def visibility_pairs(frames: DataFrame, props: DataFrame, radius: float = 75.0, cell: float | None = None,
                      window: int | None = None, convention: str = "heading_minus_bearing",
                      perp_limit: float = PERPENDICULAR_LIMIT_DEG, **join_args) -> DataFrame:
     """Every (frame, property) in range and in the camera sector, with the hero score.

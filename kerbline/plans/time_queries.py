@@ -184,7 +184,7 @@ def sessionize_by_end(t: Tables):
 GROUP BY user_id""")
 def session_windows(t: Tables):
     ev = t.raw("events").withColumn("at", F.col("ts").cast("timestamp"))
-    w = W.session_windows(ev, ["user_id"], "at", "6 hours")
+    w = W.session_windows(ev, ["user_id"], "at", 6 * 3600)
     return w.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_rows").alias("n_rows"),
                                     F.max("n_rows").alias("longest"))
 

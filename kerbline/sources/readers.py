@@ -113,7 +113,7 @@ def parse_submap_origin(texts: DataFrame, text: str = "value", keep: list[str] |
 
 def read_submap_poses(spark: SparkSession, path: str) -> DataFrame:
     """Poses of all submap files under ``path``; one small text per submap."""
-    texts = spark.read.option("wholetext", "true").text(path).withColumn("path", F.input_file_name())
+    texts = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     return parse_submap_poses(texts, keep=["path"])
 
 
@@ -129,7 +129,7 @@ def parse_cards(lines: DataFrame, keys: list[str], fields: list[str], text: str
 
 def read_cards(spark: SparkSession, glob: str, fields: list[str]) -> DataFrame:
     """Reports ``<engine>_<tag>/.../sanity.txt`` with engine, tag and the wanted fields."""
-    texts = spark.read.option("wholetext", "true").text(glob).withColumn("path", F.input_file_name())
+    texts = spark.read.text(glob, wholetext=True).withColumn("path", F.input_file_name())
     lines = texts.select("path", F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
     cards = parse_cards(lines, ["path"], fields)
     part = rf"({'|'.join(ENGINES)})_([^/]+)/"
