@@ -264,6 +264,20 @@ def calibration_coverage(det: DataFrame, by: list[str], width: float, height: fl
     return out.withColumn("ready", ready)
 
 
+def with_calibration(frames: DataFrame, calibration: DataFrame, default_model: str = "pinhole") -> DataFrame:
+    """Camera model of each frame; frames of an uncalibrated camera keep null values.
+
+    One row per camera; the latest wins when ``calibration`` carries a ``calibrated_ns``.
+    """
+    rows = calibration
+    if "calibrated_ns" in calibration.columns:
+        body = F.struct(*[c for c in calibration.columns if c != "camera"])
+        newest = calibration.groupBy("camera").agg(F.max_by(body, "calibrated_ns").alias("__c"))
+        rows = newest.select("camera", "__c.*")
+    model = F.coalesce("model", F.lit(default_model))
+    return frames.join(rows.withColumn("model", model), "camera", "left")
+
+
 def label_share(labels: DataFrame, frame: list[str], label: str) -> DataFrame:
     """Share of each class in each label picture."""
     counts = labels.groupBy(*frame, label).agg(F.count(F.lit(1)).alias("n"))

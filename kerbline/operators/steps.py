@@ -224,3 +224,29 @@ def limit_alerts(max_actions: int = 3, window_ns: int = 3600 * NS, cooldown_ns:
         return [*recent, t], (True,)
 
     return Step(("t_ns",), "allowed boolean", advance)
+
+
+def gap_alert(max_gap_ns: int) -> Step:
+    """T9 on a stream: emit a row that follows a gap over ``max_gap_ns``, with the gap in seconds."""
+
+    def advance(state, row):
+        (t,) = row
+        gap = abs(t - state[0]) if state else 0
+        return [t], ((gap / NS,) if gap > max_gap_ns else None)
+
+    return Step(("t_ns",), "gap_s double", advance)
+
+
+def hold_last(columns: tuple[str, ...], types: str) -> Step:
+    """Repeat the latest row of values when a row has none; nothing before the first.
+
+    ``types`` is the DDL of the output columns, in the order of ``columns``. A row counts as
+    fresh when its first value is present.
+    """
+
+    def advance(state, row):
+        fresh = row[0] is not None
+        held = list(row) if fresh else state
+        return held, (None if held is None else (*held, fresh))
+
+    return Step(columns, f"{types}, fresh boolean", advance)

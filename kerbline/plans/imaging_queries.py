@@ -401,3 +401,13 @@ def accuracy_block(t: Tables):
 def slim_recording(t: Tables):
     m = t.raw("events").withColumn("topic", F.col("event_type"))
     return K.slim_recording(m, ["view", "click"]).select("event_id", "topic")
+
+
+@query("""SELECT event_id, c.model, c.fx FROM events e LEFT JOIN (VALUES ('view', 'pinhole', 334.5), ('click', 'fisheye', 1166.25), ('error', 'pinhole', 1192.5)) c(camera, model, fx)
+  ON e.event_type = c.camera""".replace("c.fx FROM", "CAST(c.fx AS DOUBLE) AS fx FROM"))
+def with_calibration(t: Tables):
+    """The newest calibration of each camera."""
+    rows = [("view", None, 334.5, 5), ("view", "fisheye", 1.0, 4), ("click", "fisheye", 1166.25, 1), ("error", "pinhole", 1192.5, 1)]
+    calib = t.spark.createDataFrame(rows, "camera string, model string, fx double, calibrated_ns long")
+    f = t.raw("events").select("event_id", F.col("event_type").alias("camera"))
+    return I.with_calibration(f, calib).select("event_id", "model", "fx")

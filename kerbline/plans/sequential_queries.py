@@ -137,3 +137,13 @@ OKAY = f"len({KEPT}) < 3 AND (len({KEPT}) = 0 OR o.t_ns - {KEPT}[len({KEPT})] >=
 def limit_alerts(t: Tables):
     f = t.frames().select("frame_id", *U, "t_ns")
     return run_sequential(f, U, ["t_ns"], T.limit_alerts(3, 3 * DAY, 8 * HOUR), segment_rows=SEGMENT).select("frame_id", "allowed")
+
+
+@query(_walk("frames", O_XY, "user_id, n, frame_id, CASE WHEN source = 'error' THEN heading_deg END AS held, source = 'error' AS fresh",
+             "o.user_id, o.n, o.frame_id, CASE WHEN o.source = 'error' THEN o.heading_deg ELSE s.held END, o.source = 'error'",
+             "SELECT frame_id, held, fresh FROM seq WHERE held IS NOT NULL"))
+def hold_last(t: Tables):
+    """A value that only some rows carry, held over the others."""
+    f = t.frames().select("frame_id", *U, "t_ns", F.when(F.col("source") == "error", F.col("heading_deg")).alias("sample"))
+    out = run_sequential(f, U, ["t_ns"], T.hold_last(("sample",), "held double"), segment_rows=SEGMENT)
+    return out.select("frame_id", "held", "fresh")

@@ -285,3 +285,8 @@ def thinned_track(t: Tables):
   SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY value DESC, frame_id) AS rank FROM frames) WHERE rank <= 10""")
 def top_k_per_group(t: Tables):
     return W.top_k(t.frames(), S, [F.desc("value"), F.asc("frame_id")], 10).select(*S, "frame_id", "value", "rank")
+
+
+@query(with_tables("frames") + "SELECT frame_id, session_id, t_ns FROM frames ORDER BY session_id, t_ns")
+def time_sorted(t: Tables):
+    return W.time_sorted(t.frames().select("frame_id", *S, *T), S, T)

@@ -146,8 +146,12 @@ def manifest_index(t: Tables):
     return m.select("session_id", F.col("p_uprn").alias("uprn"), "frame_count", name.alias("name"))
 
 
-# No sha1 over raw namespace bytes is taken for granted in the SQL engine: tests compare with Python's uuid5.
-@query()
+@query(BASE + """, m AS (SELECT session_id, uprn, count(*) AS frame_count, CAST(session_id AS VARCHAR) || '_' || CAST(uprn AS VARCHAR) AS name FROM scored GROUP BY session_id, uprn),
+h AS (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(name)) AS s FROM m),
+u AS (SELECT *, s[1:8] || '-' || s[9:12] || '-5' || s[14:16] || '-' ||
+  CASE WHEN s[17:17] IN ('0', '4', '8', 'c') THEN '8' WHEN s[17:17] IN ('1', '5', '9', 'd') THEN '9' WHEN s[17:17] IN ('2', '6', 'a', 'e') THEN 'a' ELSE 'b' END
+  || s[18:20] || '-' || s[21:32] AS osid FROM h)
+SELECT session_id, uprn, osid, 'bags/' || CAST(session_id AS VARCHAR) || '/observations/' || osid || '/manifest.json' AS object_key, frame_count FROM u""")
 def manifest_uuid(t: Tables):
     m = V.property_manifests(_pairs(t), "session_id")
     return m.select("session_id", F.col("p_uprn").alias("uprn"), "osid", "object_key", "frame_count")

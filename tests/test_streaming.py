@@ -42,7 +42,7 @@ def drain(query):
 
 
 CASES = {
-    "gate": T.trajectory_gate(2.0), "guard": T.monotonic_guard(1000), "alerts": T.limit_alerts(3, 20 * NS, 4 * NS),
+    "gate": T.trajectory_gate(2.0), "guard": T.monotonic_guard(1000), "alerts": T.limit_alerts(3, 20 * NS, 4 * NS), "gap": T.gap_alert(NS),
 }
 
 
