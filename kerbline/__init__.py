@@ -1,3 +1,10 @@
 """kerbline: DataFrame operators for mobile-survey data on Apache Spark."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Python functions travel to the executors with their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
