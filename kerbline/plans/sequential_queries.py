@@ -72,14 +72,52 @@ def gnss_track(t: Tables):
     return out.select("frame_id", r("speed_mps"), r("heading_deg", 5))
 
 
-@query()
+def _circ(buf: str) -> tuple[str, str]:
+    """SQL for the circular mean and deviation of a list of degrees."""
+    s = f"list_aggregate(list_transform({buf}, lambda v: sin(radians(v))), 'sum') / len({buf})"
+    c = f"list_aggregate(list_transform({buf}, lambda v: cos(radians(v))), 'sum') / len({buf})"
+    return s, c
+
+
+YAW = f"(heading_deg - value / 20 - 60 * ((t_ns // {15 * DAY}) % 2))"
+O_CAL = f"""o AS (SELECT frame_id, user_id, source <> 'view' AS dual, (heading_deg - ({YAW} - 360 * floor({YAW} / 360)) + 360)
+  - 360 * floor((heading_deg - ({YAW} - 360 * floor({YAW} / 360)) + 360) / 360) AS smp,
+  row_number() OVER (PARTITION BY user_id ORDER BY t_ns) AS n FROM frames)"""
+S_OLD, C_OLD = _circ("s.buf")
+S_NEW, C_NEW = _circ("d.nbuf")
+CAL_SQL = with_tables("frames", recursive=True) + f""", {O_CAL}, seq AS (
+  SELECT user_id, n, frame_id, [smp] AS buf, false AS conv, 0::BIGINT AS rej, smp AS mean, 0::DOUBLE AS std, 'accepted' AS action FROM o WHERE n = 1
+  UNION ALL
+  SELECT o.user_id, o.n, o.frame_id, d.nbuf, CASE WHEN d.act IN ('locked', 'rejected') THEN s.conv ELSE e.nstd < 2 AND len(d.nbuf) >= 5 END,
+    CASE d.act WHEN 'locked' THEN CASE WHEN o.dual THEN 0 ELSE s.rej END WHEN 'rejected' THEN s.rej + 1 ELSE 0 END,
+    CASE WHEN d.act IN ('locked', 'rejected') THEN s.mean ELSE e.nmean END, CASE WHEN d.act IN ('locked', 'rejected') THEN s.std ELSE e.nstd END,
+    CASE WHEN d.act = 'seed' THEN 'accepted' ELSE d.act END
+  FROM seq s JOIN o ON o.user_id = s.user_id AND o.n = s.n + 1,
+  LATERAL (SELECT {S_OLD} AS os, {C_OLD} AS oc) a,
+  LATERAL (SELECT degrees(atan2(a.os, a.oc)) - 360 * floor(degrees(atan2(a.os, a.oc)) / 360) AS om, sqrt(a.os * a.os + a.oc * a.oc) AS orr) b,
+  LATERAL (SELECT CASE WHEN o.smp - s.mean > 180 THEN o.smp - s.mean - 360 WHEN o.smp - s.mean < -180 THEN o.smp - s.mean + 360 ELSE o.smp - s.mean END AS drift,
+    CASE WHEN o.smp - b.om > 180 THEN o.smp - b.om - 360 WHEN o.smp - b.om < -180 THEN o.smp - b.om + 360 ELSE o.smp - b.om END AS gap,
+    greatest(3 * CASE WHEN b.orr >= 1 THEN 0 ELSE degrees(sqrt(-2 * ln(b.orr))) END, 5) AS lim) c,
+  LATERAL (SELECT CASE WHEN s.conv AND (NOT o.dual OR abs(c.drift) <= 25) THEN 'locked' WHEN s.conv AND s.rej + 1 < 20 THEN 'rejected'
+      WHEN s.conv THEN 'seed' WHEN len(s.buf) >= 5 AND abs(c.gap) > c.lim AND s.rej + 1 < 20 THEN 'rejected'
+      WHEN len(s.buf) >= 5 AND abs(c.gap) > c.lim THEN 'reset' ELSE 'accepted' END AS act) g,
+  LATERAL (SELECT g.act, CASE g.act WHEN 'locked' THEN s.buf WHEN 'rejected' THEN s.buf WHEN 'seed' THEN [o.smp] WHEN 'reset' THEN [o.smp]
+      ELSE list_append(s.buf, o.smp)[greatest(1, len(s.buf) - 18):] END AS nbuf) d,
+  LATERAL (SELECT {S_NEW} AS ns, {C_NEW} AS nc) f,
+  LATERAL (SELECT degrees(atan2(f.ns, f.nc)) - 360 * floor(degrees(atan2(f.ns, f.nc)) / 360) AS nmean,
+    CASE WHEN sqrt(f.ns * f.ns + f.nc * f.nc) >= 1 THEN 0 ELSE degrees(sqrt(-2 * ln(sqrt(f.ns * f.ns + f.nc * f.nc)))) END AS nstd) e)
+SELECT frame_id, round(mean, 7) AS offset_deg, round(std, 3) AS offset_std_deg, conv AS converged, rej AS rejects, action FROM seq"""
+
+
+@query(CAL_SQL)
 def heading_calibration(t: Tables):
-    """T4: the buffer of samples has no compact SQL form; a test compares with a plain walk."""
+    """T4: sample buffer, outlier rejection, lock and drift watch; the offset moves every 15 days."""
+    shift = F.expr(f"t_ns div {15 * DAY}") % 2
     f = t.frames()
-    rows = f.select("frame_id", *U, "t_ns", "heading_deg", (F.col("heading_deg") - F.col("value") / 20).alias("yaw_deg"),
+    rows = f.select("frame_id", *U, "t_ns", "heading_deg", (F.col("heading_deg") - F.col("value") / 20 - 60 * shift).alias("yaw_deg"),
                     (F.col("source") != "view").alias("from_dual"))
     out = run_sequential(rows, U, ["t_ns"], T.heading_calibration(), segment_rows=SEGMENT)
-    return out.select("frame_id", r("offset_deg", 4), r("offset_std_deg", 3), "converged", "rejects", "action")
+    return out.select("frame_id", r("offset_deg", 7), r("offset_std_deg", 3), "converged", "rejects", "action")
 
 
 O_XY = "o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ns) AS n FROM frames)"
