@@ -1,9 +1,11 @@
 """Command line: compare all or some queries at one scale."""
 
+import os
 import sys
 import time
 
-sys.path[:0] = ["/root/repo", "/root/repo/tests"]
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 from compare import compare, connect  # noqa: E402
 
 from kerbline.plans import QUERIES  # noqa: E402
