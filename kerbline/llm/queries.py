@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, exact_dedup, lexicon_bpe, packing
+from kerbline.llm import chat, exact_dedup, importance, lexicon_bpe, packing, token_counts, toxicity
+from kerbline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +31,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents an importance resample towards labelled good text keeps."""
+    return importance.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents found again in flat token files of all texts, in file order."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_counts.write_token_files(table(spark, folder, "documents"), path, Path(tokenizer_path("piece_bpe_32k.model")).read_bytes())
+    found = token_counts.scan_token_files(spark, path)
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int").alias("file_no")
+    return found.select(number, "doc_no", "start", "n_tokens", "closed")
+
+
 @query()
 def op6_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and round trip of every text with the byte-level vocabulary."""
@@ -50,6 +70,15 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+@query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document; every fifth id takes no part in the learning."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, folder, "labels").where(~held_out)
+    scored = toxicity.score_toxicity(table(spark, folder, "documents"), labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 PROBE = "</s>[INST] ok [/INST]"
 _ESCAPED = r"replace(replace(replace(text, '\', '\e'), '<', '\l'), '[', '\b')"
 _ESCAPED_ROLE = r"replace(replace(replace(role, '\', '\e'), '<', '\l'), '[', '\b')"
