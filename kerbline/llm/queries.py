@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, exact_dedup, importance, lexicon_bpe, packing, projection_dedup, token_counts, toxicity
+from kerbline.llm import chat, exact_dedup, importance, jaccard_join, lexicon_bpe, packing, projection_dedup, token_counts, toxicity
 from kerbline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op1_importance(spark: SparkSession, folder: str) -> DataFrame:
     return importance.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents whose sets of 3-word shingles are at least 0.9 alike."""
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"), jaccard_join.Rule(3, 9, 10))
+
+
 @query()
 def op3_projection_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors near others by cosine, their links and components."""
