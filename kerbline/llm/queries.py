@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, exact_dedup, importance, jaccard_join, lexicon_bpe, packing, projection_dedup, token_counts, toxicity
+from kerbline.llm import chain_dedup, chat, exact_dedup, importance, jaccard_join, lexicon_bpe, packing, projection_dedup, token_counts, toxicity
 from kerbline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op3_projection_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return projection_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+@query()
+def op4_chain_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document holds too, word for word or nearly."""
+    return chain_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 @query()
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents found again in flat token files of all texts, in file order."""
