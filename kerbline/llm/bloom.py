@@ -112,11 +112,15 @@ def drop_rows(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return clear.unionByName(doubtful.join(gone, key, "left_anti").select(*flagged.columns)).drop("__maybe")
 
 
+def near_rows(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` joined with ``wanted`` on a long ``key``; most other rows don't reach the shuffle."""
+    bitmap = build(wanted.select(key), key, size_for(wanted.count()))
+    return df.where(maybe(df, bitmap, key)).join(wanted, key)
+
+
 def only_rows(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows of ``df`` whose long ``key`` is in ``wanted``; others don't reach the shuffle."""
-    wanted = wanted.select(key)
-    bitmap = build(wanted, key, size_for(wanted.count()))
-    return df.where(maybe(df, bitmap, key)).join(wanted, key, "left_semi").select(*df.columns)
+    """The rows of ``df`` whose long ``key`` is in ``wanted``, which holds each key once."""
+    return near_rows(df, wanted.select(key), key).select(*df.columns)
 
 
 def maybe(df: DataFrame, bitmap: np.ndarray, column: str) -> Column:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.bloom import build, maybe, only_rows, size_for
+from kerbline.llm.bloom import build, maybe, near_rows, size_for
 from kerbline.llm.components import components
 from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, words
 from kerbline.session import settle
@@ -344,28 +344,33 @@ def jaccard_components(
     print_of = ["f1", "f2", "n"]
     linkable = every.where("n > 0 and doc_id is not null")
     classes = settle(linkable.groupBy(*print_of).agg(F.min("doc_id").alias("rep")))
-    leads = linkable.join(classes, print_of).where("doc_id = rep").select("doc_id", "n", "hist", "keys")
-    postings = settle(leads.select("doc_id", "n", "hist", F.explode("keys").alias("key")))
-    repeated = build(postings, "key", size_for(postings.count()), twice=True)
-    shared = postings.where(maybe(postings, repeated, "key"))
-    drafts = settle(components(_candidates(settle(shared), rule, per_list), "u", "v"))
-    weights = drafts.join(linkable.select(F.col("doc_id").alias("node"), "n"), "node").groupBy("component").agg(F.sum("n").alias("w"))
+    leads = settle(linkable.join(classes, print_of).where("doc_id = rep").select("doc_id", "n", "hist", "keys"))
+    n_keys = leads.agg(F.sum(F.size("keys"))).first()[0] or 0
+    repeated = build(leads.select(F.explode("keys").alias("key")), "key", size_for(n_keys), twice=True)
+    postings = leads.select("doc_id", "n", "hist", F.explode("keys").alias("key"))
+    shared = settle(postings.where(maybe(postings, repeated, "key")))
+    drafts = settle(components(_candidates(shared, rule, per_list), "u", "v"))
+    members = drafts.withColumnRenamed("node", "doc_id").join(linkable.select("doc_id", "n"), "doc_id")
+    weights = members.groupBy("component").agg(F.sum("n").alias("w"))
     parts = weights.where(F.col("w") > per_component).select("component", F.ceil(F.col("w") / per_component).alias("parts"))
-    members = drafts.withColumnRenamed("node", "doc_id")
+    order = ["component", "i", "j"]
+    placed = settle(_dealt(members, parts, "component").select("doc_id", *order, "mine"))
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows_, out = [], []
-            for row, s in row_sets(batch.column(1), rule.k):
+            for row, s in row_sets(batch.column(5), rule.k):
                 rows_.append(row)
                 out.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows_, pa.int64())), pa.array([len(x) // 8 for x in out], pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "n", "elements"])
-
-    wanted = only_rows(rows, members, "doc_id").mapInArrow(elements, "doc_id long, n long, elements binary").where("n > 0")
-    dealt = _dealt(wanted.join(members, "doc_id"), parts, "component")
-    order = ["component", "i", "j"]
-    placed = dealt.select(*order, "n", "doc_id", "mine", "elements").repartition(*order).sortWithinPartitions(*order, "n", "doc_id")
-    joined = components(_verified(placed, rule), "u", "v")
+            at = pa.array(rows_, pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c).take(at) for c in range(5)), pa.array([len(x) // 8 for x in out], pa.int64()), pa.array(out, pa.binary()),
+            ], names=[*order, "doc_id", "mine", "n", "elements"])
+
+    # texts cross the network once, before they become sets, which no codec can compress
+    texts = near_rows(rows, placed, "doc_id").select(*order, "doc_id", "mine", "text")
+    sets = texts.mapInArrow(elements, "component long, i long, j long, doc_id long, mine long, n long, elements binary").where("n > 0")
+    joined = components(_verified(sets.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*print_of, F.coalesce("component", "rep").alias("c"))
     ids = every.select("doc_id", *print_of)
     with_class = ids.where("n > 0 and doc_id is not null").join(named, print_of)
