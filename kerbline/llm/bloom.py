@@ -49,27 +49,23 @@ def build(df: DataFrame, column: str, bits: int, twice: bool = False) -> np.ndar
     """
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, again = np.zeros(bits, bool), np.zeros(bits, bool)
+        seen = np.zeros(bits, np.uint8)  # 0: never, 1: once, 2: again
         for batch in batches:
-            values = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
-            if twice:
+            for at in range(0, batch.num_rows, 100_000):
+                values = batch.column(0).slice(at, 100_000).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
                 values, counts = np.unique(values, return_counts=True)
-                places = _places(values, bits)
-                # two values of one batch that share a bit may be copies as far as the bit can tell
-                for place in places:
-                    _, where, shared = np.unique(place, return_inverse=True, return_counts=True)
-                    hit = once[place] | (counts > 1) | (shared[where] > 1)
-                    again[place[hit]] = True
-            else:
-                places = _places(values, bits)
-            for place in places:
-                once[place] = True
-        rows = [(i, a, b) for i, (a, b) in enumerate(zip(once.reshape(-1, SLICE_BITS), again.reshape(-1, SLICE_BITS), strict=True)) if a.any()]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int32()),
-            pa.array([np.packbits(r[1]).tobytes() for r in rows], pa.binary()),
-            pa.array([np.packbits(r[2]).tobytes() for r in rows], pa.binary()),
-        ], names=["slice", "once", "again"])
+                for place in _places(values, bits):
+                    if twice:
+                        # two values of one batch that share a bit may be copies as far as the bit can tell
+                        _, where, shared = np.unique(place, return_inverse=True, return_counts=True)
+                        seen[place] = np.where((seen[place] > 0) | (counts > 1) | (shared[where] > 1), 2, 1)
+                    else:
+                        seen[place] = 1
+        parts = seen.reshape(-1, SLICE_BITS)
+        for i in np.flatnonzero(parts.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([
+                pa.array([i], pa.int32()), pa.array([np.packbits(parts[i] > 0).tobytes()], pa.binary()), pa.array([np.packbits(parts[i] > 1).tobytes()], pa.binary()),
+            ], names=["slice", "once", "again"])
 
     def merge(key: tuple[Any, ...], group: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         once, again = np.zeros(SLICE_BITS, bool), np.zeros(SLICE_BITS, bool)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.llm import chain_dedup, chat, exact_dedup, importance, jaccard_join, lexicon_bpe, packing, projection_dedup, token_counts, toxicity
+from kerbline.llm.textscan import small_batches
 from kerbline.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +29,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -23,6 +23,11 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def small_batches(spark) -> None:
+    """Have Spark hand texts to Python tasks in batches of at most 8 MB (or one row)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)
