@@ -17,17 +17,22 @@ from kerbline.llm.components import components
 from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, words
 from kerbline.session import settle
 
-#: Counters of the frequency sketch, cells of a set's histogram, largest set that may be enumerated.
-SKETCH, CELLS, SMALL = 1 << 20, 32, 64
+#: Counters of the frequency sketch, and the largest set that may be enumerated.
+SKETCH, SMALL = 1 << 20, 64
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Sets of ``k``-word shingles link at a Jaccard similarity of ``num / den`` or more."""
+    """Sets of ``k``-word shingles link at a Jaccard similarity of ``num / den`` or more.
+
+    Each set carries a histogram of ``cells`` (a power of two). More cells tell larger sets
+    apart without a look at the sets; lower similarities need more. They never change a result.
+    """
 
     k: int = 3
     num: int = 9
     den: int = 10
+    cells: int = 128
 
     def needed(self, a, b):
         """Shared shingles that sets of these sizes need."""
@@ -61,9 +66,9 @@ def row_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
             yield first + i, np.unique(all_of[edge[i] : edge[i + 1]])
 
 
-def histogram(elements: np.ndarray) -> np.ndarray:
+def histogram(elements: np.ndarray, cells: int) -> np.ndarray:
     """Elements by cell, capped at 255: L1 distances never exceed the sets' difference."""
-    return np.minimum(np.bincount((elements >> np.uint64(7)).astype(np.int64) & (CELLS - 1), minlength=CELLS), 255).astype(np.uint8)
+    return np.minimum(np.bincount((elements >> np.uint64(7)).astype(np.int64) & (cells - 1), minlength=cells), 255).astype(np.uint8)
 
 
 def frequencies(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +184,7 @@ def _signatures(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
                 mixed = mix(s ^ np.uint64(0x5851F42D4C957F2D))
                 f1, f2 = s.sum(dtype=np.uint64), mixed.sum(dtype=np.uint64)
                 rows.append(row)
-                out.append((n, int(f1.astype(np.int64)), int(f2.astype(np.int64)), histogram(s).tobytes(), np.concatenate(keys) if keys else np.zeros(0, np.uint64)))
+                out.append((n, int(f1.astype(np.int64)), int(f2.astype(np.int64)), histogram(s, rule.cells).tobytes(), np.concatenate(keys) if keys else np.zeros(0, np.uint64)))
                 if len(rows) == 2000:
                     yield emit()
                     rows.clear(), out.clear()
@@ -246,7 +251,7 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
             begin = group_starts(table, 3)
             group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, table.num_rows)))
             n, doc = table["n"].to_numpy(), table["doc_id"].to_numpy()
-            hist = np.frombuffer(b"".join(table["hist"].to_pylist()), np.uint8).reshape(-1, CELLS)
+            hist = np.frombuffer(b"".join(table["hist"].to_pylist()), np.uint8).reshape(-1, rule.cells)
             label = np.arange(len(n))
             u, v = [], []
             left = np.arange(len(n))
@@ -289,7 +294,7 @@ def _verified(sets: DataFrame, rule: Rule) -> DataFrame:
             doc, mine, i, j = (table[c].to_numpy() for c in ("doc_id", "mine", "i", "j"))
             elements = [np.frombuffer(x, np.uint64) for x in table["elements"].to_pylist()]
             n = np.array([len(x) for x in elements])
-            hist = np.stack([histogram(x) for x in elements])
+            hist = np.stack([histogram(x, rule.cells) for x in elements])
             u, v = [], []
             for g0, g1 in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
                 label = np.arange(g0, g1)
