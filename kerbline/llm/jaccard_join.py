@@ -255,6 +255,7 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
             label = np.arange(len(n))
             u, v = [], []
             left = np.arange(len(n))
+            portion = 4_000_000 // rule.cells
             apart = 0
             while len(left):
                 apart += 1
@@ -263,8 +264,8 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
                 fits = (group[left] == group[right]) & (n[right] <= rule.largest(n[left]))
                 left = left[fits]
                 open_ = left[label[left] != label[left + apart]]
-                for at in range(0, len(open_), 200_000):
-                    a = open_[at : at + 200_000]
+                for at in range(0, len(open_), portion):
+                    a = open_[at : at + portion]
                     b = a + apart
                     distance = np.abs(hist[a].astype(np.int16) - hist[b]).sum(axis=1)
                     near = distance <= n[a] + n[b] - 2 * rule.needed(n[a], n[b])
