@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.textscan import mix
+from kerbline.llm.textscan import mix, trimmed
 
 MAX_BITS = 1 << 26
 SLICE_BITS = 1 << 16
@@ -77,7 +77,7 @@ def build(df: DataFrame, column: str, bits: int, twice: bool = False) -> np.ndar
         yield pd.DataFrame({"slice": [key[0]], "bits": [np.packbits(again if twice else once).tobytes()]})
 
     merged = (
-        df.select(column).mapInArrow(fill, "slice int, once binary, again binary")
+        df.select(column).mapInArrow(trimmed(fill), "slice int, once binary, again binary")
         .groupBy("slice").applyInPandas(merge, "slice int, bits binary")
     )
     out = np.zeros(bits // 8, np.uint8)

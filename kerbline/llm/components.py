@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.llm.textscan import trimmed
 from kerbline.session import settle
 
 
@@ -66,7 +67,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Every round is written to the shared checkpoint folder.
     """
     ends = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    edges = settle(ends.mapInArrow(_contract, "u long, v long"))
+    edges = settle(ends.mapInArrow(trimmed(_contract), "u long, v long"))
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.bloom import drop_rows
-from kerbline.llm.textscan import mix, slices, span_hashes
+from kerbline.llm.textscan import mix, slices, span_hashes, trimmed
 from kerbline.session import settle
 
 #: Byte classes: 0 white space, 1 small letter or non-ASCII, 2 capital, 3 digit, 4 other.
@@ -100,7 +100,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, good: np.ndarray, buckets: int, ke
                 target += np.bincount(bucket[is_target[first + row]], minlength=buckets)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(raw), pa.array(target)], names=["bucket", "raw", "target"])
 
-    rows = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "bucket long, raw long, target long")
+    rows = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(trimmed(run), "bucket long, raw long, target long")
     got = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()  # one row per bucket
     raw, target = np.zeros(buckets), np.zeros(buckets)
     raw[got["bucket"]], target[got["bucket"]] = got["raw"], got["target"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.bloom import build, maybe, near_rows, size_for
 from kerbline.llm.components import components
-from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, words
+from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, trimmed, words
 from kerbline.session import settle
 
 #: Counters of the frequency sketch, and the largest set that may be enumerated.
@@ -99,7 +99,7 @@ def frequencies(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "counts"])
 
     sketch, sizes = np.zeros(SKETCH, np.int64), np.zeros(step, np.int64)
-    parts = docs.mapInArrow(run, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
+    parts = docs.mapInArrow(trimmed(run), "part int, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
     for row in parts.collect():
         got = np.frombuffer(row["counts"], np.int64)
         if row["part"] < 0:
@@ -191,7 +191,7 @@ def _signatures(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
             if rows:
                 yield emit()
 
-    return docs.select(key, text).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, hist binary, keys array<long>")
+    return docs.select(key, text).mapInArrow(trimmed(run), "doc_id long, n long, f1 long, f2 long, hist binary, keys array<long>")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[pa.Table]:
@@ -283,7 +283,7 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
     big = settle(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > per_task))
     dealt = _dealt(postings, big.select("key", F.ceil(F.col("size") / per_task).alias("parts")), "key")
     order = ["key", "i", "j"]
-    return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(run, "u long, v long")
+    return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(trimmed(run), "u long, v long")
 
 
 def _verified(sets: DataFrame, rule: Rule) -> DataFrame:
@@ -321,7 +321,7 @@ def _verified(sets: DataFrame, rule: Rule) -> DataFrame:
                             label[label == high] = low
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return sets.mapInArrow(run, "u long, v long")
+    return sets.mapInArrow(trimmed(run), "u long, v long")
 
 
 def jaccard_components(
@@ -375,7 +375,7 @@ def jaccard_components(
 
     # texts cross the network once, before they become sets, which no codec can compress
     texts = near_rows(rows, placed, "doc_id").select(*order, "doc_id", "mine", "text")
-    sets = texts.mapInArrow(elements, "component long, i long, j long, doc_id long, mine long, n long, elements binary").where("n > 0")
+    sets = texts.mapInArrow(trimmed(elements), "component long, i long, j long, doc_id long, mine long, n long, elements binary").where("n > 0")
     joined = components(_verified(sets.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*print_of, F.coalesce("component", "rep").alias("c"))
     ids = every.select("doc_id", *print_of)

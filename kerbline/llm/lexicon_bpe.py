@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbline.llm.spans import SpanTable
-from kerbline.llm.textscan import lists, slices, span_hashes, words
+from kerbline.llm.textscan import lists, slices, span_hashes, trimmed, words
 from kerbline.session import ensure_checkpoint_dir
 
 LONGEST = 48
@@ -72,7 +72,7 @@ def count_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         if spans:
             yield out()
 
-    return docs.select(text).mapInArrow(run, "span binary, n long").groupBy("span").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(trimmed(run), "span binary, n long").groupBy("span").agg(F.sum("n").alias("n"))
 
 
 def compile_transducer(entries: dict[bytes, list[int]]) -> dict[str, np.ndarray]:
@@ -219,7 +219,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon_size: int = 32_768, key: str
                 ], names=["key", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), text)
-    return rows.mapInArrow(run, "key long, ids array<int>").withColumnRenamed("key", key)
+    return rows.mapInArrow(trimmed(run), "key long, ids array<int>").withColumnRenamed("key", key)
 
 
 def token_bytes(tokenizer_json: str) -> list[bytes]:
@@ -250,4 +250,4 @@ def decode(encoded: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
 
     rows = encoded.select(F.col(key).alias("key"), "ids")
-    return rows.mapInArrow(run, "key long, ids array<int>, decoded string").withColumnRenamed("key", key)
+    return rows.mapInArrow(trimmed(run), "key long, ids array<int>, decoded string").withColumnRenamed("key", key)

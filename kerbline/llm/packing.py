@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.spans import SpanTable
-from kerbline.llm.textscan import slices, span_hashes, words
+from kerbline.llm.textscan import slices, span_hashes, trimmed, words
 from kerbline.session import settle
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, place long"
@@ -84,7 +84,7 @@ def _local(docs: DataFrame, key: str, text: str, tokenizer_json: str, capacity:
             ], names=["doc_id", "piece", "start", "length", "ids_crc32", "bin", "place"])
             done += n
 
-    return docs.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(run, PIECES)
+    return docs.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(trimmed(run), PIECES)
 
 
 def _merge(items: DataFrame, tasks: int, capacity: int) -> DataFrame:
@@ -102,7 +102,7 @@ def _merge(items: DataFrame, tasks: int, capacity: int) -> DataFrame:
         lead[bins[shift == 0]] = names[shift == 0]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (names, lead[bins], shift, fill[bins])], names=["bin", "into", "shift", "fill"])
 
-    return items.select("bin", "fill").repartition(tasks, "bin").mapInArrow(run, "bin long, into long, shift long, fill long")
+    return items.select("bin", "fill").repartition(tasks, "bin").mapInArrow(trimmed(run), "bin long, into long, shift long, fill long")
 
 
 def pack(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.components import components
+from kerbline.llm.textscan import trimmed
 from kerbline.session import settle
 
 
@@ -51,7 +52,7 @@ def _codes(vectors: DataFrame, passes: int, bits: int, seed: int) -> DataFrame:
                     pa.array(np.full(len(rows), dim, np.int32)), pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), passes).cast(pa.list_(pa.int64())),
                 ], names=["vec_id", "unit", "dim", "codes"])
 
-    return vectors.mapInArrow(run, "vec_id long, unit array<double>, dim int, codes array<long>")
+    return vectors.mapInArrow(trimmed(run), "vec_id long, unit array<double>, dim int, codes array<long>")
 
 
 def _ranked(codes: DataFrame) -> DataFrame:

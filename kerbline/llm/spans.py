@@ -29,7 +29,7 @@ class SpanTable:
     token themselves go one by one.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 2_000_000):
+    def __init__(self, tokenizer_json: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -7,12 +7,14 @@ longer, so memory is bounded by the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -28,6 +30,21 @@ def small_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``; at a task's end its worker, which Spark keeps for later tasks,
+    hands the freed memory back to the system."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:  # only the GNU library has it
+            trim(0)
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kerbline.llm.textscan import trimmed
 from kerbline.session import settle
 
 #: Tokens in a block of the scan.
@@ -35,7 +36,7 @@ def write_token_files(docs: DataFrame, path: str, model: bytes, separator: int =
                 ids = tokenizer.encode(texts, num_threads=1)
                 yield pa.RecordBatch.from_arrays([pa.array([np.array(x, "<u2").tobytes() for x in ids], pa.binary())], names=["value"])
 
-    raw = docs.select(text).mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+    raw = docs.select(text).mapInArrow(trimmed(run), "value binary").select(F.col("value").cast("string"))
     raw.write.option("lineSep", ends).text(path)
 
 
@@ -66,7 +67,7 @@ def scan_token_files(spark: SparkSession, path: str, separator: int = 2, block:
                     ], names=["file", "block", "k", "stop", "n", "seps"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    found = settle(files.mapInArrow(search, "file string, block long, k long, stop long, n long, seps long"))
+    found = settle(files.mapInArrow(trimmed(search), "file string, block long, k long, stop long, n long, seps long"))
     order = Window.partitionBy("file").orderBy("block")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     run_of = Window.partitionBy("file", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)

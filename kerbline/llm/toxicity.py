@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.importance import bounded_labels, find
-from kerbline.llm.textscan import LOWER, slices, span_hashes
+from kerbline.llm.textscan import LOWER, slices, span_hashes, trimmed
 from kerbline.session import settle
 
 LETTER = np.zeros(256, bool)
@@ -200,7 +200,7 @@ def learn_lexicon(
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([found[1][t] for t in part], pa.int64()), pa.array([found[0][t] for t in part], pa.int64())], names=["term", "toxic", "clean"])
 
     n_toxic, n_clean = max(1, int((toxic > 0).sum())), max(1, int((toxic <= 0).sum()))
-    counted = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "term binary, toxic long, clean long")
+    counted = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(trimmed(run), "term binary, toxic long, clean long")
     total = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share, other = F.col("toxic") / n_toxic, (F.col("clean") + F.lit(0.1)) / n_clean
     good = total.where((F.col("toxic") >= max(least_docs, least_share * n_toxic)) & (share >= 9 * other))
@@ -261,7 +261,7 @@ def hit_features(docs: DataFrame, lexicon: Lexicon, window: int = 80, key: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), *(pa.array(c) for c in columns)], names=["key", *FEATURES])
 
     schema = "key long, " + ", ".join(f"{f} double" for f in FEATURES)
-    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return docs.select(F.col(key).cast("long").alias("key"), text).mapInArrow(trimmed(run), schema).withColumnRenamed("key", key)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 30) -> np.ndarray:
