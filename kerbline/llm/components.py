@@ -13,7 +13,7 @@ from kerbline.session import settle
 
 
 #: Nodes that a task keeps before it sends their stars on.
-PORTION = 500_000
+PORTION = 200_000
 
 
 class Union:

@@ -286,14 +286,14 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
     return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(trimmed(run), "u long, v long")
 
 
-def _verified(sets: DataFrame, rule: Rule) -> DataFrame:
+def _verified(texts: DataFrame, rule: Rule) -> DataFrame:
     """(u, v): links that join what no link of the task has joined, from exact set overlaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 3):
             begin = np.append(group_starts(table, 3), table.num_rows)
             doc, mine, i, j = (table[c].to_numpy() for c in ("doc_id", "mine", "i", "j"))
-            elements = [np.frombuffer(x, np.uint64) for x in table["elements"].to_pylist()]
+            elements = [s for _, s in row_sets(table["text"], rule.k)]
             n = np.array([len(x) for x in elements])
             hist = np.stack([histogram(x, rule.cells) for x in elements])
             u, v = [], []
@@ -321,7 +321,7 @@ def _verified(sets: DataFrame, rule: Rule) -> DataFrame:
                             label[label == high] = low
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return sets.mapInArrow(trimmed(run), "u long, v long")
+    return texts.mapInArrow(trimmed(run), "u long, v long")
 
 
 def jaccard_components(
@@ -360,23 +360,10 @@ def jaccard_components(
     weights = members.groupBy("component").agg(F.sum("n").alias("w"))
     parts = weights.where(F.col("w") > per_component).select("component", F.ceil(F.col("w") / per_component).alias("parts"))
     order = ["component", "i", "j"]
-    placed = settle(_dealt(members, parts, "component").select("doc_id", *order, "mine"))
-
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows_, out = [], []
-            for row, s in row_sets(batch.column(5), rule.k):
-                rows_.append(row)
-                out.append(s.tobytes())
-            at = pa.array(rows_, pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                *(batch.column(c).take(at) for c in range(5)), pa.array([len(x) // 8 for x in out], pa.int64()), pa.array(out, pa.binary()),
-            ], names=[*order, "doc_id", "mine", "n", "elements"])
-
-    # texts cross the network once, before they become sets, which no codec can compress
-    texts = near_rows(rows, placed, "doc_id").select(*order, "doc_id", "mine", "text")
-    sets = texts.mapInArrow(trimmed(elements), "component long, i long, j long, doc_id long, mine long, n long, elements binary").where("n > 0")
-    joined = components(_verified(sets.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
+    placed = settle(_dealt(members, parts, "component").select("doc_id", *order, "mine", "n"))
+    # texts cross the network, not sets, which no codec can compress
+    texts = near_rows(rows, placed, "doc_id").select(*order, "n", "doc_id", "mine", "text")
+    joined = components(_verified(texts.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*print_of, F.coalesce("component", "rep").alias("c"))
     ids = every.select("doc_id", *print_of)
     with_class = ids.where("n > 0 and doc_id is not null").join(named, print_of)

@@ -26,8 +26,8 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def small_batches(spark) -> None:
-    """Have Spark hand texts to Python tasks in batches of at most 8 MB (or one row)."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    """Have Spark hand texts to Python tasks in batches of at most 4 MB (or one row)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):

@@ -83,6 +83,8 @@ def compile_terms(terms: list[bytes], stems: list[bytes]) -> Automaton:
     A state is a set of (trie node, edits so far); dominated members are left out. Stems take no
     edits and accept whatever follows. Edits count UTF-8 bytes.
     """
+    if not terms and not stems:
+        return Automaton(np.zeros(256, np.int16), np.zeros((2, 1), np.int32), np.full(2, -1, np.int32), np.full(2, -1, np.int8))
     children: list[dict[int, int]] = []
     last: list[int] = []
     roots: dict[tuple[int, bool], int] = {}
