@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kerbline.llm.textscan import mix, trimmed
 
-MAX_BITS = 1 << 25
+MAX_BITS = 1 << 26
 SLICE_BITS = 1 << 16
 
 
@@ -81,7 +81,7 @@ def build(df: DataFrame, column: str, bits: int, twice: bool = False) -> np.ndar
         .groupBy("slice").applyInPandas(merge, "slice int, bits binary")
     )
     out = np.zeros(bits // 8, np.uint8)
-    for row in merged.collect():  # at most bits / SLICE_BITS rows, 4 MB in all
+    for row in merged.collect():  # at most bits / SLICE_BITS rows, 8 MB in all
         out[row["slice"] * SLICE_BITS // 8 : (row["slice"] + 1) * SLICE_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
 
