@@ -27,11 +27,10 @@ def bracket(left: DataFrame, right: DataFrame, by: list[str], left_time: str = "
     The structs carry every right column except the keys; the time is ``prev.<right_time>``.
     """
     carried = [c for c in right.columns if c not in by]
-    tie = F.lit("")
-    if right_tie:  # padded text keeps number order and lets left rows sort beside it
-        tie = F.coalesce(F.lpad(F.col(right_tie).cast("string"), 24, " "), F.lit(""))
+    kind = right.schema[right_tie].dataType if right_tie else "int"
+    tie = F.col(right_tie) if right_tie else F.lit(None).cast(kind)
     lefts = left.select(
-        *by, F.col(left_time).alias("__t"), F.lit(1).alias(SIDE), F.lit("").alias(TIE),
+        *by, F.col(left_time).alias("__t"), F.lit(1).alias(SIDE), F.lit(None).cast(kind).alias(TIE),
         F.struct(*[c for c in left.columns if c not in by]).alias("__l"),
     )
     rights = right.select(

@@ -336,3 +336,15 @@ def test_plans(spark, folder):
     assert "BroadcastNestedLoopJoin" not in plan(pairs) and "CartesianProduct" not in plan(pairs)
     near = timejoin.nearest_asof(t.frames(), t.frames(), ["session_id"], NS, right_tie="frame_id")
     assert "NestedLoop" not in plan(near)
+
+
+@pytest.mark.parametrize(("ties", "kind", "last"), [
+    ([-12, 3, -5], "long", 3), ([9.123456, 10.5, -1.0], "double", 10.5), (["x" * 39 + c for c in "bca"], "string", "x" * 39 + "c"),
+])
+def test_asof_ties_keep_their_type(spark, ties, kind, last):
+    from kerbline.operators.timejoin import asof_backward
+
+    left = spark.createDataFrame([(1, 100)], "k long, t_ns long")
+    for order in (ties, ties[::-1]):
+        right = spark.createDataFrame([(1, 50, t) for t in order], f"k long, t_ns long, tie {kind}").repartition(3)
+        assert [r["r_tie"] for r in asof_backward(left, right, ["k"], right_tie="tie").collect()] == [last]
