@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.bloom import build, maybe, near_rows, size_for
+from kerbline.llm.bloom import build, contains, near_rows, size_for
 from kerbline.llm.components import components
 from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, trimmed, words
 from kerbline.session import settle
@@ -229,20 +229,60 @@ def group_starts(table: pa.Table, by: int) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def _dealt(rows: DataFrame, sizes: DataFrame, by: str) -> DataFrame:
-    """Rows with block pairs (i, j): groups in ``sizes`` (``by, parts``) are cut into blocks.
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows with block pairs (i, j): each group is cut into as many blocks as ``parts`` says.
 
     Each block meets each block in one task, so groups of any size stay whole and no task gets
     more than two blocks of one.
     """
     return (
-        rows.join(sizes, by, "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
+        rows.withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
         .withColumn("mine", F.pmod(F.xxhash64("doc_id"), "parts"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
     )
 
 
+def _lists(leads: DataFrame) -> DataFrame:
+    """(key, size) of the inverted lists to scan: those of two sets or more, one of each with equal members.
+
+    Copies share nearly all their keys, so most lists hold the same sets as another one and can
+    tell nothing new. Members are compared by size, xor and two sums of 64-bit marks.
+    """
+    marked = leads.select(F.xxhash64("doc_id", "n", "f1").alias("mark"), F.explode("keys").alias("key"))
+    members = ["size", "either", "low", "high"]
+    return (
+        marked.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.bit_xor("mark").alias("either"),
+            F.sum(F.col("mark").bitwiseAND(0xFFFFFFFF)).alias("low"), F.sum(F.shiftrightunsigned("mark", 32)).alias("high"),
+        )
+        .where("size > 1").groupBy(*members).agg(F.min("key").alias("key")).select("key", "size")
+    )
+
+
+def _postings(leads: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(key, size, doc_id, n, hist): the members of the scanned lists.
+
+    Most keys of other lists are left out before the shuffle, by a bitmap.
+    """
+    shared = leads.sparkSession.sparkContext.broadcast(build(scanned, "key", size_for(scanned.count())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(3)
+            ends = np.append(0, np.cumsum(keys.value_lengths().to_numpy()))
+            flat = keys.flatten().to_numpy()
+            found = contains(shared.value, flat)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))[found]
+            flat = flat[found]
+            for at in range(0, len(flat), 20_000):
+                take = pa.array(row[at : at + 20_000])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(3)), pa.array(flat[at : at + 20_000])], names=["doc_id", "n", "hist", "key"])
+
+    rows = leads.select("doc_id", "n", "hist", "keys").mapInArrow(trimmed(run), "doc_id long, n long, hist binary, key long")
+    return rows.join(scanned, "key")
+
+
 def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
     """(u, v): per list, a spanning forest of the pairs that pass the size and histogram tests."""
 
@@ -280,8 +320,7 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
                             own[own == high] = low
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    big = settle(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > per_task))
-    dealt = _dealt(postings, big.select("key", F.ceil(F.col("size") / per_task).alias("parts")), "key")
+    dealt = _dealt(postings.withColumn("parts", F.ceil(F.col("size") / per_task)))
     order = ["key", "i", "j"]
     return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(trimmed(run), "u long, v long")
 
@@ -350,17 +389,14 @@ def jaccard_components(
     print_of = ["f1", "f2", "n"]
     linkable = every.where("n > 0 and doc_id is not null")
     classes = settle(linkable.groupBy(*print_of).agg(F.min("doc_id").alias("rep")))
-    leads = settle(linkable.join(classes, print_of).where("doc_id = rep").select("doc_id", "n", "hist", "keys"))
-    n_keys = leads.agg(F.sum(F.size("keys"))).first()[0] or 0
-    repeated = build(leads.select(F.explode("keys").alias("key")), "key", size_for(n_keys), twice=True)
-    postings = leads.select("doc_id", "n", "hist", F.explode("keys").alias("key"))
-    shared = settle(postings.where(maybe(postings, repeated, "key")))
-    drafts = settle(components(_candidates(shared, rule, per_list), "u", "v"))
+    leads = settle(linkable.join(classes, print_of).where("doc_id = rep").select("doc_id", "n", "f1", "hist", "keys"))
+    scanned = settle(_lists(leads))
+    drafts = settle(components(_candidates(_postings(leads, scanned), rule, per_list), "u", "v"))
     members = drafts.withColumnRenamed("node", "doc_id").join(linkable.select("doc_id", "n"), "doc_id")
     weights = members.groupBy("component").agg(F.sum("n").alias("w"))
     parts = weights.where(F.col("w") > per_component).select("component", F.ceil(F.col("w") / per_component).alias("parts"))
     order = ["component", "i", "j"]
-    placed = settle(_dealt(members, parts, "component").select("doc_id", *order, "mine", "n"))
+    placed = settle(_dealt(members.join(parts, "component", "left")).select("doc_id", *order, "mine", "n"))
     # texts cross the network, not sets, which no codec can compress
     texts = near_rows(rows, placed, "doc_id").select(*order, "n", "doc_id", "mine", "text")
     joined = components(_verified(texts.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
