@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.bloom import build, contains, near_rows, size_for
+from kerbline.llm.bloom import build, contains, drop_rows, near_rows, size_for
 from kerbline.llm.components import components
 from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, trimmed, words
 from kerbline.session import settle
@@ -249,7 +249,7 @@ def _lists(leads: DataFrame) -> DataFrame:
     Copies share nearly all their keys, so most lists hold the same sets as another one and can
     tell nothing new. Members are compared by size, xor and two sums of 64-bit marks.
     """
-    marked = leads.select(F.xxhash64("doc_id", "n", "f1").alias("mark"), F.explode("keys").alias("key"))
+    marked = leads.select("mark", F.explode("keys").alias("key"))
     members = ["size", "either", "low", "high"]
     return (
         marked.groupBy("key").agg(
@@ -387,9 +387,11 @@ def jaccard_components(
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     every = settle(_signatures(rows, rule, "doc_id", "text"))
     print_of = ["f1", "f2", "n"]
-    linkable = every.where("n > 0 and doc_id is not null")
+    linkable = every.where("n > 0 and doc_id is not null").withColumn("mark", F.xxhash64("doc_id", *print_of))
     classes = settle(linkable.groupBy(*print_of).agg(F.min("doc_id").alias("rep")))
-    leads = settle(linkable.join(classes, print_of).where("doc_id = rep").select("doc_id", "n", "f1", "hist", "keys"))
+    # the sets with their keys stay where they are: only those that an equal set stands for go, by their mark
+    copies = settle(linkable.select("doc_id", "mark", *print_of).join(classes, print_of).where("doc_id <> rep").select("mark"))
+    leads = drop_rows(linkable.select("doc_id", "n", "mark", "hist", "keys"), copies, "mark")
     scanned = settle(_lists(leads))
     drafts = settle(components(_candidates(_postings(leads, scanned), rule, per_list), "u", "v"))
     members = drafts.withColumnRenamed("node", "doc_id").join(linkable.select("doc_id", "n"), "doc_id")
