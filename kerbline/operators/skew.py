@@ -8,25 +8,19 @@ from pyspark.sql import functions as F
 PART, PARTS = "__part", "__parts"
 
 
-MAX_HOT_KEYS = 10_000
-
-
 def hot_key_join(many: DataFrame, few: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     """Inner join in which a key with many rows of ``many`` is cut into parts.
 
     Rows are counted per key first (partial aggregation, one small row per key and task). A
-    key is hot above ``hot_rows`` rows or above one 10,000th of all rows, whichever is more;
-    fewer than 10,000 keys can pass the second limit, so the list of hot keys has a fixed
-    bound and is broadcast, and ``many`` is shuffled only once. The rows of a hot key get a
-    part number by hash and the matching rows of ``few`` are copied to every part, so the
-    result is whole and no task receives the whole key. Rows of ``few`` whose key does not
+    key with more than ``hot_rows`` rows is cut into parts of about that size, whatever the
+    size of the table; Spark chooses how the list of hot keys is joined. The rows of a hot key
+    get a part number by hash and the matching rows of ``few`` are copied to every part, so
+    the result is whole and no task receives the whole key. Rows of ``few`` whose key does not
     occur in ``many`` drop out before the join.
     """
     counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), total / MAX_HOT_KEYS)
-    load = counts.select(*keys, F.ceil(F.col("__n") / limit).cast("long").alias(PARTS))
-    hot = F.broadcast(load.filter(F.col(PARTS) > 1))
+    load = counts.select(*keys, F.ceil(F.col("__n") / hot_rows).cast("long").alias(PARTS))
+    hot = load.filter(F.col(PARTS) > 1)
     zero = F.lit(0).cast("long")
     copies = few.join(load, keys).withColumn(
         PART, F.explode(F.sequence(zero, F.col(PARTS) - 1))
