@@ -40,8 +40,8 @@ class Union:
         return True
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the links of one task by stars, in portions that bound its memory."""
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the links (two columns) of one task by stars, in portions that bound its memory."""
     sets = Union()
 
     def stars() -> pa.RecordBatch:
@@ -57,17 +57,18 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, contracted: bool = False) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has a link.
 
-    Each task first replaces its links by stars. Then "large star" and "small star" rounds hang
+    Each task first replaces its links by stars (:func:`contract`), unless the tasks that made
+    them have done so already (``contracted``). Then "large star" and "small star" rounds hang
     every node on smaller ones: both are a minimum per node (pre-aggregated before the shuffle)
     and a join, so a hub with a third of all links is neither collected nor walked by one task.
     Rounds end when nothing changes; their number grows with the logarithm of the longest path.
     Every round is written to the shared checkpoint folder.
     """
     ends = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
-    edges = settle(ends.mapInArrow(trimmed(_contract), "u long, v long"))
+    edges = settle(ends if contracted else ends.mapInArrow(trimmed(contract), "u long, v long"))
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.llm.bloom import build, contains, drop_rows, near_rows, size_for
-from kerbline.llm.components import components
+from kerbline.llm.components import components, contract
 from kerbline.llm.textscan import LOWER, lists, mix, shingles, signed, slices, span_hashes, trimmed, words
 from kerbline.session import settle
 
@@ -284,7 +284,7 @@ def _postings(leads: DataFrame, scanned: DataFrame) -> DataFrame:
 
 
 def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
-    """(u, v): per list, a spanning forest of the pairs that pass the size and histogram tests."""
+    """(u, v): stars of the task's links; a list gives a spanning forest of the pairs that pass the size and histogram tests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 3):
@@ -322,11 +322,11 @@ def _candidates(postings: DataFrame, rule: Rule, per_task: int) -> DataFrame:
 
     dealt = _dealt(postings.withColumn("parts", F.ceil(F.col("size") / per_task)))
     order = ["key", "i", "j"]
-    return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(trimmed(run), "u long, v long")
+    return dealt.select(*order, "n", "doc_id", "hist").repartition(*order).sortWithinPartitions(*order, "n", "doc_id").mapInArrow(trimmed(lambda b: contract(run(b))), "u long, v long")
 
 
 def _verified(texts: DataFrame, rule: Rule) -> DataFrame:
-    """(u, v): links that join what no link of the task has joined, from exact set overlaps."""
+    """(u, v): stars of the links that join what no link of the task has joined, from exact set overlaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 3):
@@ -360,7 +360,7 @@ def _verified(texts: DataFrame, rule: Rule) -> DataFrame:
                             label[label == high] = low
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return texts.mapInArrow(trimmed(run), "u long, v long")
+    return texts.mapInArrow(trimmed(lambda b: contract(run(b))), "u long, v long")
 
 
 def jaccard_components(
@@ -393,7 +393,7 @@ def jaccard_components(
     copies = settle(linkable.select("doc_id", "mark", *print_of).join(classes, print_of).where("doc_id <> rep").select("mark"))
     leads = drop_rows(linkable.select("doc_id", "n", "mark", "hist", "keys"), copies, "mark")
     scanned = settle(_lists(leads))
-    drafts = settle(components(_candidates(_postings(leads, scanned), rule, per_list), "u", "v"))
+    drafts = settle(components(_candidates(_postings(leads, scanned), rule, per_list), "u", "v", contracted=True))
     members = drafts.withColumnRenamed("node", "doc_id").join(linkable.select("doc_id", "n"), "doc_id")
     weights = members.groupBy("component").agg(F.sum("n").alias("w"))
     parts = weights.where(F.col("w") > per_component).select("component", F.ceil(F.col("w") / per_component).alias("parts"))
@@ -401,7 +401,7 @@ def jaccard_components(
     placed = settle(_dealt(members.join(parts, "component", "left")).select("doc_id", *order, "mine", "n"))
     # texts cross the network, not sets, which no codec can compress
     texts = near_rows(rows, placed, "doc_id").select(*order, "n", "doc_id", "mine", "text")
-    joined = components(_verified(texts.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v")
+    joined = components(_verified(texts.repartition(*order).sortWithinPartitions(*order, "n", "doc_id"), rule), "u", "v", contracted=True)
     named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(*print_of, F.coalesce("component", "rep").alias("c"))
     ids = every.select("doc_id", *print_of)
     with_class = ids.where("n > 0 and doc_id is not null").join(named, print_of)
