@@ -7,7 +7,6 @@ its spans, one after the other, and each distinct span is encoded once per task.
 
 from __future__ import annotations
 
-import json
 import os
 
 import numpy as np
@@ -34,8 +33,9 @@ class SpanTable:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_str(tokenizer_json), most
-        mark = next(t for t in json.loads(tokenizer_json)["added_tokens"] if t["special"] and not t["normalized"])
-        self.mark, self.mark_id = np.frombuffer(mark["content"].encode(), np.uint8), mark["id"]
+        added = sorted(self.tokenizer.get_added_tokens_decoder().items())
+        self.mark_id, mark = next((number, t) for number, t in added if t.special and not t.normalized)
+        self.mark = np.frombuffer(mark.content.encode(), np.uint8)
         self._clear()
 
     def _clear(self) -> None:
