@@ -32,10 +32,12 @@ def small_batches(spark) -> None:
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``run`` for ``mapInArrow``; at a task's end its worker, which Spark keeps for later tasks,
-    hands the freed memory back to the system."""
+    hands the freed memory back to the system. Arrow shares the system's allocator for that."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         yield from run(batches)
+        _POWERS.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
