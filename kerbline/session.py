@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,19 @@ def local_session(app: str = "kerbline", cpus: int | str = "*", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared ``spark.checkpoint.dir``; fall back to a temp folder if none is set."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.
+
+    Without the setting a local session, as in tests, takes a temp folder; a cluster gets an
+    error, since its executors would each write to a disk of their own.
+    """
     context = spark.sparkContext
     if spark.conf.get("spark.checkpoint.dir", None):
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
         return
     if context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="kerbline-checkpoint-"))
 
 

@@ -348,3 +348,20 @@ def test_asof_ties_keep_their_type(spark, ties, kind, last):
     for order in (ties, ties[::-1]):
         right = spark.createDataFrame([(1, 50, t) for t in order], f"k long, t_ns long, tie {kind}").repartition(3)
         assert [r["r_tie"] for r in asof_backward(left, right, ["k"], right_tie="tie").collect()] == [last]
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from kerbline.session import ensure_checkpoint_dir
+
+    taken = []
+    for master, refused in (("spark://head:7077", True), ("local-cluster[2,1,1024]", True), ("local[8]", False)):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=taken.append)
+        session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
+        if refused:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                ensure_checkpoint_dir(session)
+        else:
+            ensure_checkpoint_dir(session)
+    assert len(taken) == 1
