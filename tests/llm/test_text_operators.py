@@ -286,3 +286,30 @@ def test_spans_encode_as_the_whole_text():
         start, stop, _ = lexicon_bpe.spaced_spans(data, np.array([0, len(data)]))
         ids, _ = spans.SpanTable(open(path, encoding="utf-8").read()).encode(data, start, stop, lexicon_bpe.span_hashes(data, start, stop))
         assert ids.tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("alike", [0.8, 0.85, 0.9, 0.95])
+def test_passages_at_the_stated_similarity(spark, alike):
+    """Substitutions at random places and evenly spread; every planted passage is found."""
+    rng = np.random.default_rng(int(100 * alike))
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 200_000, n)]
+    docs, want = {}, {}
+    for i in range(60):
+        n = (60, 100, 200)[i % 3]
+        passage = text(n)
+        copy = list(passage)
+        changed = round((1 - alike) * n)
+        places = np.linspace(0, n - 1, changed + 2)[1:-1].round().astype(int) if i % 2 else rng.choice(np.arange(1, n - 1), changed, replace=False)
+        for p in places:
+            copy[p] = "x" + copy[p]
+        docs[i] = text(80) + passage + text(80)
+        docs[100 + i] = text(70) + copy + text(40)
+        want[100 + i] = (i, n)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs.items()], "doc_id long, text string")
+    covered: dict = {}
+    for r in chain_dedup.repeated_passages(df).collect():
+        assert want[r["doc_id"]][0] == r["owner_id"]
+        assert r["matches"] >= 0.8 * max(r["stop"] - r["start"], r["owner_stop"] - r["owner_start"]) - 1e-9
+        covered[r["doc_id"]] = covered.get(r["doc_id"], 0) + r["stop"] - r["start"]
+    assert covered.keys() == want.keys()
+    assert np.mean([covered[i] / n for i, (_, n) in want.items()]) > 0.85
