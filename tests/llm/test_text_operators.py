@@ -313,3 +313,22 @@ def test_passages_at_the_stated_similarity(spark, alike):
         covered[r["doc_id"]] = covered.get(r["doc_id"], 0) + r["stop"] - r["start"]
     assert covered.keys() == want.keys()
     assert np.mean([covered[i] / n for i, (_, n) in want.items()]) > 0.85
+
+
+def test_passages_whose_parts_stand_in_earlier_documents(spark):
+    """Word-for-word copies of 60 words of which every sentence, or overlapping halves, are in earlier documents."""
+    rng = np.random.default_rng(8)
+    text = lambda n: [f"w{i}" for i in rng.integers(0, 200_000, n)]
+    docs, want = {}, {}
+    for i in range(40):
+        sentences, at = [text(20) for _ in range(3)], 10 * i
+        passage = sum(sentences, [])
+        parts = [passage[:45], passage[15:]] if i % 2 else sentences
+        for j, part in enumerate(parts):
+            docs[at + j] = text(30) + part + text(30)
+        docs[1000 + i] = text(60) + passage + text(60)
+        docs[2000 + i] = text(70) + passage + text(50)
+        want[2000 + i] = (1000 + i, 70, 130)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs.items()], "doc_id long, text string")
+    got = {r["doc_id"]: (r["owner_id"], r["start"], r["stop"]) for r in chain_dedup.repeated_passages(df).collect()}
+    assert got == want
