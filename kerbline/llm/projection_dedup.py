@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -81,14 +82,28 @@ def _labels(near: np.ndarray) -> np.ndarray:
         label = new
 
 
+def passes_for(rows: int, threshold: float, window: int, miss: float) -> int:
+    """Passes after which two vectors at ``threshold`` are neighbours in none with probability ``miss``.
+
+    Two ends of a link agree on one sign hash with probability 1 - angle / pi. If hashes halve
+    the rows, ends that agree on the first log2(rows / window) of them are within the window.
+    """
+    depth = max(0.0, log2(max(rows, 1) / window))
+    hit = (1 - acos(max(-1.0, min(1.0, threshold))) / pi) ** depth
+    return 1 if hit >= 1 else max(1, ceil(log(miss) / log(1 - hit)))
+
+
 def near_vectors(
-    vectors: DataFrame, threshold: float = 0.9, passes: int = 10, bits: int = 48, window: int = 512, block: int = 1024,
+    vectors: DataFrame, threshold: float = 0.9, miss: float = 0.001, bits: int = 48, window: int = 512, block: int = 1024,
     seed: int = 29, key: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
     """``key, n_links, component_id, kept`` per vector, by cosine of at least ``threshold``.
 
     In each pass vectors are ordered by ``bits`` random sign hashes put together, ties by id,
-    and every vector is compared with its ``window`` neighbours on either side. Verified pairs
+    and every vector is compared with its ``window`` neighbours on either side. There are as many
+    passes as keep a link at ``threshold`` from being missed more often than ``miss``, at any
+    number of rows (``passes_for``; vectors all on one side of the origin split less evenly and
+    may be missed more often). Verified pairs
     of all passes are united; a block of neighbours sends on one link per vector, not its
     pairs. ``n_links`` counts the links inside a component: all pairs of its vectors are
     compared in blocks of ``block`` rows spread over tasks, and only counts leave a task. So a
@@ -101,6 +116,7 @@ def near_vectors(
     """
     ids = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"))
     named = ids.where("vec_id is not null").groupBy("vec_id").agg(F.min("v").alias("v"))
+    passes = passes_for(ids.count(), threshold, window, miss)
     codes = settle(_codes(named, passes, bits, seed))
     units = codes.select("vec_id", "dim", "unit")
     ranked = _ranked(codes)

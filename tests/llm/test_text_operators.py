@@ -332,3 +332,18 @@ def test_passages_whose_parts_stand_in_earlier_documents(spark):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs.items()], "doc_id long, text string")
     got = {r["doc_id"]: (r["owner_id"], r["start"], r["stop"]) for r in chain_dedup.repeated_passages(df).collect()}
     assert got == want
+
+
+def test_vectors_of_a_table_much_larger_than_the_window(spark):
+    """Isolated pairs just above the threshold, each window a small share of the rows."""
+    rng = np.random.default_rng(17)
+    n, dim = 400, 64
+    a, b = rng.standard_normal((2, n, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = 0.905 * a + np.sqrt(1 - 0.905**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    x = np.concatenate([a, b, rng.standard_normal((3200, dim))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in projection_dedup.near_vectors(df, window=8).collect()}
+    assert sum(got[i] for i in range(n)) >= 0.99 * n
+    assert [projection_dedup.passes_for(rows, 0.9, 512, 0.001) for rows in (100, 20_000, 1_000_000)] == [1, 12, 35]
