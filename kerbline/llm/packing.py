@@ -113,10 +113,10 @@ def pack(
 
     A document is its token ids and then ``end_id``; only longer ones are cut. Each task packs
     its own pieces by best fit. Bins filled to ``nearly_full`` are final; the others become
-    items of a next round, which merges the items of several tasks, at most about ``per_task``
-    to a task, until one task sees all that are left or a round joins fewer than one in a
-    hundred. So no task ever holds more than its share of items, and texts are read once and
-    never shuffled.
+    items of a next round, which merges the items of several tasks: at first about ``per_task``
+    to a task, then half as many tasks each round, until one task sees all that are left. Bins
+    too full for the emptiest one are final too. Items are two numbers each; texts are read
+    once and never shuffled.
 
     Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``. A null or empty
     text is ``end_id`` alone. Rows that repeat an id are packed on their own; a null id stays
@@ -127,19 +127,21 @@ def pack(
     items = settle(items)
     moved = items.select("bin", F.col("bin").alias("sequence_id"), F.lit(0).cast("long").alias("shift"))
     before = items.count()
+    tasks = -(-before // per_task)
     while before > 1:
-        tasks = -(-before // per_task)
         step = settle(_merge(items, tasks, capacity))
         hop = step.select(F.col("bin").alias("sequence_id"), "into", F.col("shift").alias("more"))
         moved = settle(
             moved.join(hop, "sequence_id", "left")
             .select("bin", F.coalesce("into", "sequence_id").alias("sequence_id"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"))
         )
-        items = settle(step.where((F.col("shift") == 0) & (F.col("fill") < nearly_full * capacity)).select("bin", "fill"))
-        now = items.count()
-        if tasks == 1 or now > 0.99 * before:
+        if tasks == 1:
             break
-        before = now
+        left = settle(step.where((F.col("shift") == 0) & (F.col("fill") < nearly_full * capacity)).select("bin", "fill"))
+        least = left.agg(F.min("fill")).first()[0]
+        items = left.where(F.col("fill") <= capacity - (least or 0))
+        before = items.count()
+        tasks = min(-(-tasks // 2), -(-before // per_task))
     out = pieces.join(moved, "bin", "left")
     return out.select(
         F.col("doc_id").alias(key), "piece", "start", "length", "ids_crc32",
