@@ -19,6 +19,9 @@ from kerbline.session import settle
 LETTER = np.zeros(256, bool)
 LETTER[48:58] = LETTER[97:123] = LETTER[128:] = True
 LONGEST = 40
+
+#: Terms of one automaton.
+PORTION = 24
 STEMS = (4, 5, 6)
 #: Kinds of hits: exact, misspelled, word that begins with a stem.
 EXACT, TYPO, STEM = 0, 1, 2
@@ -63,9 +66,10 @@ class Automaton:
     step: np.ndarray
     term: np.ndarray
     kind: np.ndarray
+    used: np.ndarray
 
-    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The term (-1: none) and kind of hit of each word; all words take a step together."""
+    def states(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The state after each word; all words take a step together."""
         state = np.ones(len(starts), np.int32)
         length = ends - starts
         live = np.arange(len(starts))
@@ -74,9 +78,50 @@ class Automaton:
             live = live[(length[live] > depth) & (state[live] > 0)]
             state[live] = self.step[state[live], self.column[data[starts[live] + depth]]]
             depth += 1
+        return state
+
+    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The term (-1: none) and kind of hit of each word."""
+        state = self.states(data, starts, ends)
         return self.term[state], self.kind[state]
 
 
+@dataclass(frozen=True)
+class Automata:
+    """An automaton for every ``PORTION`` terms, with the numbers of its terms.
+
+    The states of one automaton grow faster than its terms; those of many grow with them.
+    """
+
+    parts: list[tuple[Automaton, np.ndarray]]
+
+    def read(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As one automaton of all terms: fewest edits, then words before stems, then the first term."""
+        term, kind = np.full(len(starts), -1, np.int32), np.full(len(starts), -1, np.int8)
+        best = np.full(len(starts), np.iinfo(np.int64).max)
+        for automaton, numbers in self.parts:
+            state = automaton.states(data, starts, ends)
+            hit = np.flatnonzero(automaton.term[state] >= 0)
+            state = state[hit]
+            number = numbers[automaton.term[state]]
+            rank = ((automaton.used[state].astype(np.int64) * 2 + (automaton.kind[state] == STEM)) << 32) + number
+            better = rank < best[hit]
+            at = hit[better]
+            best[at], term[at], kind[at] = rank[better], number[better], automaton.kind[state[better]]
+        return term, kind
+
+
+def compile_portions(terms: list[bytes], stems: list[bytes]) -> Automata:
+    """Automata of all terms and stems; numbers count terms first."""
+    parts = []
+    for i in range(0, len(terms), PORTION):
+        some = terms[i : i + PORTION]
+        parts.append((compile_terms(some, []), np.arange(i, i + len(some))))
+    if stems:
+        parts.append((compile_terms([], stems), len(terms) + np.arange(len(stems))))
+    return Automata(parts)
+
+
 def compile_terms(terms: list[bytes], stems: list[bytes]) -> Automaton:
     """Determinise, for each term, its Levenshtein automaton along the shared trie of all terms.
 
@@ -84,7 +129,7 @@ def compile_terms(terms: list[bytes], stems: list[bytes]) -> Automaton:
     edits and accept whatever follows. Edits count UTF-8 bytes.
     """
     if not terms and not stems:
-        return Automaton(np.zeros(256, np.int16), np.zeros((2, 1), np.int32), np.full(2, -1, np.int32), np.full(2, -1, np.int8))
+        return Automaton(np.zeros(256, np.int16), np.zeros((2, 1), np.int32), np.full(2, -1, np.int32), np.full(2, -1, np.int8), np.zeros(2, np.int8))
     children: list[dict[int, int]] = []
     last: list[int] = []
     roots: dict[tuple[int, bool], int] = {}
@@ -151,13 +196,13 @@ def compile_terms(terms: list[bytes], stems: list[bytes]) -> Automaton:
                 todo.append(new)
             row.append(states[new])
         rows.append(row)
-    term, kind = np.full(len(states), -1, np.int32), np.full(len(states), -1, np.int8)
+    term, kind, edits_used = np.full(len(states), -1, np.int32), np.full(len(states), -1, np.int8), np.zeros(len(states), np.int8)
     for items, number in states.items():
         hits = [(used, at in is_stem, last[at]) for at, used in items if last[at] >= 0]
         if hits:
             used, stem, best = min(hits)
-            term[number], kind[number] = best, STEM if stem else TYPO if used else EXACT
-    return Automaton(column, np.array(rows, np.int32), term, kind)
+            term[number], kind[number], edits_used[number] = best, STEM if stem else TYPO if used else EXACT, used
+    return Automaton(column, np.array(rows, np.int32), term, kind, edits_used)
 
 
 @dataclass(frozen=True)
@@ -168,15 +213,15 @@ class Lexicon:
 
 
 def learn_lexicon(
-    docs: DataFrame, ids: np.ndarray, toxic: np.ndarray, most_terms: int = 96, least_share: float = 0.005, least_docs: int = 3,
+    docs: DataFrame, ids: np.ndarray, toxic: np.ndarray, least_share: float = 0.005, least_docs: int = 3,
     key: str = "doc_id", text: str = "text",
 ) -> Lexicon:
     """Words and word stems that labelled toxic documents hold and labelled clean ones don't.
 
     A term is taken if it is in ``least_docs`` toxic documents and ``least_share`` of them, and
     if, at equal shares of both kinds, at least nine in ten documents with it would be toxic.
-    The ``most_terms`` in most toxic documents stay. A stem is taken only where no word or
-    shorter stem already accounts for most of its documents.
+    These shares alone bound the list. A stem is taken only where no word or shorter stem
+    already accounts for most of its documents; words of any length may be terms.
     """
     sample = docs.sparkSession.sparkContext.broadcast((ids, toxic))
 
@@ -192,7 +237,7 @@ def learn_lexicon(
                 raw = data.tobytes()
                 edges = np.searchsorted(row, np.arange(len(offs)))
                 for i in range(len(offs) - 1):
-                    mine = {raw[a:b] for a, b in zip(starts[edges[i] : edges[i + 1]].tolist(), ends[edges[i] : edges[i + 1]].tolist(), strict=True) if 3 < b - a <= LONGEST}
+                    mine = {raw[a:b] for a, b in zip(starts[edges[i] : edges[i + 1]].tolist(), ends[edges[i] : edges[i + 1]].tolist(), strict=True) if b - a <= LONGEST}
                     kind = int(labels[at[rows[first + i]]] > 0)
                     found[kind].update(mine)
                     found[kind].update({w[:n] + b"*" for w in mine for n in STEMS if len(w) > n})
@@ -206,13 +251,11 @@ def learn_lexicon(
     total = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share, other = F.col("toxic") / n_toxic, (F.col("clean") + F.lit(0.1)) / n_clean
     good = total.where((F.col("toxic") >= max(least_docs, least_share * n_toxic)) & (share >= 9 * other))
-    rows = good.orderBy(F.desc("toxic"), "term").limit(20 * most_terms).collect()  # a bounded list
+    rows = good.orderBy(F.desc("toxic"), "term").collect()  # bounded by the share of labelled documents
     taken: list[tuple[bytes, float]] = []
     words = {bytes(r["term"]): r for r in rows if not bytes(r["term"]).endswith(b"*")}
     for r in rows:
         term = bytes(r["term"])
-        if len(taken) >= most_terms:
-            break
         if term.endswith(b"*"):
             inside = max((w["toxic"] for t, w in words.items() if t.startswith(term[:-1])), default=0)
             shorter = any(t.endswith(b"*") and term.startswith(t[:-1]) for t, _ in taken)
@@ -235,7 +278,7 @@ def hit_features(docs: DataFrame, lexicon: Lexicon, window: int = 80, key: str =
     with a second hit in that window; ``weight`` sums the lexicon weights of unquoted hits.
     """
     spark = docs.sparkSession
-    automaton = compile_terms([t.encode("latin-1") for t in lexicon.terms], [t.encode("latin-1") for t in lexicon.stems])
+    automaton = compile_portions([t.encode("latin-1") for t in lexicon.terms], [t.encode("latin-1") for t in lexicon.stems])
     shared = spark.sparkContext.broadcast((automaton, np.array([*lexicon.weights, 0.0])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +327,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, most_terms: int = 96, window: int = 80,
+    docs: DataFrame, labels: DataFrame, most_labels: int = 20_000, window: int = 80,
     key: str = "doc_id", text: str = "text", toxic: str = "toxic",
 ) -> DataFrame:
     """``key, score, predicted`` and the features for every document.
@@ -296,7 +339,7 @@ def score_toxicity(
     """
     ids, flag = bounded_labels(labels, toxic, most_labels, key)
     both = len(ids) > 0 and 0 < (flag > 0).sum() < len(flag)
-    lexicon = learn_lexicon(docs, ids, flag, most_terms, key=key, text=text) if both else Lexicon([], [], [])
+    lexicon = learn_lexicon(docs, ids, flag, key=key, text=text) if both else Lexicon([], [], [])
     found = settle(hit_features(docs, lexicon, window, key, text))
     x = [F.log1p(F.greatest(F.col(f), F.lit(0.0))) for f in FEATURES]
     if both:

@@ -347,3 +347,39 @@ def test_vectors_of_a_table_much_larger_than_the_window(spark):
     got = {r["vec_id"]: r["n_links"] for r in projection_dedup.near_vectors(df, window=8).collect()}
     assert sum(got[i] for i in range(n)) >= 0.99 * n
     assert [projection_dedup.passes_for(rows, 0.9, 512, 0.001) for rows in (100, 20_000, 1_000_000)] == [1, 12, 35]
+
+
+def test_packing_meets_the_bins_of_all_tasks(spark):
+    """Short documents in many tasks, few items to a task: no two sequences are left that fit in one."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    df = spark.createDataFrame([(i, "one " * (36 if i % 8 else 10)) for i in range(400)], "doc_id long, text string").repartition(40)
+    fill = {}
+    for r in packing.pack(df, path, capacity=64, per_task=2).collect():
+        fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
+    small = sorted(fill.values())
+    assert small[0] + small[1] > 64
+
+
+def test_toxic_terms_are_bounded_by_evidence_alone(spark):
+    """150 telling words, three letters long some of them, each in its own documents."""
+    letters = "bcdfghjklm"
+    terms = [a + b + c for a in letters[:5] for b in letters for c in letters[:2]] + [f"{a}{b}{c}oquxz" for a in "pqrst" for b in "pqrst" for c in "vw"]
+    rows, labels = [], []
+    for i, term in enumerate(terms):
+        for j in range(8):
+            rows += [(16 * i + 2 * j, f"plain words and {term} again"), (16 * i + 2 * j + 1, "plain words and nothing again")]
+            labels += [(16 * i + 2 * j, 1), (16 * i + 2 * j + 1, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ids, flag = np.array([i for i, _ in labels]), np.array([t for _, t in labels])
+    assert set(terms) <= set(toxicity.learn_lexicon(df, ids, flag).terms) | {t for t in terms if len(t) > 3}
+
+
+def test_portions_of_terms_read_as_one_automaton():
+    rng = np.random.default_rng(4)
+    word = lambda: bytes(rng.integers(97, 101, rng.integers(3, 10)).astype(np.uint8))
+    terms, stems = list(dict.fromkeys(word() for _ in range(40))), [b"abca", b"ddcb"]
+    data = [word() for _ in range(2000)] + terms
+    ends = np.cumsum([len(w) for w in data])
+    raw, starts = np.frombuffer(b"".join(data), np.uint8), np.append(0, ends[:-1])
+    for a, b in zip(toxicity.compile_terms(terms, stems).read(raw, starts, ends), toxicity.compile_portions(terms, stems).read(raw, starts, ends), strict=True):
+        assert (a == b).all()
