@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbline.operators.ordered import running_sum
+from kerbline.operators.ordered import PART_ROWS, running_sum
 from kerbline.operators.windows import top_k
 
 NS = 1_000_000_000
@@ -74,13 +74,13 @@ def latest_complete(shards: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def retention_plan(files: DataFrame, cap_bytes: int, by: list[str], order: list[str],
-                   size: str = "bytes", chunk: int = 86_400 * NS) -> DataFrame:
+                   size: str = "bytes", part_rows: int = PART_ROWS) -> DataFrame:
     """The oldest files to delete so that the rest fits the cap; never the newest.
 
     A file goes while the total that remains, itself included, is over the cap. Nothing is
     deleted here.
     """
-    rows = running_sum(files, by, order, {"__upto": F.col(size), "__k": F.lit(1)}, chunk)
+    rows = running_sum(files, by, order, {"__upto": F.col(size), "__k": F.lit(1)}, part_rows)
     totals = files.groupBy(*by).agg(F.sum(size).alias("__total"), F.count(F.lit(1)).alias("__n"))
     rows = rows.join(totals, by)
     rest = F.col("__total") - F.col("__upto") + F.col(size)
@@ -147,7 +147,7 @@ def rate_windows(df: DataFrame, by: list[str], width_s: int, time: str = "t_ns")
 
 
 def rate_floor(df: DataFrame, by: list[str], floor_hz: float, sample_s: int = 5, window_s: int = 30,
-               time: str = "t_ns", chunk: int = 86_400 * NS) -> DataFrame:
+               time: str = "t_ns", part_rows: int = PART_ROWS) -> DataFrame:
     """Spells in which the sampled rate stays below the floor for the whole window.
 
     A silent sample has no row and counts as below the floor, so a spell ends only at a
@@ -156,7 +156,7 @@ def rate_floor(df: DataFrame, by: list[str], floor_hz: float, sample_s: int = 5,
     """
     rates = rate_windows(df, by, sample_s, time)
     low = F.col("rate_hz") < floor_hz
-    marked = running_sum(rates, by, ["window_ns"], {"__ok": F.when(low, 0).otherwise(1)}, chunk)
+    marked = running_sum(rates, by, ["window_ns"], {"__ok": F.when(low, 0).otherwise(1)}, part_rows)
     spells = marked.filter(low).groupBy(*by, "__ok").agg(
         F.min("window_ns").alias("start_ns"), F.max("window_ns").alias("__last"),
         F.min("rate_hz").alias("min_rate_hz"),

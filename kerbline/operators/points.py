@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbline.functions.camera import in_image, project_fisheye, project_pinhole
 from kerbline.functions.labels import height_color, tile_of, voxel_of
 from kerbline.functions.pose import apply_t, compose_t, extrinsic, pose_t
-from kerbline.operators.ordered import DEFAULT_CHUNK_NS, row_index
+from kerbline.operators.ordered import PART_ROWS, row_index
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.timejoin import interpolate_poses, nearest_asof
 
@@ -66,16 +66,16 @@ def clip_to_centroid(df: DataFrame, scan: list[str], metres: float) -> DataFrame
 
 
 def every_nth(df: DataFrame, by: list[str], order: list[str], n: int,
-              chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+              part_rows: int = PART_ROWS) -> DataFrame:
     """P10: rows n, 2n, 3n, ... of each key."""
-    placed = row_index(df, by, order, "__i", chunk)
+    placed = row_index(df, by, order, "__i", part_rows)
     return placed.filter(F.pmod(F.col("__i") + 1, F.lit(n)) == 0).select(*df.columns)
 
 
 def evenly_spaced(df: DataFrame, by: list[str], order: list[str], n: int,
-                  chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                  part_rows: int = PART_ROWS) -> DataFrame:
     """``n`` evenly spaced rows per key, both ends included."""
-    placed = row_index(df, by, order, "__i", chunk, total="__n")
+    placed = row_index(df, by, order, "__i", part_rows, total="__n")
     last = F.col("__n") - 1
     if n < 2:
         return placed.filter(F.col("__i") == 0).select(*df.columns)
@@ -85,23 +85,22 @@ def evenly_spaced(df: DataFrame, by: list[str], order: list[str], n: int,
 
 
 def thin_to(df: DataFrame, by: list[str], order: list[str], n: int,
-            chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+            part_rows: int = PART_ROWS) -> DataFrame:
     """Every k-th row with k = max(1, count // n), starting with the first."""
-    placed = row_index(df, by, order, "__i", chunk, total="__n")
+    placed = row_index(df, by, order, "__i", part_rows, total="__n")
     step = F.greatest(F.lit(1), F.floor(F.col("__n") / n))
     return placed.filter(F.pmod(F.col("__i"), step) == 0).select(*df.columns)
 
 
 def subsample_scan(df: DataFrame, scan: list[str], fraction: float, point_id: str,
-                   min_keep: int = 100, seed: int = 7) -> DataFrame:
+                   min_keep: int = 100, seed: int = 7, part_rows: int = PART_ROWS) -> DataFrame:
     """A repeatable random share of each scan, at least ``min_keep`` points.
 
-    Points are ranked by a hash; ranks are counted in hash ranges so that a large scan is
-    not sorted by one task.
+    Points are ranked by a hash; ranks are counted in parts so that a large scan is not
+    sorted by one task.
     """
-    spread = F.pmod(F.xxhash64(F.lit(seed), F.col(point_id)), F.lit(HASH_SPAN))
-    mixed = df.withColumn("__h", spread)
-    placed = row_index(mixed, scan, ["__h", point_id], "__i", HASH_SPAN // 256, total="__n")
+    mixed = df.withColumn("__h", F.xxhash64(F.lit(seed), F.col(point_id)))
+    placed = row_index(mixed, scan, ["__h", point_id], "__i", part_rows, total="__n")
     keep = F.greatest(F.lit(min_keep), F.floor(F.col("__n") * fraction))
     return placed.filter(F.col("__i") < keep).select(*df.columns)
 
@@ -260,7 +259,7 @@ def coverage_pct(points: DataFrame, flags: list[str], by: list[str] | None = Non
 
 
 def deskew(points: DataFrame, poses: DataFrame, by: list[str], bins: int = 16,
-           preset: str = "identity", chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+           preset: str = "identity", part_rows: int = PART_ROWS) -> DataFrame:
     """Move points to the world frame with one interpolated pose per time bin of a scan.
 
     Poses are interpolated for ``bins`` rows per scan instead of per point and gathered into
@@ -276,7 +275,7 @@ def deskew(points: DataFrame, poses: DataFrame, by: list[str], bins: int = 16,
     slots = extent.withColumn("__bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumn(
         "t_ns", centre
     )
-    at = interpolate_poses(slots, poses, by, chunk=chunk)
+    at = interpolate_poses(slots, poses, by, part_rows=part_rows)
     rot, shift = compose_t(pose_t("p_"), extrinsic(preset))
     entry = F.struct(F.col("__bin").alias("b"), *[c.alias(f"r{i}") for i, c in enumerate(rot)],
                      *[c.alias(f"t{i}") for i, c in enumerate(shift)])
@@ -302,7 +301,7 @@ def world_or_deskew(world: DataFrame, raw: DataFrame, poses: DataFrame, session:
 
 def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame,
                     tol_ns: int, by: list[str], point_id: str = "point_id",
-                    chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                    part_rows: int = PART_ROWS) -> DataFrame:
     """Colour of each point from the first camera, by priority, that sees it.
 
     ``images`` (keys, camera, t_ns, image_id); ``pixels`` (image_id, row, col, value);
@@ -316,7 +315,7 @@ def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cam
     each = F.explode(F.array(*[F.lit(name) for name in sorted(rig)]))
     scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct().withColumn("camera", each)
     matched = nearest_asof(scans, images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id",
-                           chunk=chunk)
+                           part_rows=part_rows)
     matched = matched.select(*by, F.col("t_ns").alias("scan_ns"), "camera", F.col("i_image_id").alias("image_id"))
     rows = points.join(matched, [*by, "scan_ns"]).join(F.broadcast(cameras), "camera")
     where = ("x", "y", "z")

@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import motion_class
 from kerbline.functions.pose import quat_cols, quat_to_rot, rotate, transpose
-from kerbline.operators.ordered import DEFAULT_CHUNK_NS, neighbour
+from kerbline.operators.ordered import PART_ROWS, neighbour
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.windows import circular_from_means, cumulative_distance, step_deltas
 from kerbline.session import settle
@@ -36,24 +36,23 @@ def _norm(*cols: str) -> Column:
 
 
 def motion_audit_odom(odom: DataFrame, by: list[str], order: list[str],
-                      chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                      part_rows: int = PART_ROWS) -> DataFrame:
     """Path length, displacement, duration and peak speeds per recording shard."""
-    rows = neighbour(odom, by, order, {f"__p_{a}": F.col(a) for a in "xyz"}, chunk)
+    rows = neighbour(odom, by, order, {f"__p_{a}": F.col(a) for a in "xyz"}, part_rows)
     step = F.sqrt(sum(((F.col(a) - F.col(f"__p_{a}")) * (F.col(a) - F.col(f"__p_{a}")) for a in "yz"),
                       (F.col("x") - F.col("__p_x")) * (F.col("x") - F.col("__p_x"))))
-    key = F.struct(*order)
-    spot = F.struct("x", "y", "z")
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     out = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("odom_msgs"),
         F.coalesce(F.sum(step), F.lit(0.0)).alias("path_length_m"),
         F.max(_norm("vx", "vy", "vz")).alias("peak_speed_mps"),
         F.max(_norm("wx", "wy", "wz")).alias("peak_ang_speed_rps"),
         ((F.max(order[0]) - F.min(order[0])) / NS).alias("duration_s"),
-        F.min_by(spot, key).alias("__a"), F.max_by(spot, key).alias("__b"),
+        *[f(c, key).alias(f"__{n}_{c}") for n, f in (("a", F.min_by), ("b", F.max_by)) for c in "xyz"],
     )
-    a, b = F.col("__a"), F.col("__b")
-    gap = F.sqrt(sum(((b[c] - a[c]) * (b[c] - a[c]) for c in "yz"), (b["x"] - a["x"]) * (b["x"] - a["x"])))
-    return out.withColumn("displacement_m", gap).drop("__a", "__b")
+    moved = {c: F.col(f"__b_{c}") - F.col(f"__a_{c}") for c in "xyz"}
+    gap = F.sqrt(sum((moved[c] * moved[c] for c in "yz"), moved["x"] * moved["x"]))
+    return out.withColumn("displacement_m", gap).drop(*[f"__{n}_{c}" for n in "ab" for c in "xyz"])
 
 
 def imu_std(imu: DataFrame, by: list[str]) -> DataFrame:
@@ -90,13 +89,13 @@ def class_histogram(audit: DataFrame, label: str = "class") -> DataFrame:
 
 
 def pose_stats(poses: DataFrame, by: list[str], order: list[str],
-               chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+               part_rows: int = PART_ROWS) -> DataFrame:
     """Count, span, rate, distance, speeds, largest gap, rotation and extent of a trajectory.
 
-    One chunked pass gives the steps; the 99th percentile speed is exact and does not hold
+    One pass in parts gives the steps; the 99th percentile speed is exact and does not hold
     a group's speeds in one buffer.
     """
-    steps = step_deltas(poses, by, order, rotation=True, chunk=chunk)
+    steps = step_deltas(poses, by, order, rotation=True, part_rows=part_rows)
     steps = settle(steps.select(*by, order[0], "x", "y", "z", "dt_s", "step_m", "speed_mps", "rot_rad"))
     t, zero = order[0], F.lit(0.0)
     span = (F.max(t) - F.min(t)) / NS
@@ -177,20 +176,20 @@ def error_stats(rows: DataFrame, by: list[str], col: str) -> DataFrame:
 
 
 def rpe(pairs: DataFrame, by: list[str], delta: float = 1.0, time: str = "t_ns", a: str = "",
-        b: str = "e_", chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+        b: str = "e_", part_rows: int = PART_ROWS) -> DataFrame:
     """Relative pose error over steps of ``delta`` metres of travel.
 
     The first pose of every ``delta`` of path is taken and neighbours are compared.
     """
     path = pairs.withColumnsRenamed({f"{a}{c}": c for c in "xyz"}) if a else pairs
-    along = cumulative_distance(path, by, [time], chunk)
+    along = cumulative_distance(path, by, [time], part_rows)
     along = along.withColumn("__step", F.floor(F.col("cum_m") / delta))
     pose = [f"q{c}" for c in "xyzw"] + list("xyz")
     body = F.struct(*pose, *[f"{b}{c}" for c in pose])
     marks = along.groupBy(*by, "__step").agg(F.min(time).alias(time), F.min_by(body, time).alias("__p"))
     marks = marks.select(*by, time, F.col("__p.*"))
     cols = {f"o_{c}": F.col(c) for c in (*pose, *[f"{b}{c}" for c in pose])}
-    legs = neighbour(marks, by, [time], cols, chunk).filter(F.col("o_x").isNotNull())
+    legs = neighbour(marks, by, [time], cols, part_rows).filter(F.col("o_x").isNotNull())
     # |want^-1 got| equals the distance of the two steps seen from their own start poses
     moved = [rotate(transpose(quat_to_rot(quat_cols(f"o_{p}"))),
                     [F.col(f"{p}{c}") - F.col(f"o_{p}{c}") for c in "xyz"]) for p in ("", b)]

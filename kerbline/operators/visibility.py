@@ -9,9 +9,9 @@ from kerbline.functions.geo import (
     PERPENDICULAR_LIMIT_DEG, bearing, hero_score, in_fov, perp_angle, relative_angle,
 )
 from kerbline.functions.labels import uuid5
-from kerbline.operators.ordered import DEFAULT_CHUNK_NS, row_index
+from kerbline.operators.ordered import PART_ROWS, row_index, scan
 from kerbline.operators.spatial import grid_radius_join
-from kerbline.operators.timejoin import asof_backward, nearest_asof
+from kerbline.operators.timejoin import nearest_asof
 from kerbline.operators.windows import dedup_by_time, top_k
 
 
@@ -63,15 +63,19 @@ def heroes(pairs: DataFrame, by: list[str] | None = None, tie: tuple[str, ...] =
 
 
 def hero_assets(hero_rows: DataFrame, assets: DataFrame, kinds: list[str], by: list[str],
-                chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                part_rows: int = PART_ROWS) -> DataFrame:
     """A2: latest file of each kind at the hero time as ``assets`` MAP(kind -> file).
 
     ``assets`` has ``(keys, t_ns, kind, file)``. The kinds are a short configured list.
     """
-    out = hero_rows.withColumnRenamed("best_t_ns", "t_ns")
-    for i, kind in enumerate(kinds):
-        files = assets.filter(F.col("kind") == kind).select(*by, "t_ns", F.col("file").alias(f"f{i}"))
-        out = asof_backward(out, files, by, right_tie=f"f{i}", prefix="__a_", chunk=chunk).drop("__a_t_ns")
+    heroes_at = hero_rows.withColumnRenamed("best_t_ns", "t_ns")
+    own = [c for c in heroes_at.columns if c not in (*by, "t_ns")]
+    asked = heroes_at.select(*by, "t_ns", F.lit(1).alias("__side"), F.struct(*own).alias("__h"))
+    files = assets.filter(F.col("kind").isin(*kinds)).select(*by, "t_ns", F.lit(0).alias("__side"), "kind", "file")
+    both = asked.unionByName(files, allowMissingColumns=True)
+    latest = {f"__a_f{i}": F.when(F.col("kind") == kind, F.col("file")) for i, kind in enumerate(kinds)}
+    known = scan(both, by, ["t_ns", "__side", "file"], last=latest, part_rows=part_rows).filter("__side = 1")
+    out = known.select(*by, "t_ns", *[F.col("__h")[c].alias(c) for c in own], *latest).select(*heroes_at.columns, *latest)
     entries = [F.when(F.col(f"__a_f{i}").isNotNull(), F.struct(F.lit(k).alias("k"), F.col(f"__a_f{i}").alias("v")))
                for i, k in enumerate(kinds)]
     mapped = F.map_from_entries(F.array_compact(F.array(*entries)))
@@ -226,24 +230,24 @@ def manifest_frames(pairs: DataFrame, recording: str) -> DataFrame:
 
 
 def hero_locations(hero_rows: DataFrame, track: DataFrame, props: DataFrame, by: list[str],
-                   chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                   part_rows: int = PART_ROWS) -> DataFrame:
     """Hero -> nearest trajectory point -> property place."""
     at = hero_rows.withColumnRenamed("best_t_ns", "t_ns")
-    near = nearest_asof(at, track.select(*by, "t_ns", "x", "y"), by, prefix="traj_", chunk=chunk)
+    near = nearest_asof(at, track.select(*by, "t_ns", "x", "y"), by, prefix="traj_", part_rows=part_rows)
     places = props.select(F.col("uprn").alias("p_uprn"), F.col("x").alias("prop_x"), F.col("y").alias("prop_y"))
     return near.join(places, "p_uprn").withColumnRenamed("t_ns", "best_t_ns")
 
 
 def overlay_features(track: DataFrame, hero_points: DataFrame, by: list[str],
                      max_line: int = 2000, max_arrows: int = 100, arrow_deg: float = 0.0002,
-                     chunk: int = DEFAULT_CHUNK_NS) -> DataFrame:
+                     part_rows: int = PART_ROWS) -> DataFrame:
     """K4: GeoJSON features (keys, kind, json): one line, heading arrows, property points.
 
     The line is thinned to fewer than ``2 * max_line`` points before it is gathered, so the
     gathered array has a fixed bound. ``track`` has ``t_ns, lat, lon, heading_deg``;
     ``hero_points`` has ``lat, lon, p_uprn`` and hero columns.
     """
-    placed = row_index(track, by, ["t_ns"], "__i", chunk, total="__n")
+    placed = row_index(track, by, ["t_ns"], "__i", part_rows, total="__n")
     ok = (F.abs("lat") > 0.1) & (F.abs("lon") > 0.0001)
     seven = lambda c: F.round(c, 7)
     point = F.array(seven(F.col("lon")), seven(F.col("lat")))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 NS = 1_000_000_000
 HOUR, DAY = 3600 * NS, 86_400 * NS
 YEAR = 366 * DAY
+#: Rows a part of a track: small, so that even the small tables are cut into many parts.
+PARTS = 1_000
 
 
 class Tables:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbline.operators import ground as G
 from kerbline.operators import place as D
 from kerbline.operators import points as P
-from kerbline.plans.bindings import DAY, HOUR, NS, YEAR, Tables, with_tables
+from kerbline.plans.bindings import DAY, HOUR, NS, PARTS, YEAR, Tables, with_tables
 from kerbline.plans.registry import query, r
 from kerbline.sinks import writers as K
 
@@ -158,7 +158,7 @@ def _scans(t: Tables):
 
 @query(DESKEW)
 def deskew(t: Tables):
-    out = P.deskew(_scans(t), t.odometry(), S, bins=16, chunk=DAY)
+    out = P.deskew(_scans(t), t.odometry(), S, bins=16, part_rows=PARTS)
     return out.select("point_id", r("x", 4), r("y", 4), "z")
 
 
@@ -166,7 +166,7 @@ def deskew(t: Tables):
 def world_or_deskew(t: Tables):
     scans = _scans(t)
     world = scans.filter("session_id < 3").withColumn("is_world", F.lit(1))
-    out = P.world_or_deskew(world, scans, t.odometry(), chunk=DAY)
+    out = P.world_or_deskew(world, scans, t.odometry(), part_rows=PARTS)
     return out.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.count("is_world").alias("n_world"))
 
 
@@ -200,7 +200,7 @@ def colorize_points(t: Tables):
     cams = t.spark.createDataFrame(rows, names)
     pixels = t.pixels().select(F.col("frame_id").alias("image_id"), "row", "col", F.col("raw").alias("value"))
     points = _scans(t).select(*S, "scan_ns", "point_id", "x", "y", "z")
-    out = P.colorize_points(points, images, pixels, cams, 6 * HOUR, S, chunk=DAY)
+    out = P.colorize_points(points, images, pixels, cams, 6 * HOUR, S, part_rows=PARTS)
     return out.select("point_id", "value", "priority", "has_color")
 
 

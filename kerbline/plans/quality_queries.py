@@ -8,7 +8,7 @@ from kerbline.operators import fleet as L
 from kerbline.operators import quality as Q
 from kerbline.operators import timejoin as J
 from kerbline.operators.windows import class_runs, segment_tags
-from kerbline.plans.bindings import DAY, HOUR, NS, YEAR, Tables, with_tables
+from kerbline.plans.bindings import HOUR, NS, PARTS, Tables, with_tables
 from kerbline.plans.registry import query, r
 from kerbline.plans.time_queries import NEAREST, STEPS
 from kerbline.sinks import writers as K
@@ -29,7 +29,7 @@ SELECT session_id, source, count(*) AS odom_msgs, round(coalesce(sum(sqrt((x - q
 FROM a GROUP BY session_id, source""")
 def motion_audit_odom(t: Tables):
     by = ["session_id", "source"]
-    a = Q.motion_audit_odom(t.odometry(), by, T, chunk=DAY)
+    a = Q.motion_audit_odom(t.odometry(), by, T, part_rows=PARTS)
     a = Q.is_moving(a, 150000.0, 20.0)
     return a.select(*by, "odom_msgs", r("path_length_m", 2), r("peak_speed_mps"), r("peak_ang_speed_rps"),
                     r("duration_s"), r("displacement_m"), "moving")
@@ -73,7 +73,7 @@ def motion_segments(t: Tables):
     """W6 with the segment tags of the motion audit."""
     a = Q.motion_audit_imu(t.imu(), ["shard"])
     peak = F.when(F.col("accel_peak") > 10.2, "HIGHWAY").when(F.col("accel_peak") > 10, "URBAN").otherwise("MICRO")
-    runs = class_runs(a.withColumn("peak_class", peak), [], ["shard"], "peak_class", chunk=1000)
+    runs = class_runs(a.withColumn("peak_class", peak), [], ["shard"], "peak_class", part_rows=PARTS)
     return segment_tags(runs, "peak_class").drop("run_no")
 
 
@@ -90,7 +90,7 @@ full_stats AS (SELECT *, CASE WHEN span_s > 0 THEN (pose_count - 1) / span_s ELS
 
 
 def _stats(t: Tables):
-    return Q.pose_stats(t.odometry(), ["session_id", "source"], T, chunk=DAY)
+    return Q.pose_stats(t.odometry(), ["session_id", "source"], T, part_rows=PARTS)
 
 
 @query(STATS + """SELECT session_id, source, pose_count, round(span_s, 3) AS span_s, round(rate_hz, 8) AS rate_hz, round(cumul_m, 2) AS cumul_m,
@@ -136,7 +136,7 @@ def _matched(t: Tables):
     o = t.odometry()
     cols = [*S, *T, "x", "y", "z", "qx", "qy", "qz", "qw"]
     est = o.filter("source = 'error'").select(*cols, F.col("frame_id").alias("id"))
-    return J.associate(o.filter("source <> 'error'").select(*cols), est, S, 2 * HOUR, chunk=DAY)
+    return J.associate(o.filter("source <> 'error'").select(*cols), est, S, 2 * HOUR, part_rows=PARTS)
 
 
 def _errors(stats):
@@ -158,7 +158,7 @@ rl AS (SELECT *, cos(oh) * (x - ox) + sin(oh) * (y - oy) AS wx, -sin(oh) * (x -
 er AS (SELECT session_id, sqrt((gx - wx) * (gx - wx) + (gy - wy) * (gy - wy)) AS e FROM rl)
 SELECT {ERR_COLS} FROM er GROUP BY session_id""")
 def rpe(t: Tables):
-    return _errors(Q.rpe(_matched(t), S, delta=1000.0, chunk=DAY))
+    return _errors(Q.rpe(_matched(t), S, delta=1000.0, part_rows=PARTS))
 
 
 @query(MATCH + """, m AS (SELECT session_id, avg(ex) AS sx, avg(ey) AS sy, avg(x) AS dx, avg(y) AS dy,
@@ -303,7 +303,7 @@ def overlapping_shards(t: Tables):
   SELECT shard, CAST(sum(bytes) OVER (PARTITION BY session_id ORDER BY start_ns DESC, shard DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS bytes_from_here,
     row_number() OVER (PARTITION BY session_id ORDER BY start_ns, shard) AS k, count(*) OVER (PARTITION BY session_id) AS n FROM shards)""")
 def retention_plan(t: Tables):
-    out = L.retention_plan(t.shards(), 100_000_000, S, ["start_ns", "shard"], chunk=YEAR // 4)
+    out = L.retention_plan(t.shards(), 100_000_000, S, ["start_ns", "shard"], part_rows=PARTS)
     return out.select("shard", "bytes_from_here", "is_victim")
 
 

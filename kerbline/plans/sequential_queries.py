@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from kerbline.functions.labels import keyframe_distance
 from kerbline.operators import steps as T
+from kerbline.operators import windows as W
 from kerbline.operators.fixes import is_rtk, valid_fix
 from kerbline.operators.sequential import run_sequential
-from kerbline.plans.bindings import DAY, HOUR, Tables, with_tables
+from kerbline.plans.bindings import DAY, HOUR, PARTS, Tables, with_tables
 from kerbline.plans.registry import query, r
 
 U = ["user_id"]
-SEGMENT = 20_000
+#: Rows a segment: small, so that even the small tables are cut into ten segments or more.
+SEGMENT = 1_000
 
 
 def _walk(tables: str, extra: str, first: str, then: str, final: str) -> str:
@@ -50,7 +52,8 @@ JUMP = 30 * HOUR
   NOT abs(o.raw - s.raw) > {JUMP} AND o.raw + s.off <= s.out_ns""",
              "SELECT frame_id, out_ns, off AS offset_ns, epoch, corrected FROM seq"))
 def offset_guard(t: Tables):
-    out = run_sequential(_arrivals(t), U, ["frame_id"], T.offset_guard(1000, JUMP), segment_rows=SEGMENT)
+    """T2 from the stamp before alone, as running sums."""
+    out = W.offset_guard(_arrivals(t), U, ["frame_id"], "t_ns", 1000, JUMP, part_rows=PARTS)
     return out.select("frame_id", "out_ns", "offset_ns", "epoch", "corrected")
 
 
@@ -183,5 +186,5 @@ def limit_alerts(t: Tables):
 def hold_last(t: Tables):
     """A value that only some rows carry, held over the others."""
     f = t.frames().select("frame_id", *U, "t_ns", F.when(F.col("source") == "error", F.col("heading_deg")).alias("sample"))
-    out = run_sequential(f, U, ["t_ns"], T.hold_last(("sample",), "held double"), segment_rows=SEGMENT)
+    out = W.hold_last(f, U, ["t_ns"], {"sample": "held"}, part_rows=PARTS)
     return out.select("frame_id", "held", "fresh")

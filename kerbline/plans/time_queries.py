@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbline.operators import timejoin as J
 from kerbline.operators import windows as W
 from kerbline.operators.points import every_nth, evenly_spaced, thin_to
-from kerbline.plans.bindings import DAY, HOUR, NS, YEAR, Tables, with_tables
+from kerbline.plans.bindings import HOUR, NS, PARTS, Tables, with_tables
 from kerbline.plans.registry import query, r
 
 S = ["session_id"]
@@ -32,7 +32,7 @@ n AS (SELECT *, CASE WHEN ta IS NULL OR t_ns - bt <= ta - t_ns THEN bid ELSE aid
 def nearest_asof(t: Tables):
     left, right = _split(t)
     out = J.nearest_asof(left.select(*S, *T, "frame_id"), right.select(*S, *T, "frame_id"), S, 1200 * NS,
-                         right_tie="frame_id", chunk=DAY)
+                         right_tie="frame_id", part_rows=PARTS)
     return out.select("frame_id", "r_frame_id", "dt_ns")
 
 
@@ -40,7 +40,7 @@ def nearest_asof(t: Tables):
 def asof_backward(t: Tables):
     left, right = _split(t)
     out = J.asof_backward(left.select(*S, *T, "frame_id"), right.select(*S, *T, "frame_id"), S, 5 * HOUR,
-                          right_tie="frame_id", chunk=DAY)
+                          right_tie="frame_id", part_rows=PARTS)
     return out.select("frame_id", "r_frame_id")
 
 
@@ -58,7 +58,7 @@ SELECT frame_id, coalesce(v, max(v) OVER (PARTITION BY session_id, grp)) AS head
 def prioritized_heading(t: Tables):
     f = t.frames()
     out = J.prioritized_asof(f.filter("source = 'view'").select(*S, *T, "frame_id"), f, S, "source", "heading_deg",
-                             [("error", HOUR), ("click", HOUR), ("signup", 2 * HOUR)], chunk=DAY)
+                             [("error", HOUR), ("click", HOUR), ("signup", 2 * HOUR)], part_rows=PARTS)
     return out.select("frame_id", F.col("value").alias("heading_deg"), F.col("value_source").alias("heading_source"))
 
 
@@ -82,7 +82,7 @@ SELECT frame_id, round(fx * (1 - al) + sx * al, 5) AS x, round(fy * (1 - al) + s
 def pose_interpolation(t: Tables):
     o = t.odometry()
     out = J.interpolate_poses(o.filter("source <> 'error'").select(*S, *T, "frame_id"),
-                              o.filter("source = 'error'"), S, chunk=DAY)
+                              o.filter("source = 'error'"), S, part_rows=PARTS)
     return out.select("frame_id", r("p_x", 5, "x"), r("p_y", 5, "y"), r("p_qz", 5, "qz"), r("p_qw", 5, "qw"))
 
 
@@ -91,7 +91,7 @@ def pose_interpolation_drop(t: Tables):
     """J6 that drops rows outside the track and in gaps over six hours."""
     o = t.odometry()
     out = J.interpolate_poses(o.filter("source <> 'error'").select(*S, *T, "frame_id"), o.filter("source = 'error'"),
-                              S, on_gap="drop", max_gap_ns=6 * HOUR, outside="drop", chunk=DAY)
+                              S, on_gap="drop", max_gap_ns=6 * HOUR, outside="drop", part_rows=PARTS)
     return out.select("frame_id", r("p_x", 5, "x"), r("p_y", 5, "y"), r("p_qz", 5, "qz"), r("p_qw", 5, "qw"))
 
 
@@ -102,7 +102,7 @@ def frames_in_segments(t: Tables):
     f = t.frames()
     segs = f.filter("source = 'error'").select(
         *S, F.col("t_ns").alias("start_ns"), (F.col("t_ns") + (F.col("frame_id") % 7) * HOUR).alias("end_ns"))
-    return J.in_segments(f.select(*S, *T, "frame_id"), segs, S, chunk=DAY).select("frame_id")
+    return J.in_segments(f.select(*S, *T, "frame_id"), segs, S, part_rows=PARTS).select("frame_id")
 
 
 @query(NEAREST + f""", p AS (SELECT *, row_number() OVER (PARTITION BY session_id, rid ORDER BY abs(rt - t_ns), t_ns) AS rn FROM n
@@ -110,7 +110,7 @@ def frames_in_segments(t: Tables):
 def trajectory_association(t: Tables):
     left, right = _split(t)
     est = right.select(*S, *T, F.col("frame_id").alias("id"))
-    out = J.associate(left.select(*S, *T, "frame_id"), est, S, 2 * HOUR, chunk=DAY)
+    out = J.associate(left.select(*S, *T, "frame_id"), est, S, 2 * HOUR, part_rows=PARTS)
     return out.select("frame_id", F.col("e_id").alias("est_id"), "dt_ns")
 
 
@@ -134,7 +134,7 @@ SELECT frame_id, fresh, round(gx - (cos(ga - la) * lx - sin(ga - la) * ly), 4) +
 def frame_correction(t: Tables):
     o = t.odometry()
     out = J.correct_frames(o.filter("source = 'view'").select(*S, *T, "frame_id"), o.filter("source = 'click'"),
-                           o.filter("source = 'error'"), S, HOUR, 2 * HOUR, chunk=DAY)
+                           o.filter("source = 'error'"), S, HOUR, 2 * HOUR, part_rows=PARTS)
     return out.select("frame_id", "fresh", r("corr.tx", 4, "tx"), r("corr.ty", 4, "ty"), r("corr.r0", 5, "r0"))
 
 
@@ -149,32 +149,32 @@ dl AS (SELECT *, CASE WHEN t_ns - pt > 0 THEN (t_ns - pt) / 1e9 END AS dt_s,
 
 @query(STEPS + "SELECT frame_id, round(dt_s, 6) AS dt_s, round(step_m, 6) AS step_m, round(step_m / dt_s, 6) AS speed_mps FROM dl")
 def step_deltas(t: Tables):
-    out = W.step_deltas(t.odometry(), S, T, chunk=DAY)
+    out = W.step_deltas(t.odometry(), S, T, part_rows=PARTS)
     return out.select("frame_id", r("dt_s"), r("step_m"), r("speed_mps"))
 
 
 @query(STEPS + "SELECT frame_id, round(rot, 5) AS rot_rad FROM dl WHERE rot IS NOT NULL")
 def rotation_steps(t: Tables):
-    out = W.step_deltas(t.odometry(), S, T, rotation=True, chunk=DAY)
+    out = W.step_deltas(t.odometry(), S, T, rotation=True, part_rows=PARTS)
     return out.filter("rot_rad IS NOT NULL").select("frame_id", r("rot_rad", 5))
 
 
 @query(STEPS + "SELECT frame_id, round(sum(coalesce(step_m, 0)) OVER (PARTITION BY session_id ORDER BY t_ns), 4) AS cum_m FROM dl")
 def cumulative_distance(t: Tables):
-    return W.cumulative_distance(t.odometry(), S, T, chunk=DAY).select("frame_id", r("cum_m", 4))
+    return W.cumulative_distance(t.odometry(), S, T, part_rows=PARTS).select("frame_id", r("cum_m", 4))
 
 
 @query(STEPS + f""", m AS (SELECT *, sum(CASE WHEN t_ns - pt > {1800 * NS} THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY t_ns) AS n FROM st)
 SELECT session_id, CAST(n AS BIGINT) AS session_no, min(t_ns) AS start_ns, max(t_ns) AS end_ns, count(*) AS n_rows FROM m GROUP BY session_id, n""")
 def sessionize(t: Tables):
-    return W.sessionize(t.frames().select(*S, *T), S, T, 1800 * NS, chunk=DAY)
+    return W.sessionize(t.frames().select(*S, *T), S, T, 1800 * NS, part_rows=PARTS)
 
 
 @query(with_tables("shards") + f""", p AS (SELECT *, max(end_ns) OVER (PARTITION BY session_id ORDER BY start_ns, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM shards),
 m AS (SELECT *, sum(CASE WHEN start_ns - pe > {12 * HOUR} THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY start_ns, idx ROWS UNBOUNDED PRECEDING) AS n FROM p)
 SELECT session_id, CAST(n AS BIGINT) AS session_no, min(start_ns) AS start_ns, max(end_ns) AS end_ns, count(*) AS n_rows FROM m GROUP BY session_id, n""")
 def sessionize_by_end(t: Tables):
-    return W.sessionize(t.shards(), S, ["start_ns", "idx"], 12 * HOUR, end_col="end_ns", chunk=YEAR // 4)
+    return W.sessionize(t.shards(), S, ["start_ns", "idx"], 12 * HOUR, end_col="end_ns", part_rows=PARTS)
 
 
 @query(f"""SELECT user_id, count(*) AS n_sessions, CAST(sum(n) AS BIGINT) AS n_rows, max(n) AS longest FROM (
@@ -192,7 +192,7 @@ def session_windows(t: Tables):
 @query(STEPS + """, m AS (SELECT *, sum(CASE WHEN source = ps THEN 0 ELSE 1 END) OVER (PARTITION BY session_id ORDER BY t_ns) AS n FROM st)
 SELECT session_id, CAST(n AS BIGINT) AS run_no, source, min(t_ns) AS start, max(t_ns) AS "end", count(*) AS n_rows FROM m GROUP BY session_id, n, source HAVING count(*) >= 2""")
 def class_runs(t: Tables):
-    return W.class_runs(t.frames().select(*S, *T, "source"), S, T, "source", min_rows=2, chunk=DAY)
+    return W.class_runs(t.frames().select(*S, *T, "source"), S, T, "source", min_rows=2, part_rows=PARTS)
 
 
 @query("""WITH i AS (SELECT DISTINCT o_custkey % 10 AS session_id, o_orderkey // 3 AS idx FROM orders WHERE o_orderstatus = 'F'),
@@ -201,12 +201,12 @@ SELECT session_id, min(idx) AS start, max(idx) AS "end", count(*) AS n FROM g GR
 def index_ranges(t: Tables):
     o = t.raw("orders").filter("o_orderstatus = 'F'").select(
         (F.col("o_custkey") % 10).alias("session_id"), F.floor(F.col("o_orderkey") / 3).alias("idx"))
-    return W.index_ranges(o, S, "idx", chunk=1000)
+    return W.index_ranges(o, S, "idx", part_rows=PARTS)
 
 
 @query(STEPS + "SELECT frame_id FROM st WHERE ps IS NULL OR ps <> source")
 def dedup_consecutive(t: Tables):
-    return W.dedup_consecutive(t.frames().select("frame_id", *S, *T, "source"), S, T, ["source"], chunk=DAY).select("frame_id")
+    return W.dedup_consecutive(t.frames().select("frame_id", *S, *T, "source"), S, T, ["source"], part_rows=PARTS).select("frame_id")
 
 
 @query(with_tables("frames") + f"""SELECT session_id, t_ns - t_ns % {HOUR} AS hour_ns, min(frame_id) AS frame_id FROM frames GROUP BY 1, 2""")
@@ -220,14 +220,14 @@ def dedup_by_time(t: Tables):
 d AS (SELECT *, degrees(atan2(s, c)) AS a, sqrt(s * s + c * c) AS l FROM m)
 SELECT frame_id, n AS n_used, round(a - 360 * floor(a / 360), 3) % 360 AS mean_deg, round(CASE WHEN l >= 1 THEN 0 ELSE degrees(sqrt(-2 * ln(l))) END, 3) AS std_deg FROM d""")
 def rolling_circular(t: Tables):
-    out = W.rolling_circular(t.frames().select("frame_id", *S, *T, "heading_deg"), S, T, "heading_deg", 20, chunk=DAY)
+    out = W.rolling_circular(t.frames().select("frame_id", *S, *T, "heading_deg"), S, T, "heading_deg", 20, part_rows=PARTS)
     return out.select("frame_id", "n_used", (F.round("mean_deg", 3) % 360).alias("mean_deg"), r("std_deg", 3))
 
 
 @query(STEPS + """SELECT frame_id, coalesce(step_m > 800, false) AS is_reset,
   CAST(sum(CASE WHEN step_m > 800 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY t_ns) AS BIGINT) AS epoch FROM dl""")
 def frame_resets(t: Tables):
-    return W.frame_resets(t.odometry(), S, T, 800.0, chunk=DAY).select("frame_id", "is_reset", "epoch")
+    return W.frame_resets(t.odometry(), S, T, 800.0, part_rows=PARTS).select("frame_id", "is_reset", "epoch")
 
 
 @query(STEPS + f""", e AS (SELECT *, sum(CASE WHEN step_m > 1200 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY t_ns) AS epoch FROM dl),
@@ -235,30 +235,30 @@ g AS (SELECT *, min(t_ns) OVER (PARTITION BY session_id, epoch) AS t0 FROM e),
 k AS (SELECT *, row_number() OVER (PARTITION BY session_id, epoch ORDER BY t_ns) - 1 AS i FROM g WHERE epoch = 0 OR t_ns - t0 >= {HOUR})
 SELECT frame_id, CAST(epoch AS BIGINT) AS epoch, CAST(i // 40 AS BIGINT) AS part, CAST((i % 40) // 10 AS BIGINT) AS block FROM k""")
 def session_epochs(t: Tables):
-    out = W.session_epochs(t.odometry(), S, T, 1200.0, HOUR, 10, 40, chunk=DAY)
+    out = W.session_epochs(t.odometry(), S, T, 1200.0, HOUR, 10, 40, part_rows=PARTS)
     return out.select("frame_id", "epoch", "part", "block")
 
 
 @query(with_tables("frames") + """SELECT frame_id, CAST(floor(sum(floor(value)) OVER (PARTITION BY session_id ORDER BY t_ns) / 5000) AS BIGINT) AS segment_no FROM frames""")
 def segment_by_growth(t: Tables):
     f = t.frames().withColumn("n_new", F.floor("value"))
-    return W.segment_by_growth(f, S, T, "n_new", 5000, chunk=DAY).select("frame_id", "segment_no")
+    return W.segment_by_growth(f, S, T, "n_new", 5000, part_rows=PARTS).select("frame_id", "segment_no")
 
 
 @query(STEPS + f"SELECT frame_id, round((t_ns - pt) / 1e9, 6) AS gap_s FROM st WHERE t_ns - pt > {3600 * NS}")
 def gap_alerts(t: Tables):
-    return W.gap_alerts(t.frames(), S, T, 3600 * NS, chunk=DAY).select("frame_id", r("gap_s"))
+    return W.gap_alerts(t.frames(), S, T, 3600 * NS, part_rows=PARTS).select("frame_id", r("gap_s"))
 
 
 @query(STEPS + "SELECT frame_id, round((x - px) / dt_s, 6) + 0 AS rate_per_s FROM dl WHERE pt IS NOT NULL")
 def growth_rate(t: Tables):
-    out = W.growth_rate(t.odometry(), S, T, "x", chunk=DAY)
+    out = W.growth_rate(t.odometry(), S, T, "x", part_rows=PARTS)
     return out.filter("rate_per_s IS NOT NULL").select("frame_id", r("rate_per_s"))
 
 
 @query(STEPS + f"SELECT frame_id FROM st WHERE nt IS NULL OR nt - t_ns >= {1800 * NS}")
 def decimate_bursts(t: Tables):
-    return W.decimate_bursts(t.odometry(), S, T, 1800 * NS, chunk=DAY).select("frame_id")
+    return W.decimate_bursts(t.odometry(), S, T, 1800 * NS, part_rows=PARTS).select("frame_id")
 
 
 INDEXED = with_tables("frames") + """, i AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY t_ns) - 1 AS i,
@@ -268,17 +268,17 @@ INDEXED = with_tables("frames") + """, i AS (SELECT *, row_number() OVER (PARTIT
 
 @query(INDEXED + "SELECT frame_id FROM i WHERE (i + 1) % 7 = 0")
 def every_nth_scan(t: Tables):
-    return every_nth(t.frames(), S, T, 7, chunk=DAY).select("frame_id")
+    return every_nth(t.frames(), S, T, 7, part_rows=PARTS).select("frame_id")
 
 
 @query(INDEXED + ", s AS (SELECT unnest(range(50)) AS k) SELECT DISTINCT frame_id FROM i, s WHERE i = floor(k * (n - 1) / 49.0)")
 def evenly_spaced_rows(t: Tables):
-    return evenly_spaced(t.frames(), S, T, 50, chunk=DAY).select("frame_id")
+    return evenly_spaced(t.frames(), S, T, 50, part_rows=PARTS).select("frame_id")
 
 
 @query(INDEXED + "SELECT frame_id FROM i WHERE i % greatest(1, n // 200) = 0")
 def thinned_track(t: Tables):
-    return thin_to(t.frames(), S, T, 200, chunk=DAY).select("frame_id")
+    return thin_to(t.frames(), S, T, 200, part_rows=PARTS).select("frame_id")
 
 
 @query(with_tables("frames") + """SELECT session_id, frame_id, value, CAST(rank AS INTEGER) AS rank FROM (

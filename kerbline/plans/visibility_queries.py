@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kerbline.functions.geo import bng_to_wgs84, wgs84_to_bng
 from kerbline.operators import visibility as V
 from kerbline.operators.spatial import grid_radius_join, radius_join_small
-from kerbline.plans.bindings import DAY, Tables, with_tables
+from kerbline.plans.bindings import PARTS, Tables, with_tables
 from kerbline.plans.registry import query, r
 
 PAIRS = """, near AS (
@@ -182,7 +182,7 @@ FROM h JOIN track k ON k.frame_id = h.best_frame_id JOIN props p ON p.uprn = h.u
 def hero_locations(t: Tables):
     f = t.frames()
     h = V.heroes(_pairs(t)).join(f.select(F.col("frame_id").alias("best_frame_id"), "session_id"), "best_frame_id")
-    at = V.hero_locations(h, f, t.properties(), ["session_id"], chunk=DAY)
+    at = V.hero_locations(h, f, t.properties(), ["session_id"], part_rows=PARTS)
     return at.select(F.col("p_uprn").alias("uprn"), "session_id", "best_t_ns", r("traj_x"), r("traj_y"), "prop_x", "prop_y")
 
 
@@ -197,7 +197,7 @@ def hero_assets(t: Tables):
     h = V.heroes(_pairs(t)).join(f.select(F.col("frame_id").alias("best_frame_id"), "session_id"), "best_frame_id")
     assets = f.select("session_id", "t_ns", F.col("source").alias("kind"),
                       F.concat(F.lit("file_"), F.col("frame_id").cast("string")).alias("file"))
-    out = V.hero_assets(h, assets, ["view", "error"], ["session_id"], chunk=DAY)
+    out = V.hero_assets(h, assets, ["view", "error"], ["session_id"], part_rows=PARTS)
     return out.select(F.col("p_uprn").alias("uprn"), "best_frame_id", F.col("assets")["view"].alias("view_file"),
                       F.col("assets")["error"].alias("error_file"), F.size("assets").alias("n_assets"))
 
@@ -212,7 +212,7 @@ def overlay_features(t: Tables):
     h = V.heroes(_pairs(t)).join(f.select(F.col("frame_id").alias("best_frame_id"), "session_id"), "best_frame_id")
     grid = t.properties().select(F.col("uprn").alias("p_uprn"), (F.col("x") + 400000).alias("x"), (F.col("y") + 300000).alias("y"))
     places = bng_to_wgs84(grid).select("p_uprn", "lat", "lon")
-    feats = V.overlay_features(f, h.join(places, "p_uprn"), ["session_id"], chunk=DAY)
+    feats = V.overlay_features(f, h.join(places, "p_uprn"), ["session_id"], part_rows=PARTS)
     return feats.groupBy("session_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 

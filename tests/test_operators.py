@@ -1,6 +1,7 @@
 """Edge rows, brute-force comparison, skew and plan shape."""
 
 import io
+import json
 import math
 import random
 from contextlib import redirect_stdout
@@ -92,40 +93,61 @@ def test_hero_tie_takes_first_and_counts(spark):
 def test_nearest_tie_takes_earlier(spark):
     left = spark.createDataFrame([("a", 100, 1), ("a", 1000, 2), ("b", 5, 3)], "k string, t_ns long, id int")
     right = spark.createDataFrame([("a", 90, 1), ("a", 110, 2), ("a", 940, 3)], "k string, t_ns long, rid int")
-    for chunk in (7, 50, 10_000):
-        out = timejoin.nearest_asof(left, right, ["k"], 60, right_tie="rid", chunk=chunk).collect()
+    for part_rows in (1, 2, 10_000):
+        out = timejoin.nearest_asof(left, right, ["k"], 60, right_tie="rid", part_rows=part_rows).collect()
         assert sorted((r.id, r.r_rid, r.dt_ns) for r in out) == [(1, 1, -10), (2, 3, -60)]
-    out = timejoin.nearest_asof(left, right, ["k"], 59, right_tie="rid", how="left", chunk=10)
+    out = timejoin.nearest_asof(left, right, ["k"], 59, right_tie="rid", how="left", part_rows=1)
     assert sorted((r.id, r.r_rid) for r in out.collect()) == [(1, 1), (2, None), (3, None)]
 
 
-@pytest.mark.parametrize("chunk", [3, 40, 10**9])
-def test_ordered_columns_do_not_depend_on_chunks(spark, chunk):
-    rnd = random.Random(chunk)
-    rows = [(k, t, float(rnd.randint(0, 9)), i) for i, (k, t) in enumerate((rnd.randint(0, 2), rnd.randint(0, 200)) for _ in range(150))]
+@pytest.mark.parametrize("part_rows", [1, 7, 40, 10**9])
+def test_ordered_columns_do_not_depend_on_parts(spark, part_rows):
+    rnd = random.Random(part_rows)
+    rows = [(k, t, float(rnd.randint(0, 9)), i) for i, (k, t) in enumerate((rnd.choice([0, 1, 2, None]), rnd.choice([None, 5, rnd.randint(0, 9), rnd.randint(-100, 20_000)])) for _ in range(170))]
     df = spark.createDataFrame(rows, "k int, t long, v double, id int")
-    a = ordered.neighbour(df, ["k"], ["t", "id"], {"prev": F.col("id")}, chunk)
-    a = ordered.neighbour(a, ["k"], ["t", "id"], {"next": F.col("id")}, chunk, step=1)
-    a = ordered.running_sum(a, ["k"], ["t", "id"], {"s": F.col("v")}, chunk)
-    a = ordered.running_max_before(a, ["k"], ["t", "id"], {"m": F.col("v")}, chunk)
-    a = ordered.row_index(a, ["k"], ["t", "id"], "i", chunk, total="n")
     odd = F.when(F.col("v") % 2 == 1, F.col("id"))
-    a = ordered.last_known(a, ["k"], ["t", "id"], {"lo": odd}, chunk, after={"hi": odd}, strict=True)
+    a = ordered.scan(df, ["k"], ["t", "id"], prev={"prev": F.col("id")}, following={"next": F.col("id")}, derive={"up": F.col("id") - F.col("prev")},
+                     sums={"s": F.col("v"), "climb": F.col("up"), "i": F.lit(1)}, last={"lo": odd}, ahead={"hi": odd}, totals={"n": "i"}, part_rows=part_rows)
+    a = ordered.running_max_before(a, ["k"], ["t", "id"], {"m": F.col("v")}, part_rows)
+    a = ordered.rolling_sum(a, ["k"], ["t", "id"], {"r": F.col("v")}, 4, part_rows)
     got = {r.id: r for r in a.collect()}
-    for k in range(3):
-        line = sorted([r for r in rows if r[0] == k], key=lambda r: (r[1], r[3]))
+    for k in (0, 1, 2, None):
+        line = sorted([r for r in rows if r[0] == k], key=lambda r: (r[1] is not None, r[1] or 0, r[3]))
         total, best = 0.0, None
         for i, (_, _, v, rid) in enumerate(line):
             total += v
             g = got[rid]
-            back = [r[3] for r in line[:i] if r[2] % 2 == 1]
-            ahead = [r[3] for r in line[i + 1:] if r[2] % 2 == 1]
+            back = [r[3] for r in line[:i + 1] if r[2] % 2 == 1]
+            ahead = [r[3] for r in line[i:] if r[2] % 2 == 1]
             assert (g.prev, g.next) == (line[i - 1][3] if i else None, line[i + 1][3] if i + 1 < len(line) else None)
-            assert (g.s, g.m, g.i, g.n) == (total, best, i, len(line))
+            assert (g.s, g.m, g.i - 1, g.n) == (total, best, i, len(line))
+            assert (g.climb, g.r) == (rid - line[0][3], sum(r[2] for r in line[max(0, i - 3):i + 1]))
             assert (g.lo, g.hi) == (back[-1] if back else None, ahead[0] if ahead else None)
             best = v if best is None else max(best, v)
 
 
+def test_dense_stretch_of_a_track_is_cut_finer(spark):
+    """Ten rows a second for an hour, and a thousand a second in one minute of it."""
+    even = spark.range(36_000).select(F.lit("a").alias("k"), (F.col("id") * 100).alias("t"))
+    dense = spark.range(60_000).select(F.lit("a").alias("k"), (F.col("id") + 1_800_000).alias("t"))
+    few = spark.range(10).select(F.lit("b").alias("k"), (F.col("id") * 1000).alias("t"))
+    cut = ordered.cut(even.union(dense).union(few), ["k"], ["t"], 2_000)
+    sizes = {tuple(r[ordered.KEY]): r["count"] for r in cut.groupBy(ordered.KEY).count().collect()}
+    assert max(sizes.values()) <= 4_000 and sizes["b", 0] == 10
+    assert sum(n for (k, _), n in sizes.items() if k == "a") == 96_000 and 24 <= len(sizes) <= 97
+    busy = cut.where("k = 'a' and t between 1800000 and 1859999").select(ordered.KEY).distinct().count()
+    assert busy >= 15
+    placed = ordered.row_index(cut, ["k"], ["t"], "i").groupBy("k").agg(F.count_distinct("i").alias("n"), F.max("i").alias("m"))
+    assert {(r.k, r.n, r.m) for r in placed.collect()} == {("a", 96_000, 95_999), ("b", 10, 9)}
+
+
+def test_epochs_read_their_rows_four_times_at_most(spark, folder):
+    from kerbline.plans import QUERIES
+
+    plan = QUERIES["session_epochs"](spark, folder)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("events.parquet") <= 4 and "SortAggregate" not in plan
+
+
 def test_gap_just_under_and_over(spark):
     df = spark.createDataFrame([("a", 0), ("a", 30 * NS), ("a", 60 * NS + 1)], "k string, t_ns long")
     out = windows.sessionize(df, ["k"], ["t_ns"], 30 * NS)
@@ -160,7 +182,7 @@ def test_interpolation_gap_modes(spark):
         "k", "t_ns", "x", "0D y", "0D z", "0D qx", "0D qy", "0D qz", "1D qw")
     at = spark.createDataFrame([("a", 2 * NS), ("a", 8 * NS), ("a", 20 * NS), ("a", -NS)], "k string, t_ns long")
     def run(**kw):
-        return {r.t_ns // NS: round(r.p_x, 6) for r in timejoin.interpolate_poses(at, poses, ["k"], chunk=3 * NS, **kw).collect()}
+        return {r.t_ns // NS: round(r.p_x, 6) for r in timejoin.interpolate_poses(at, poses, ["k"], part_rows=1, **kw).collect()}
     assert run() == {2: 2, 8: 8, 20: 10, -1: 0}
     assert run(on_gap="snap", max_gap_ns=5 * NS) == {2: 0, 8: 10, 20: 10, -1: 0}
     assert run(on_gap="drop", max_gap_ns=5 * NS, outside="drop") == {}
@@ -210,9 +232,53 @@ def test_sequential_equals_plain_walk(spark, step, segment_rows):
     assert got == _plain_walk(step, rows, "k", ["t_ns"], step.inputs)
 
 
+@pytest.mark.parametrize("step, columns", [
+    (steps.monotonic_guard(1000), {"t_ns": "case when id = 0 then 1000000 else id end"}),  # never catches up
+    (steps.monotonic_guard(1000), {"t_ns": "case when id = 0 then 900000 else id * 2000 end"}),  # catches up half way
+    (steps.offset_guard(10, 4 * NS), {"t_ns": "id - 50 * (id div 100)"}),
+    (steps.trajectory_gate(5.0), {"x": "sin(id)", "y": "0D"}),  # parked for good
+    (steps.trajectory_gate(5.0), {"x": "case when id < 300 then 0D else id / 10D end", "y": "0D"}),
+    (steps.throttle(10 ** 9), {"t_ns": "id * 12345"}),
+    (steps.heading_calibration(), {"heading_deg": "id % 7 * 1D", "yaw_deg": "0D", "from_dual": "true"}),
+], ids=lambda v: None if isinstance(v, dict) else "s")
+def test_rounds_do_not_follow_the_number_of_segments(spark, step, columns):
+    """64 segments of one key, in states that are kept, shifted or forgotten."""
+    rows = spark.range(640).select(F.lit(1).alias("k"), F.col("id").alias("n"), *[F.expr(columns.get(c, "id")).alias(c) for c in dict.fromkeys([*step.inputs, "t_ns"])])
+    data = rows.withColumn(sequential.SEG, F.floor(F.col("n") / 10).cast("int"))
+    states, rounds = sequential.entry_states(data, ["k"], ["n"], step, 64)
+    assert rounds <= 8
+    got = {r[sequential.SEG]: r[sequential.ENTRY] for r in states.collect()}
+    state = None
+    for i, row in enumerate(rows.orderBy("n").collect()):
+        if i % 10 == 0:
+            assert got[i // 10] == (None if state is None else json.dumps(state))
+        state, _ = step.advance(state, tuple(row[c] for c in step.inputs))
+
+
+def test_what_no_round_settles_is_walked(spark):
+    rnd = random.Random(6)
+    rows = [(i % 2, i, rnd.uniform(0, 30)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, t_ns long, x double").withColumn("y", F.lit(0.0)).withColumn("id", F.col("t_ns"))
+    out = sequential.run_sequential(df, ["k"], ["t_ns"], steps.trajectory_gate(9.0), segment_rows=5, rounds=0)
+    want = _plain_walk(steps.trajectory_gate(9.0), [dict(id=t, k=k, t_ns=t, x=x, y=0.0) for k, t, x in rows], "k", ["t_ns"], ("t_ns", "x", "y"))
+    assert sorted(r.id for r in out.collect()) == [w[0] for w in want]
+
+
+def test_guards_as_running_sums_equal_their_steps(spark):
+    rnd = random.Random(12)
+    rows = [dict(id=i, k=rnd.randint(0, 2), t_ns=rnd.randint(0, 60), v=rnd.choice([None, 1.5, 2.5])) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, k long, t_ns long, v double")
+    got = windows.offset_guard(df, ["k"], ["id"], "t_ns", 3, 25, part_rows=10)
+    got = sorted((r.id, r.out_ns, r.corrected, r.offset_ns, r.epoch) for r in got.collect())
+    assert got == _plain_walk(steps.offset_guard(3, 25), rows, "k", ["id"], ("t_ns",))
+    got = windows.hold_last(df, ["k"], ["id"], {"v": "held"}, part_rows=10)
+    got = sorted((r.id, r.held, r.fresh) for r in got.collect())
+    assert got == _plain_walk(steps.hold_last(("v",), "held double"), rows, "k", ["id"], ("v",))
+
+
 def test_burst_decimation_keeps_latest(spark):
     df = spark.createDataFrame([("a", t, i) for i, t in enumerate([0, 4, 8, 12, 30, 33, 60])], "k string, t_ns long, id int")
-    assert ids(windows.decimate_bursts(df, ["k"], ["t_ns"], 5, chunk=10)) == [3, 5, 6]
+    assert ids(windows.decimate_bursts(df, ["k"], ["t_ns"], 5, part_rows=2)) == [3, 5, 6]
 
 
 # --- points, descriptors, ground ----------------------------------------------------------------
