@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.ordered import PART_ROWS, running_sum
 from kerbline.operators.windows import top_k
+from kerbline.session import settle
 
 NS = 1_000_000_000
 # Log patterns that are noise, and patterns that make a line an error.
@@ -156,7 +157,7 @@ def rate_floor(df: DataFrame, by: list[str], floor_hz: float, sample_s: int = 5,
     """
     rates = rate_windows(df, by, sample_s, time)
     low = F.col("rate_hz") < floor_hz
-    marked = running_sum(rates, by, ["window_ns"], {"__ok": F.when(low, 0).otherwise(1)}, part_rows)
+    marked = running_sum(settle(rates), by, ["window_ns"], {"__ok": F.when(low, 0).otherwise(1)}, part_rows)
     spells = marked.filter(low).groupBy(*by, "__ok").agg(
         F.min("window_ns").alias("start_ns"), F.max("window_ns").alias("__last"),
         F.min("rate_hz").alias("min_rate_hz"),

@@ -34,6 +34,13 @@ def _same(left: list[Column], right: list[Column]) -> Column:
     return out
 
 
+def match(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null with null; the keys of ``other`` are dropped."""
+    right = other.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = _same([F.col(k) for k in keys], [F.col(f"__r_{k}") for k in keys])
+    return df.join(right, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def _bin(bits: int) -> Column:
     return F.col(AT) - F.pmod(F.col(AT), F.lit(1 << bits))
 

@@ -11,6 +11,7 @@ from kerbline.functions.pose import apply_t, compose_t, extrinsic, pose_t
 from kerbline.operators.ordered import PART_ROWS, row_index
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.timejoin import interpolate_poses, nearest_asof
+from kerbline.session import settle
 
 VOXEL = ("ix", "iy", "iz")
 HASH_SPAN = 1 << 40
@@ -275,7 +276,7 @@ def deskew(points: DataFrame, poses: DataFrame, by: list[str], bins: int = 16,
     slots = extent.withColumn("__bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumn(
         "t_ns", centre
     )
-    at = interpolate_poses(slots, poses, by, part_rows=part_rows)
+    at = interpolate_poses(settle(slots), poses, by, part_rows=part_rows)
     rot, shift = compose_t(pose_t("p_"), extrinsic(preset))
     entry = F.struct(F.col("__bin").alias("b"), *[c.alias(f"r{i}") for i, c in enumerate(rot)],
                      *[c.alias(f"t{i}") for i, c in enumerate(shift)])
@@ -314,7 +315,7 @@ def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cam
         raise ValueError(f"more than {MAX_CAMERAS} cameras on one vehicle")
     each = F.explode(F.array(*[F.lit(name) for name in sorted(rig)]))
     scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct().withColumn("camera", each)
-    matched = nearest_asof(scans, images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id",
+    matched = nearest_asof(settle(scans), images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id",
                            part_rows=part_rows)
     matched = matched.select(*by, F.col("t_ns").alias("scan_ns"), "camera", F.col("i_image_id").alias("image_id"))
     rows = points.join(matched, [*by, "scan_ns"]).join(F.broadcast(cameras), "camera")

@@ -10,9 +10,11 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import motion_class
 from kerbline.functions.pose import quat_cols, quat_to_rot, rotate, transpose
-from kerbline.operators.ordered import PART_ROWS, neighbour
+from kerbline.functions.geo import distance3
+from kerbline.operators.chains import greedy_chain
+from kerbline.operators.ordered import PART_ROWS, neighbour, scan
 from kerbline.operators.quantiles import exact_quantiles
-from kerbline.operators.windows import circular_from_means, cumulative_distance, step_deltas
+from kerbline.operators.windows import circular_from_means, step_deltas
 from kerbline.session import settle
 
 NS = 1_000_000_000
@@ -179,20 +181,20 @@ def rpe(pairs: DataFrame, by: list[str], delta: float = 1.0, time: str = "t_ns",
         b: str = "e_", part_rows: int = PART_ROWS) -> DataFrame:
     """Relative pose error over steps of ``delta`` metres of travel.
 
-    The first pose of every ``delta`` of path is taken and neighbours are compared.
+    A pose is taken whenever the estimate has travelled ``delta`` since the last one taken (or
+    since its beginning), where the count starts again; neighbours are compared.
     """
-    path = pairs.withColumnsRenamed({f"{a}{c}": c for c in "xyz"}) if a else pairs
-    along = cumulative_distance(path, by, [time], part_rows)
-    along = along.withColumn("__step", F.floor(F.col("cum_m") / delta))
+    before = {f"__p_{c}": F.col(f"{b}{c}") for c in "xyz"}
+    gone = F.coalesce(distance3("__p_x", "__p_y", "__p_z", f"{b}x", f"{b}y", f"{b}z"), F.lit(0.0))
+    pairs = settle(pairs.select(*by, time, *[f"{p}{c}" for p in (a, b) for c in ("x", "y", "z", "qx", "qy", "qz", "qw")]))
+    along = settle(scan(pairs, by, [time], prev=before, sums={"cum_m": gone}, part_rows=part_rows).drop(*before))
+    marks = greedy_chain(along, by, [time], "cum_m", delta, start=delta, part_rows=part_rows)
     pose = [f"q{c}" for c in "xyzw"] + list("xyz")
-    body = F.struct(*pose, *[f"{b}{c}" for c in pose])
-    marks = along.groupBy(*by, "__step").agg(F.min(time).alias(time), F.min_by(body, time).alias("__p"))
-    marks = marks.select(*by, time, F.col("__p.*"))
-    cols = {f"o_{c}": F.col(c) for c in (*pose, *[f"{b}{c}" for c in pose])}
-    legs = neighbour(marks, by, [time], cols, part_rows).filter(F.col("o_x").isNotNull())
+    cols = {f"o_{p}{c}": F.col(f"{p}{c}") for p in (a, b) for c in pose}
+    legs = neighbour(marks, by, [time], cols, part_rows).filter(F.col(f"o_{b}x").isNotNull())
     # |want^-1 got| equals the distance of the two steps seen from their own start poses
     moved = [rotate(transpose(quat_to_rot(quat_cols(f"o_{p}"))),
-                    [F.col(f"{p}{c}") - F.col(f"o_{p}{c}") for c in "xyz"]) for p in ("", b)]
+                    [F.col(f"{p}{c}") - F.col(f"o_{p}{c}") for c in "xyz"]) for p in (a, b)]
     gaps = [g - w for w, g in zip(*moved)]
     err = F.hypot(F.hypot(gaps[0], gaps[1]), gaps[2])
     return error_stats(legs.withColumn("__e", err), by, "__e")

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbline.operators.ordered import match
 from kerbline.operators.steps import Step
 from kerbline.session import settle
 
@@ -163,7 +164,7 @@ def entry_states(narrow: DataFrame, by: list[str], order: list[str], step: Step,
         rows = [(numbers[i], *key, entry, main, known) for i, entry, main, known in _compose(step, parts)]
         return pd.DataFrame(rows, columns=placed.fieldNames())
 
-    limit = 3 + max(1, segments - 1).bit_length() if rounds is None else rounds
+    limit = 1 + max(1, segments - 1).bit_length() if rounds is None else rounds
     tables = settle(narrow.groupBy(SEG).applyInPandas(first, ran))
     part = [SEG, *by]
     for number in range(1, limit + 1):
@@ -171,36 +172,23 @@ def entry_states(narrow: DataFrame, by: list[str], order: list[str], step: Step,
         asked = chain.where(~F.col(KNOWN))
         if asked.isEmpty():
             return chain.where(MAIN).select(*part, ENTRY), number
-        rows = _only(narrow, asked.select(*part).distinct(), part)
+        rows = match(narrow, asked.select(*part).distinct(), part, "left_semi")
         fresh = rows.groupBy(SEG).cogroup(asked.groupBy(SEG)).applyInPandas(runner(number), ran)
         tables = tables.unionByName(settle(fresh))
     chain = settle(tables.groupBy(*by).applyInPandas(compose, placed)).where(MAIN)
     front = chain.where(~F.col(KNOWN)).groupBy(*by).agg(F.min(SEG).alias("__from"))
     walked = _walk_on(narrow, chain, front, by, order, step, T.StructType(head))
-    settled = _only(chain.select(*part, ENTRY), front.select(*by), by, "left_anti") if by else chain.limit(0).select(*part, ENTRY)
-    behind = _joined(chain.select(*part, ENTRY), front, by).where(F.col(SEG) < F.col("__from")).select(*part, ENTRY)
+    settled = match(chain.select(*part, ENTRY), front.select(*by), by, "left_anti") if by else chain.limit(0).select(*part, ENTRY)
+    behind = match(chain.select(*part, ENTRY), front, by).where(F.col(SEG) < F.col("__from")).select(*part, ENTRY)
     return settle(settled.unionByName(behind).unionByName(walked)), limit + 1
 
 
-def _joined(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on equal keys, null with null; the right side's keys are dropped."""
-    right = small.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    return df.join(right, on, how).drop(*[f"__r_{k}" for k in keys])
-
-
-def _only(df: DataFrame, wanted: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
-    return _joined(df, wanted, keys, how)
-
-
 def _walk_on(narrow: DataFrame, chain: DataFrame, front: DataFrame, by: list[str], order: list[str], step: Step,
              schema: T.StructType) -> DataFrame:
     """Entry states from each key's first unknown part on, by streaming its rows in order."""
-    first = _joined(chain, front, by).where(F.col(SEG) == F.col("__from")).select(SEG, *by, ENTRY)
-    rest = _joined(narrow, front, by).where(F.col(SEG) >= F.col("__from")).drop("__from")
-    rows = _joined(rest, first, [SEG, *by], "left")
+    first = match(chain, front, by).where(F.col(SEG) == F.col("__from")).select(SEG, *by, ENTRY)
+    rest = match(narrow, front, by).where(F.col(SEG) >= F.col("__from")).drop("__from")
+    rows = match(rest, first, [SEG, *by], "left")
     spread = rows.repartition(*by) if by else rows.coalesce(1)
     columns = [SEG, *by]
 

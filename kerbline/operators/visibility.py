@@ -13,6 +13,7 @@ from kerbline.operators.ordered import PART_ROWS, row_index, scan
 from kerbline.operators.spatial import grid_radius_join
 from kerbline.operators.timejoin import nearest_asof
 from kerbline.operators.windows import dedup_by_time, top_k
+from kerbline.session import settle
 
 
 def visibility_pairs(frames: DataFrame, props: DataFrame, radius: float = 75.0, cell: float | None = None,
@@ -68,7 +69,7 @@ def hero_assets(hero_rows: DataFrame, assets: DataFrame, kinds: list[str], by: l
 
     ``assets`` has ``(keys, t_ns, kind, file)``. The kinds are a short configured list.
     """
-    heroes_at = hero_rows.withColumnRenamed("best_t_ns", "t_ns")
+    heroes_at = settle(hero_rows.withColumnRenamed("best_t_ns", "t_ns"))
     own = [c for c in heroes_at.columns if c not in (*by, "t_ns")]
     asked = heroes_at.select(*by, "t_ns", F.lit(1).alias("__side"), F.struct(*own).alias("__h"))
     files = assets.filter(F.col("kind").isin(*kinds)).select(*by, "t_ns", F.lit(0).alias("__side"), "kind", "file")
@@ -232,7 +233,7 @@ def manifest_frames(pairs: DataFrame, recording: str) -> DataFrame:
 def hero_locations(hero_rows: DataFrame, track: DataFrame, props: DataFrame, by: list[str],
                    part_rows: int = PART_ROWS) -> DataFrame:
     """Hero -> nearest trajectory point -> property place."""
-    at = hero_rows.withColumnRenamed("best_t_ns", "t_ns")
+    at = settle(hero_rows.withColumnRenamed("best_t_ns", "t_ns"))
     near = nearest_asof(at, track.select(*by, "t_ns", "x", "y"), by, prefix="traj_", part_rows=part_rows)
     places = props.select(F.col("uprn").alias("p_uprn"), F.col("x").alias("prop_x"), F.col("y").alias("prop_y"))
     return near.join(places, "p_uprn").withColumnRenamed("t_ns", "best_t_ns")

@@ -10,6 +10,7 @@ from kerbline.functions.pose import rotation_angle
 from kerbline.operators.ordered import (
     KEY, PART_ROWS, cut, last_known, neighbour, rolling_sum, row_index, running_max_before, running_sum, scan,
 )
+from kerbline.session import settle
 
 NS = 1_000_000_000
 
@@ -115,7 +116,7 @@ def segment_tags(runs: DataFrame, label: str) -> DataFrame:
 
 def index_ranges(df: DataFrame, by: list[str], idx: str, part_rows: int = PART_ROWS) -> DataFrame:
     """Ranges of consecutive distinct index values."""
-    unique = df.select(*by, idx).distinct()
+    unique = settle(df.select(*by, idx).distinct())
     placed = row_index(unique, by, [idx], "__pos", part_rows)
     return (
         placed.groupBy(*by, (F.col(idx) - F.col("__pos")).alias("__run"))

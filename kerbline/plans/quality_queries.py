@@ -148,15 +148,20 @@ def ate(t: Tables):
     return _errors(Q.ate(_matched(t), S))
 
 
-@query(MATCH + f""", st AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM pairs WINDOW w AS (PARTITION BY session_id ORDER BY t_ns)),
-cu AS (SELECT *, floor(sum(coalesce(sqrt((x - px) * (x - px) + (y - py) * (y - py)), 0)) OVER (PARTITION BY session_id ORDER BY t_ns) / 1000) AS step FROM st),
-mk AS (SELECT *, row_number() OVER (PARTITION BY session_id, step ORDER BY t_ns) AS rn FROM cu),
-lg AS (SELECT *, lag(x) OVER w AS ox, lag(y) OVER w AS oy, lag(h) OVER w AS oh, lag(ex) OVER w AS oex, lag(ey) OVER w AS oey, lag(eh) OVER w AS oeh
-  FROM mk WHERE rn = 1 WINDOW w AS (PARTITION BY session_id ORDER BY t_ns)),
+RPE_SQL = MATCH.replace("WITH ", "WITH RECURSIVE ", 1) + f""", st AS (SELECT *, row_number() OVER w AS n,
+  coalesce(sqrt((ex - lag(ex) OVER w) ** 2 + (ey - lag(ey) OVER w) ** 2), 0) AS d FROM pairs WINDOW w AS (PARTITION BY session_id ORDER BY t_ns)),
+walk AS (SELECT session_id, n, 0::DOUBLE AS gone, false AS hit FROM st WHERE n = 1 UNION ALL
+  SELECT st.session_id, st.n, CASE WHEN walk.gone + st.d >= 1000 THEN 0 ELSE walk.gone + st.d END, walk.gone + st.d >= 1000
+  FROM walk JOIN st ON st.session_id = walk.session_id AND st.n = walk.n + 1),
+lg AS (SELECT st.*, lag(x) OVER w AS ox, lag(y) OVER w AS oy, lag(h) OVER w AS oh, lag(ex) OVER w AS oex, lag(ey) OVER w AS oey, lag(eh) OVER w AS oeh
+  FROM st JOIN walk USING (session_id, n) WHERE hit WINDOW w AS (PARTITION BY session_id ORDER BY n)),
 rl AS (SELECT *, cos(oh) * (x - ox) + sin(oh) * (y - oy) AS wx, -sin(oh) * (x - ox) + cos(oh) * (y - oy) AS wy,
   cos(oeh) * (ex - oex) + sin(oeh) * (ey - oey) AS gx, -sin(oeh) * (ex - oex) + cos(oeh) * (ey - oey) AS gy FROM lg WHERE ox IS NOT NULL),
 er AS (SELECT session_id, sqrt((gx - wx) * (gx - wx) + (gy - wy) * (gy - wy)) AS e FROM rl)
-SELECT {ERR_COLS} FROM er GROUP BY session_id""")
+SELECT {ERR_COLS} FROM er GROUP BY session_id"""
+
+
+@query(RPE_SQL)
 def rpe(t: Tables):
     return _errors(Q.rpe(_matched(t), S, delta=1000.0, part_rows=PARTS))
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbline.operators import fleet, ground, imaging, ordered, place, points, quality, sequential, steps, timejoin, windows
+from kerbline.operators import chains, fleet, ground, imaging, ordered, place, points, quality, sequential, steps, timejoin, windows
 from kerbline.operators import spatial, visibility
 from kerbline.operators.fixes import is_rtk, valid_fix, valid_pose
 from kerbline.operators.quantiles import exact_quantiles
@@ -276,6 +276,26 @@ def test_guards_as_running_sums_equal_their_steps(spark):
     assert got == _plain_walk(steps.hold_last(("v",), "held double"), rows, "k", ["id"], ("v",))
 
 
+@pytest.mark.parametrize("part_rows", [1, 3, 50, 10**6])
+def test_greedy_chain_equals_a_walk(spark, part_rows):
+    rnd = random.Random(21)
+    rows, want = [], []
+    for k in (None, 1, 2, 3):
+        value, last = 0.0, None
+        for i in range(90 if k != 3 else 1):
+            value += rnd.choice([0.0, 0.0, rnd.uniform(0, 2), 7.0])
+            rows.append((k, i, value))
+            if value >= 1.5 if last is None else value >= last + 1.5:
+                last = value
+                want.append((k or 0, i))
+    df = spark.createDataFrame([*rows, (1, -1, None)], "k int, id long, v double")
+    out = chains.greedy_chain(df, ["k"], ["id"], "v", 1.5, start=1.5, part_rows=part_rows)
+    assert sorted((r.k or 0, r.id) for r in out.collect()) == sorted(want)
+    if part_rows == 3:
+        assert chains.greedy_chain(df.where("id = 0"), ["k"], ["id"], "v", 1.5).count() == 4
+        assert chains.greedy_chain(df.where("false"), ["k"], ["id"], "v", 1.5).count() == 0
+
+
 def test_burst_decimation_keeps_latest(spark):
     df = spark.createDataFrame([("a", t, i) for i, t in enumerate([0, 4, 8, 12, 30, 33, 60])], "k string, t_ns long, id int")
     assert ids(windows.decimate_bursts(df, ["k"], ["t_ns"], 5, part_rows=2)) == [3, 5, 6]
