@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from kerbline.functions.labels import sector_of, zone_of
+from kerbline.functions.linear import SIX, plane_normal
 from kerbline.operators.points import _finite
 from kerbline.operators.windows import top_k
-
-
-@F.pandas_udf(ArrayType(DoubleType()))
-def _plane_normal(moments: pd.Series) -> pd.Series:
-    """Upward normal of the best plane from six covariances; one 3x3 matrix per row."""
-    m = np.stack([np.asarray(v, float) for v in moments])
-    cov = m[:, [0, 1, 2, 1, 3, 4, 2, 4, 5]].reshape(-1, 3, 3)
-    _, vectors = np.linalg.eigh(cov)
-    normal = vectors[:, :, 0]
-    normal = np.where(normal[:, 2:3] < 0, -normal, normal)
-    return pd.Series(list(normal))
+from kerbline.session import settle
 
 
 def ground_split(points: DataFrame, scan: list[str], point_id: str, min_range: float = 2.0,
@@ -31,7 +19,7 @@ def ground_split(points: DataFrame, scan: list[str], point_id: str, min_range: f
 
     Seeds are the lowest points of each (scan, zone, sector): at most ``seeds`` and at most a
     third of the cell. The rank is cut to ``seeds`` before the shuffle, the plane comes from
-    six sums per cell, and only those small rows meet Python.
+    six sums per cell in closed form. A cell whose seeds fit more than one plane has no ground.
     """
     valid = _finite("x") & _finite("y") & _finite("z")
     cut = points.withColumn(
@@ -42,16 +30,16 @@ def ground_split(points: DataFrame, scan: list[str], point_id: str, min_range: f
     sizes = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
     low = top_k(placed.select(*cell, "x", "y", "z", point_id), cell, [F.asc("z"), F.asc(point_id)], seeds)
     low = low.join(sizes, cell).filter(F.col("rank") <= F.floor(F.col("__n") / 3))
-    pairs = (("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z"))
     fit = low.groupBy(*cell).agg(
         F.count(F.lit(1)).alias("__k"), *[F.avg(a).alias(f"__c{a}") for a in "xyz"],
-        F.array(*[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]).alias("__m"),
+        *[F.covar_pop(F.col(k[0]).cast("double"), F.col(k[1]).cast("double")).alias(f"__m{k}") for k in SIX],
     ).filter(F.col("__k") >= 3)
-    fit = fit.withColumn("__nrm", _plane_normal("__m")).filter(F.col("__nrm")[2] >= uprightness)
-    planes = fit.select(*cell, *[f"__c{a}" for a in "xyz"], "__nrm")
+    normal = ("__nx", "__ny", "__nz")
+    # one small row per cell; settled, since a filter would be pushed into the closed form and repeat it
+    fit = settle(plane_normal(fit, {k: F.col(f"__m{k}") for k in SIX}, normal).select(*cell, *[f"__c{a}" for a in "xyz"], *normal))
+    planes = fit.filter(F.col("__nz") >= uprightness)
     rows = cut.join(planes, cell, "left")
-    off = sum(((F.col(a) - F.col(f"__c{a}")) * F.col("__nrm")[i + 1] for i, a in enumerate("yz")),
-              (F.col("x") - F.col("__cx")) * F.col("__nrm")[0])
+    off = sum(((F.col(a) - F.col(f"__c{a}")) * F.col(f"__n{a}") for a in "yz"), (F.col("x") - F.col("__cx")) * F.col("__nx"))
     limit = (0.1 + 0.05 * F.col("__zone")) * (1 + F.col("__zone") * 0.2)
     ground = F.coalesce(F.abs(off) < limit, F.lit(False))
     return rows.select(*points.columns, ground.alias("is_ground"))

@@ -274,9 +274,28 @@ def detect_loops(t: Tables):
     return out.select("idx", "match_idx", r("distance"))
 
 
-# The plane fit needs an eigenvector, which the SQL engine lacks; a test compares with brute force.
-@query()
+def _zone(reach: str, low: float, high: float, zones: int) -> str:
+    edges = [f"({low} + {high - low} * ({i} / {zones}) ** 1.5)" for i in range(zones + 1)]
+    return "CASE " + " ".join(f"WHEN {reach} >= {a} AND {reach} < {b} THEN {i}" for i, (a, b) in enumerate(zip(edges, edges[1:]))) + " END"
+
+
+@query(with_tables("points") + f""", c AS (SELECT scan_id, point_id, x - 25 AS x, y - 50 AS y, z FROM points),
+g AS (SELECT *, {_zone("sqrt(x * x + y * y)", 1.0, 60.0, 4)} AS zone, least(CAST(floor((atan2(y, x) + pi()) / (2 * pi() / 16)) AS INTEGER), 15) AS sector FROM c),
+k AS (SELECT *, row_number() OVER (PARTITION BY scan_id, zone, sector ORDER BY z, point_id) AS rn, count(*) OVER (PARTITION BY scan_id, zone, sector) AS n
+  FROM g WHERE zone IS NOT NULL),
+f AS (SELECT scan_id, zone, sector, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz, covar_pop(x, x) AS xx, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz,
+  covar_pop(y, y) AS yy, covar_pop(y, z) AS yz, covar_pop(z, z) AS zz FROM k WHERE rn <= 20 AND rn <= floor(n / 3) GROUP BY 1, 2, 3 HAVING count(*) >= 3),
+p AS (SELECT *, (xx + yy + zz) / 3 AS q, sqrt(((xx - q) ** 2 + (yy - q) ** 2 + (zz - q) ** 2 + 2 * (xy ** 2 + xz ** 2 + yz ** 2)) / 6) AS p FROM f),
+e AS (SELECT *, q + 2 * p * cos(acos(greatest(-1, least(1, ((xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz)
+  + xz * (xy * yz - (yy - q) * xz)) / (2 * p ** 3)))) / 3 + 2 * pi() / 3) AS l FROM p WHERE p > 0),
+u AS (SELECT *, unnest([[xy * yz - xz * (yy - l), xz * xy - (xx - l) * yz, (xx - l) * (yy - l) - xy * xy], [xy * (zz - l) - xz * yz, xz * xz - (xx - l) * (zz - l), (xx - l) * yz - xy * xz],
+  [(yy - l) * (zz - l) - yz * yz, yz * xz - xy * (zz - l), xy * yz - (yy - l) * xz]]) AS v FROM e),
+b AS (SELECT *, v[1] ** 2 + v[2] ** 2 + v[3] ** 2 AS s FROM u),
+w AS (SELECT scan_id, zone, sector, any_value(cx) AS cx, any_value(cy) AS cy, any_value(cz) AS cz, arg_max(v, s) AS v, sqrt(max(s)) AS len FROM b
+  GROUP BY 1, 2, 3 HAVING max(s) > any_value(p) ** 4 * 1e-12)
+SELECT point_id, coalesce(abs((x - cx) * v[1] + (y - cy) * v[2] + (z - cz) * v[3]) / len < (0.1 + 0.05 * zone) * (1 + zone * 0.2) AND abs(v[3]) / len >= 0.7, false) AS is_ground
+FROM g LEFT JOIN w USING (scan_id, zone, sector)""")
 def ground_split(t: Tables):
+    """Every point with its ground flag, from planes fitted in closed form."""
     moved = t.points().withColumn("x", F.col("x") - 25).withColumn("y", F.col("y") - 50)
-    out = G.ground_split(moved, ["scan_id"], "point_id", min_range=1.0, max_range=60.0)
-    return out.groupBy("scan_id").agg(F.count(F.lit(1)).alias("n_points"), F.count_if("is_ground").alias("n_ground"))
+    return G.ground_split(moved, ["scan_id"], "point_id", min_range=1.0, max_range=60.0).select("point_id", "is_ground")
