@@ -1,10 +1,11 @@
-"""Exact quantiles of large groups.
+"""Exact ranks of large groups: quantiles, and the rows up to a rank.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here the
-values are counted in bins first (a small shuffle), a window over the bins finds the bins
-that hold the wanted ranks, and only rows of those bins are read again. Bins are taken on
-``asinh`` so that their number is bounded for any spread of values: each level has at most
-about 1,400 x ``bins_per_unit`` bins on the first level and ``fan_out`` below it.
+values of all groups are counted in bins first (a histogram per group, merged on the way), a
+window over the bins finds those that hold the wanted ranks, and only rows of those bins are
+read again, in finer ones. Bins are taken on ``asinh`` so that their number is bounded for any
+spread of values: each level has at most about 1,400 x ``bins_per_unit`` bins on the first
+level and ``fan_out`` below it.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbline.session import settle
+
 V = "__v"
 RANK = "__rank"
 TOTAL = "__total"
-SMALL_GROUP = 2_000_000
+COUNTED = 4096
 
 
 def _targets(df: DataFrame, by: list[str], bin_cols: list[str], wanted: DataFrame | None,
@@ -39,21 +42,15 @@ def _targets(df: DataFrame, by: list[str], bin_cols: list[str], wanted: DataFram
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: Column, qs: dict[str, float],
-                    small_group: int = SMALL_GROUP, bins_per_unit: int = 64,
-                    fan_out: int = 4096) -> DataFrame:
+                    bins_per_unit: int = 64, fan_out: int = 4096) -> DataFrame:
     """One row per group with linearly interpolated quantiles named by ``qs``.
 
-    Null, NaN and infinite values are left out. The groups are counted first: when the
-    largest has at most ``small_group`` rows the built-in percentile is used. Otherwise
-    ``df`` is read three times, so it should be a table or a settled result. With no group columns the wanted ranks are at most two rows
-    per quantile, so pairing them with the bins is bounded.
+    Null, NaN and infinite values are left out. ``df`` is read three times, so it should be a
+    table or a settled result. With no group columns the wanted ranks are at most two rows per
+    quantile, so pairing them with the bins is bounded.
     """
     finite = F.abs(value) < float("inf")  # NaN sorts above infinity, null gives null
     rows = df.filter(finite).select(*by, value.cast("double").alias(V))
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    biggest = sizes.agg(F.max("__n")).first()[0] or 0
-    if biggest <= small_group:
-        return rows.groupBy(*by).agg(*[F.percentile(V, F.lit(q)).alias(n) for n, q in qs.items()])
     scaled = F.asinh(F.col(V)) * bins_per_unit
     binned = rows.select(
         *by, V,
@@ -75,3 +72,42 @@ def exact_quantiles(df: DataFrame, by: list[str], value: Column, qs: dict[str, f
         return low + (high - low) * F.max(spot - F.floor(spot))
 
     return third.groupBy(*by).agg(*[at(q).alias(n) for n, q in qs.items()])
+
+
+def _ranked(df: DataFrame, column: str, n: int, newest: bool) -> int:
+    """The ``n``-th value of a BIGINT column, from the greatest or the least on; ``df`` has at least ``n`` rows.
+
+    The range that holds it is cut into ``COUNTED`` bins and counted until a bin is one value.
+    """
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    while low < high:
+        width = (high - low) // COUNTED + 1
+        place = F.floor((F.col(column) - low) / width) if width < 2**20 else F.expr(f"({column} - {low}) div {width}")
+        counts = df.where(F.col(column).between(low, high)).groupBy(place.cast("long").alias("b")).count().collect()
+        for b, count in sorted(((r["b"], r["count"]) for r in counts), reverse=newest):
+            if count >= n:
+                low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+                break
+            n -= count
+    return low
+
+
+def first_rows(df: DataFrame, n: int, order: list[tuple[str, bool]]) -> DataFrame:
+    """The first ``n`` rows by BIGINT columns, each given with whether its greatest values come first.
+
+    No task sorts more than its own rows: column by column the value at the rank is found by
+    counting, the rows before it stay, and the next column decides among those that share it.
+    Rows equal in all columns are taken or left together if the rank falls among them.
+    """
+    rows, kept, left = settle(df), [], n
+    for column, newest in order:
+        if rows.count() <= left:
+            break
+        value = _ranked(rows, column, left, newest)
+        ahead = rows.where(F.col(column) > value if newest else F.col(column) < value)
+        kept.append(ahead)
+        left -= ahead.count()
+        rows = rows.where(F.col(column) == value)
+    for part in kept:
+        rows = rows.unionByName(part)
+    return rows

@@ -79,9 +79,9 @@ class Tables:
             F.col("l_tax").alias("gx"), F.col("l_tax").alias("gy"), F.col("l_tax").alias("gz"),
         )
 
-    def points(self) -> DataFrame:
+    def points(self, lineitem: DataFrame | None = None) -> DataFrame:
         pid = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 10000
-        return self.raw("lineitem").select(
+        return (self.raw("lineitem") if lineitem is None else lineitem).select(
             (pid + F.col("l_suppkey")).alias("point_id"), (F.col("l_suppkey") % 7).alias("session_id"),
             F.col("l_suppkey").alias("scan_id"), F.col("l_orderkey").alias("cloud_id"),
             F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"),

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from kerbline.operators.points import VOXEL, with_tile, with_voxel
+from kerbline.operators.points import VOXEL, with_voxel
+from kerbline.operators.quantiles import first_rows
 from kerbline.operators.visibility import heroes, visibility_pairs
-from kerbline.operators.windows import top_k
+from kerbline.streaming.stateful import VoxelLife
 
 NS = 1_000_000_000
 
@@ -75,26 +77,44 @@ def live_rates(stream: DataFrame, by: list[str], width: str = "5 seconds", event
 def live_voxel_map(points: DataFrame, size: float, time: str = "t_ns") -> DataFrame:
     """Latest point per voxel of a stream; ``update`` mode.
 
-    Plain aggregation state, spread over all tasks by voxel. :func:`cap_voxel_map` applies
-    the cap and the decay to the stored map.
+    Plain aggregation state, spread over all tasks by voxel, which never expires; see
+    :func:`decaying_voxel_map`. :func:`cap_voxel_map` applies the cap to the stored map.
     """
     return with_voxel(points, size).groupBy(*VOXEL).agg(
         *[F.max_by(c, time).alias(c) for c in ("x", "y", "z", "intensity")], F.max(time).alias(time)
     )
 
 
-def cap_voxel_map(voxels: DataFrame, cap_per_tile: int, tile_m: float, ttl_ns: int | None = None,
-                  now_ns: int | None = None, time: str = "t_ns") -> DataFrame:
-    """Keep the most recently updated voxels of each tile, optionally only fresh ones.
+def decaying_voxel_map(points: DataFrame, size: float, ttl_ns: int, time: str = "t_ns") -> DataFrame:
+    """Latest point per voxel of a stream with a watermark, voxels dropped ``ttl_ns`` after it; ``update`` mode.
 
-    The reference caps the whole map; a cap per tile is the distributed form. The cap is the
-    feature, not a guard against skew.
+    One state per voxel with one timer at its end of life, so the state is as large as the
+    voxels alive. A row with ``gone`` set tells that its voxel has been dropped.
+    """
+    kept = [*VOXEL, "x", "y", "z", "intensity", time]
+    rows = with_voxel(points, size).select(*kept, "event_time")
+    fields = T.StructType([rows.schema[c] for c in kept] + [T.StructField("gone", T.BooleanType())])
+    return rows.groupBy(*VOXEL).transformWithStateInPandas(
+        VoxelLife(list(VOXEL), kept[len(VOXEL):], ttl_ns, time), outputStructType=fields, outputMode="Update", timeMode="EventTime")
+
+
+def latest_voxels(updates: DataFrame, epoch: str = "epoch") -> DataFrame:
+    """The map after all updates: each voxel as its last update left it, without those that are gone."""
+    last = Window.partitionBy(*VOXEL).orderBy(F.desc(epoch), F.col("gone"))
+    return updates.withColumn("__rn", F.row_number().over(last)).where("__rn = 1 AND NOT gone").drop("__rn", epoch, "gone")
+
+
+def cap_voxel_map(voxels: DataFrame, cap: int, ttl_ns: int | None = None, now_ns: int | None = None,
+                  time: str = "t_ns") -> DataFrame:
+    """The ``cap`` most recently updated voxels of the whole map, optionally only fresh ones.
+
+    The time of the last one that stays is found by counting, so nothing is sorted as a whole;
+    equal times go by voxel. The cap is the feature.
     """
     rows = voxels
     if ttl_ns is not None and now_ns is not None:
         rows = rows.filter(F.col(time) >= now_ns - ttl_ns)
-    tiled = with_tile(rows, tile_m)
-    return top_k(tiled, ["tx", "ty"], [F.desc(time), *[F.asc(c) for c in VOXEL]], cap_per_tile).drop("rank")
+    return first_rows(rows, cap, [(time, True), *[(c, False) for c in VOXEL]])
 
 
 def periodic(stream: DataFrame, every: str, write: Callable[[DataFrame, int], None], checkpoint: str,
@@ -111,32 +131,37 @@ def split_late(batch: DataFrame, watermark_ns: int, time: str = "t_ns") -> tuple
     return batch.filter(~late), batch.filter(late)
 
 
-def with_late_counter(stream: DataFrame, delay: str, sink: Callable[[DataFrame, DataFrame, int], None],
-                      delay_ns: int, checkpoint: str, time: str = "t_ns"):
+def with_late_counter(stream: DataFrame, sink: Callable[[DataFrame, DataFrame, int], None], delay_ns: int,
+                      checkpoint: str, time: str = "t_ns", trigger: dict | None = None):
     """Start a query that hands ``sink`` the timely and the late rows of each micro-batch.
 
     Late means more than ``delay_ns`` behind the greatest time of all earlier batches, which
-    is Spark's own watermark rule. The greatest time is kept in a small Parquet table beside
-    the checkpoint, so a restart continues with it.
+    is Spark's own watermark rule. The greatest time so far is kept in two one-row tables
+    beside the checkpoint that batches write by turns: a restart, or a batch that is run
+    again, finds the value before it, and a write that is cut off leaves the other. Works with
+    any ``trigger``, by default all that is there now.
     """
-    seen_path = checkpoint.rstrip("/") + "-max-time"
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
+    def slot(epoch: int) -> str:
+        return f"{checkpoint.rstrip('/')}-time-{epoch % 2}"
+
+    def known(spark: SparkSession, epoch: int) -> int | None:
         try:
-            known = spark.read.parquet(seen_path).filter(F.col("epoch") < epoch)
-            top = known.agg(F.max("t")).first()[0]
-        except Exception as error:  # the table appears with the first batch
+            row = spark.read.schema("epoch long, top long").parquet(slot(epoch)).first()
+        except Exception as error:  # the table appears with its first batch
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            top = None
-        cut = -(2**63) if top is None else top - delay_ns
-        timely, late = split_late(batch, cut, time)
+            return None
+        return row["top"] if row is not None and row["epoch"] == epoch else None
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        before = known(spark, epoch - 1)
+        timely, late = split_late(batch, -(2**63) if before is None else before - delay_ns, time)
         sink(timely, late, epoch)
-        batch.agg(F.max(time).alias("t")).filter("t IS NOT NULL").withColumn(
-            "epoch", F.lit(epoch).cast("long")
-        ).write.mode("append").parquet(seen_path)
+        here = batch.agg(F.max(time)).first()[0]
+        top = max((v for v in (before, here) if v is not None), default=None)
+        spark.createDataFrame([(epoch, top)], "epoch long, top long").coalesce(1).write.mode("overwrite").parquet(slot(epoch))
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(
-        availableNow=True
-    ).start()
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

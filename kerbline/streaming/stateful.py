@@ -77,6 +77,52 @@ class OrderedStep(StatefulProcessor):
         pass
 
 
+class VoxelLife(StatefulProcessor):
+    """The latest point of a voxel, and a timer at the end of its life."""
+
+    def __init__(self, keys: list[str], values: list[str], ttl_ns: int, time: str):
+        self.keys, self.values, self.ttl_ns, self.time = keys, values, ttl_ns, time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", "t long, row string")
+
+    def _due(self, t: int) -> int:
+        return -(-(t + self.ttl_ns) // NS_PER_MS)
+
+    def _row(self, key, values: list, gone: bool) -> pd.DataFrame:
+        return pd.DataFrame([[*key, *values, gone]], columns=[*self.keys, *self.values, "gone"])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.latest.get() if self.latest.exists() else None
+        newest = None
+        for pdf in rows:
+            best = pdf.loc[pdf[self.time].idxmax()]
+            if newest is None or best[self.time] > newest[self.time]:
+                newest = best
+        if newest is None or (held is not None and newest[self.time] < held[0]):
+            yield pd.DataFrame()
+            return
+        values = [_plain(newest[c]) for c in self.values]
+        t = int(newest[self.time])
+        if held is not None and self._due(held[0]) != self._due(t):
+            self.handle.deleteTimer(self._due(held[0]))
+        self.latest.update((t, json.dumps(values)))
+        self.handle.registerTimer(self._due(t))
+        yield self._row(key, values, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self.latest.get() if self.latest.exists() else None
+        if held is None or self._due(held[0]) > expiredTimerInfo.getExpiryTimeInMs():
+            yield pd.DataFrame()
+            return
+        self.latest.clear()
+        yield self._row(key, json.loads(held[1]), True)
+
+    def close(self) -> None:
+        pass
+
+
 def stream_sequential(stream: DataFrame, by: list[str], order: list[str], step: Step, event_time: str,
                       delay: str | None = None) -> DataFrame:
     """Apply ``step`` to a stream; needs the RocksDB state store provider.

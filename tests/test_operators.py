@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kerbline.operators import chains, fleet, ground, imaging, ordered, place, points, quality, sequential, steps, timejoin, windows
 from kerbline.operators import spatial, visibility
 from kerbline.operators.fixes import is_rtk, valid_fix, valid_pose
-from kerbline.operators.quantiles import exact_quantiles
+from kerbline.operators.quantiles import exact_quantiles, first_rows
 from kerbline.plans.bindings import Tables
 
 NS = 1_000_000_000
@@ -188,18 +188,28 @@ def test_interpolation_gap_modes(spark):
     assert run(on_gap="drop", max_gap_ns=5 * NS, outside="drop") == {}
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_exact_quantiles(spark, small):
+def test_exact_quantiles(spark):
     rnd = random.Random(5)
     rows = [(g, rnd.choice([1.0, 1.0, rnd.uniform(-1e6, 1e6), rnd.gauss(0, 1)])) for g in range(3) for _ in range(200)]
     rows += [(0, float("nan")), (1, float("inf")), (2, None), (3, 4.0)]
     df = spark.createDataFrame(rows, "g int, v double")
-    out = exact_quantiles(df, ["g"], F.col("v"), {"p5": 0.05, "p50": 0.5, "p99": 0.99}, small_group=small).collect()
+    out = exact_quantiles(df, ["g"], F.col("v"), {"p5": 0.05, "p50": 0.5, "p99": 0.99}).collect()
     for r in out:
         vals = [v for g, v in rows if g == r.g and v is not None and math.isfinite(v)]
         want = np.percentile(vals, [5, 50, 99])
         assert np.allclose([r.p5, r.p50, r.p99], want, rtol=0, atol=1e-9)
-    assert exact_quantiles(df, [], F.col("v"), {"m": 0.5}, small_group=small).count() == 1
+    assert exact_quantiles(df, [], F.col("v"), {"m": 0.5}).count() == 1
+
+
+def test_first_rows_by_counting(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([5, 5, 10**15, rnd.randint(-10**6, 10**12)]), rnd.randint(-3, 3), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "t long, x long, id long")
+    for n in (1, 77, 150, 299, 300, 1000):
+        got = first_rows(df, n, [("t", True), ("x", False), ("id", False)])
+        want = sorted(rows, key=lambda r: (-r[0], r[1], r[2]))[:n]
+        assert ids(got) == sorted(r[2] for r in want)
+    assert first_rows(df.where("false"), 5, [("t", True)]).count() == 0
 
 
 # --- order-dependent operators ----------------------------------------------------------------

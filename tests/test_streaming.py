@@ -102,8 +102,34 @@ def test_live_rates_and_voxels(spark, tmp_path):
         cell = (int(x // 5), int(y // 5))
         want[cell] = max(want.get(cell, 0), t_ns)
     assert got == want
-    capped = live.cap_voxel_map(spark.table("vox"), 2, 10.0)
-    assert capped.groupBy("tx", "ty").count().agg(F.max("count")).first()[0] <= 2
+    capped = live.cap_voxel_map(spark.table("vox"), 5)
+    best = sorted(want.items(), key=lambda v: (-v[1], v[0]))[:5]
+    assert {((r.ix, r.iy), r.t_ns) for r in capped.collect()} == set(best)
+
+
+def test_voxels_leave_the_state_after_their_time(spark, tmp_path):
+    """Every batch brings twenty new voxels; only those of the last 30 seconds stay in the state."""
+    base = 1_700_000_000 * NS
+    batches = [[(0, base + (b * 20 + i) * NS, float(b * 20 + i) * 3, 0.0, i) for i in range(20)] for b in range(6)]
+    batches[3].append((0, base + 61 * NS, 1.0, 0.0, 99))  # the first voxel is seen again
+    for part in batches:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = live.read_stream(spark, str(tmp_path / "in"), SCHEMA, max_files=1, delay="1 second")
+    points = stream.withColumn("z", F.lit(0.0)).withColumn("intensity", F.col("id").cast("double"))
+    out = str(tmp_path / "out")
+    q = live.periodic(live.decaying_voxel_map(points, 3.0, 30 * NS), "", lambda b, e: b.withColumn("epoch", F.lit(e)).write.mode("append").parquet(out),
+                      str(tmp_path / "cp"), available_now=True)
+    q.awaitTermination(240)
+    assert q.exception() is None
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    alive = {r.ix: r.t_ns for r in live.latest_voxels(spark.read.parquet(out)).collect()}
+    want = {}
+    for part in batches:
+        for _, t, x, *_ in part:
+            want[int(x // 3)] = max(want.get(int(x // 3), 0), t)
+    now = max(want.values()) - NS
+    assert alive == {k: t for k, t in want.items() if t + 30 * NS > now}
+    assert max(sizes[-2:]) <= max(sizes[:4]) and sizes[-1] <= 40 * 2  # values and timers
 
 
 def test_late_rows_are_counted(spark, tmp_path):
@@ -113,7 +139,7 @@ def test_late_rows_are_counted(spark, tmp_path):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     counts = []
-    q = live.with_late_counter(stream, "4 seconds", lambda ok, late, e: counts.append((ok.count(), late.count())),
+    q = live.with_late_counter(stream, lambda ok, late, e: counts.append((ok.count(), late.count())),
                                4 * NS, str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert q.exception() is None
