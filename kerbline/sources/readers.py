@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbline.functions.pose import rot_to_quat
+from kerbline.sources.sidecars import SidecarSource
 
 MESSAGES = "topic STRING, log_time_ns LONG, publish_time_ns LONG, seq LONG, payload BINARY"
 TRAJECTORY = "t DOUBLE, x DOUBLE, y DOUBLE, z DOUBLE, qx DOUBLE, qy DOUBLE, qz DOUBLE, qw DOUBLE"
-SIDECAR = (
-    "timestamp_ns LONG, gps STRUCT<lat: DOUBLE, lon: DOUBLE>, bng STRUCT<x: DOUBLE, y: DOUBLE>, "
-    "heading_deg DOUBLE, heading_source STRING, camera STRING, rig_id STRING, gnss_fix_status INT, "
-    "min_temp_c DOUBLE, max_temp_c DOUBLE, mean_temp_c DOUBLE, radiometric STRING"
-)
 ENGINES = ("fastlio", "dlio", "glim")
 SPEED_CAN_ID, STEERING_CAN_ID = 0x118, 0x129
 NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
@@ -32,16 +28,15 @@ def read_messages(spark: SparkSession, path: str, topics: list[str], t0: int | N
     return df
 
 
-def read_frames(spark: SparkSession, glob: str) -> DataFrame:
-    """Camera sidecars; camera and frame name come from the path."""
-    raw = spark.read.schema(SIDECAR).option("multiLine", "true").json(glob).withColumn("path", F.input_file_name())
-    return raw.select(
-        F.regexp_extract("path", r"([^/]+)\.meta\.json$", 1).alias("frame_id"),
-        F.coalesce("camera", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).alias("camera"),
-        F.col("timestamp_ns").alias("t_ns"), F.col("gps.lat").alias("lat"), F.col("gps.lon").alias("lon"),
-        F.col("bng.x").alias("x"), F.col("bng.y").alias("y"), "heading_deg", "heading_source",
-        "gnss_fix_status", "rig_id", "min_temp_c", "max_temp_c", "mean_temp_c", "radiometric",
-    )
+def read_frames(spark: SparkSession, path: str, files_per_task: int = 5000) -> DataFrame:
+    """Camera sidecars below a folder, or of a pattern, as ``session/camera/frame.meta.json``.
+
+    Session and frame come from the path, the camera from the sidecar or else the path.
+    Filters on session, camera and time reach the reader.
+    """
+    spark.dataSource.register(SidecarSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("sidecars").option("filesPerTask", files_per_task).load(path)
 
 
 def read_properties(spark: SparkSession, path: str, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:

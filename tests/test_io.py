@@ -1,6 +1,7 @@
 """Readers and writers round trip."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,33 @@ def test_frames_and_properties(spark, tmp_path):
     assert [r.uprn for r in readers.read_properties(spark, str(tmp_path / "p"), (0, 0, 50, 50)).collect()] == ["u1"]
 
 
+def test_sidecars_are_packed_and_filtered_at_the_source(spark, tmp_path):
+    rows = []
+    for i in range(600):
+        session, camera = f"s{i % 3}", "left" if i % 2 else "right"
+        folder = tmp_path / session / camera
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{i:04d}.meta.json").write_text(json.dumps({"timestamp_ns": i, "bng": {"x": i / 2, "y": None}, "radiometric": True}))
+        rows.append((session, camera, f"f{i:04d}", i))
+    odd = tmp_path / "s9" / "rear"
+    odd.mkdir(parents=True)
+    (odd / "cut.meta.json").write_text('{"timestamp_ns": ')
+    (odd / "empty.meta.json").write_text("")
+    (odd / "list.meta.json").write_text("[1]")
+    (odd / "named.meta.json").write_text('{"camera": "front", "timestamp_ns": "7", "gps": 3}')
+    (odd / "other.txt").write_text("x")
+    frames = readers.read_frames(spark, str(tmp_path), files_per_task=400)
+    assert frames.rdd.getNumPartitions() == 2
+    assert {(r.session_id, r.camera, r.frame_id, r.t_ns) for r in frames.where("session_id <> 's9'").collect()} == set(rows)
+    assert {(r.frame_id, r.camera, r.t_ns, r.lat) for r in frames.where("session_id = 's9'").collect()} == {
+        ("cut", "rear", None, None), ("empty", "rear", None, None), ("list", "rear", None, None), ("named", "front", 7, None)}
+    some = frames.where("session_id in ('s1', 's9') and t_ns >= 100 and t_ns < 200 and camera = 'left'")
+    assert {r.frame_id for r in some.collect()} == {f for s, c, f, t in rows if s == "s1" and c == "left" and 100 <= t < 200}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan and not re.search(r"\bFilter\b", plan)  # all of it is done by the source
+    assert some.rdd.getNumPartitions() == 1  # 204 files of two sessions are opened, not 604
+
+
 def test_trajectory_text_keeps_nanoseconds(spark, tmp_path):
     (tmp_path / "t.txt").write_text("# time\n1700000000.123456789 1 2 3 0 0 0 1\n1700000001.5 4 5 6 0 0 0 1\n")
     got = readers.read_tum(spark, str(tmp_path / "t.txt")).orderBy("t_ns").collect()
