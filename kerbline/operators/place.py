@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -46,21 +46,33 @@ def ring_key(descriptor: str | Column) -> Column:
     return F.transform(descriptor, _mean)
 
 
-@F.pandas_udf(DoubleType())
-def descriptor_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+def _cells(column: pa.Array) -> np.ndarray:
+    """The descriptors of a batch as one array (rows, rings, sectors)."""
+    rings = len(column[0]) if len(column) else 0
+    flat = column.flatten().flatten().to_numpy(zero_copy_only=False).astype(float)
+    return flat.reshape(len(column), rings, -1) if rings else np.zeros((len(column), 0, 0))
+
+
+@F.arrow_udf(DoubleType())
+def descriptor_distance(a: pa.Array, b: pa.Array) -> pa.Array:
     """Least distance over all sector shifts, divided by the number of cells.
 
-    ``|a - shift(b)|^2 = |a|^2 + |b|^2 - 2 a.shift(b)``, so all shifts of one pair are one
-    small matrix product.
+    ``|a - shift(b)|^2 = |a|^2 + |b|^2 - 2 a.shift(b)``. The products with all shifts are a
+    circular correlation along the sectors, summed over the rings, so a whole batch takes a few
+    Fourier transforms. All descriptors of a batch have one shape; a null one gives null.
     """
-    out = []
-    for left, right in zip(a, b):
-        x, y = np.stack([np.asarray(r, float) for r in left]), np.stack([np.asarray(r, float) for r in right])
-        sectors = x.shape[1]
-        spin = (np.arange(sectors)[None, :] - np.arange(sectors)[:, None]) % sectors
-        gaps = ((x[None, :, :] - y[:, spin].transpose(1, 0, 2)) ** 2).sum(axis=(1, 2))
-        out.append(float(np.sqrt(gaps.min())) / x.size)
-    return pd.Series(out)
+    both = np.asarray(a.is_valid()) & np.asarray(b.is_valid())
+    keep = pa.array(both)
+    x, y = _cells(a.filter(keep)), _cells(b.filter(keep))
+    out = np.full(len(both), np.nan)
+    if x.size:
+        spectrum = (np.fft.rfft(x, axis=2) * np.conj(np.fft.rfft(y, axis=2))).sum(axis=1)
+        best = np.fft.irfft(spectrum, n=x.shape[2], axis=1).max(axis=1)
+        gap = (x * x).sum(axis=(1, 2)) + (y * y).sum(axis=(1, 2)) - 2 * best
+        # what is left of equal descriptors is rounding
+        gap[gap < 1e-12 * ((x * x).sum(axis=(1, 2)) + (y * y).sum(axis=(1, 2)))] = 0.0
+        out[both] = np.sqrt(np.maximum(gap, 0.0)) / (x.shape[1] * x.shape[2])
+    return pa.array(out, pa.float64(), mask=~both)
 
 
 def _projections(key: str, size: int) -> list[Column]:
@@ -121,7 +133,5 @@ def detect_loops(keyframes: DataFrame, candidates: DataFrame, max_distance: floa
         "distance", descriptor_distance("__a", "__b")
     )
     near = scored.filter(F.col("distance") < max_distance)
-    return near.groupBy(*by, "idx").agg(
-        F.min_by("cand_idx", F.struct("distance", "cand_idx")).alias("match_idx"),
-        F.min("distance").alias("distance"),
-    )
+    best = top_k(near, [*by, "idx"], [F.asc("distance"), F.asc("cand_idx")], 1)
+    return best.select(*by, "idx", F.col("cand_idx").alias("match_idx"), "distance")

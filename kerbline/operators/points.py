@@ -187,9 +187,13 @@ def union_dedup(parts: list[DataFrame], size: float, order: str) -> DataFrame:
     return voxel_first(out, size, order)
 
 
-def raster_topdown(points: DataFrame, res: float = 0.2, max_px: int = 4096,
+def raster_topdown(points: DataFrame, res: float = 0.2, max_px: int | None = None,
                    by: list[str] | None = None) -> DataFrame:
-    """Occupied pixels with mean height, count, density share and colour."""
+    """Occupied pixels with mean height, count, density share and colour.
+
+    The picture spans the points of its group. With ``max_px`` it is made coarser where a side
+    would have more pixels; :func:`raster_pyramid` gives coarser pictures beside the fine one.
+    """
     by = by or []
     limits = points.groupBy(*by).agg(
         *[f(a).alias(f"__{n}{a}") for a in "xyz" for n, f in (("lo", F.min), ("hi", F.max))]
@@ -198,7 +202,8 @@ def raster_topdown(points: DataFrame, res: float = 0.2, max_px: int = 4096,
 
     def pixel(axis: str) -> tuple[Column, Column]:
         span = F.greatest(F.col(f"__hi{axis}") - F.col(f"__lo{axis}"), F.lit(1.0))
-        size = F.least(F.floor(span / res) + 1, F.lit(max_px))
+        size = F.floor(span / res) + 1
+        size = size if max_px is None else F.least(size, F.lit(max_px))
         return (F.col(axis) - F.col(f"__lo{axis}")) / span * (size - 1), size
 
     (across, _), (up, height) = pixel("x"), pixel("y")
@@ -219,6 +224,28 @@ def raster_topdown(points: DataFrame, res: float = 0.2, max_px: int = 4096,
                         red.alias("red"), green.alias("green"), blue.alias("blue"))
 
 
+def raster_pyramid(points: DataFrame, res: float = 0.2, levels: int = 6, by: list[str] | None = None) -> DataFrame:
+    """A24 at any extent: ``by, level, px, py, mean_z, n_points, min_z, max_z`` of occupied pixels.
+
+    Pixels of level 0 are ``res`` wide and counted from the origin; a pixel of each level above
+    sums the four below it, so level k is what points rastered at ``2 ** k * res`` would give.
+    The points are read once, and each level is made from the cells of the last, at most a
+    quarter more rows in all than level 0 has.
+    """
+    keys = [*(by or []), "px", "py"]
+    pixel = [F.floor(F.col(axis) / res).cast("long").alias(name) for axis, name in (("x", "px"), ("y", "py"))]
+    cells = points.select(*(by or []), *pixel, "z").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_points"), F.sum("z").alias("__sum"), F.min("z").alias("min_z"), F.max("z").alias("max_z"))
+    out = None
+    for level in range(levels):
+        cells = settle(cells)
+        rows = cells.select(*(by or []), F.lit(level).alias("level"), "px", "py", (F.col("__sum") / F.col("n_points")).alias("mean_z"), "n_points", "min_z", "max_z")
+        out = rows if out is None else out.unionByName(rows)
+        above = cells.withColumns({c: F.shiftright(c, 1) for c in ("px", "py")})
+        cells = above.groupBy(*keys).agg(F.sum("n_points").alias("n_points"), F.sum("__sum").alias("__sum"), F.min("min_z").alias("min_z"), F.max("max_z").alias("max_z"))
+    return out
+
+
 def quantize_points(points: DataFrame, scale: float = 0.01, by: list[str] | None = None) -> DataFrame:
     """K8: scaled-integer coordinates with offset = minimum, and intensity as 0-65535.
 

@@ -97,7 +97,7 @@ def union_dedup(t: Tables):
 
 
 @query(with_tables("points") + """, l AS (SELECT session_id, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy, min(z) AS lz, max(z) AS hz FROM points GROUP BY session_id),
-s AS (SELECT p.*, l.*, greatest(hx - lx, 1) AS sx, greatest(hy - ly, 1) AS sy, least(floor(greatest(hx - lx, 1) / 2) + 1, 4096) AS w, least(floor(greatest(hy - ly, 1) / 2) + 1, 4096) AS h FROM points p JOIN l USING (session_id)),
+s AS (SELECT p.*, l.*, greatest(hx - lx, 1) AS sx, greatest(hy - ly, 1) AS sy, floor(greatest(hx - lx, 1) / 2) + 1 AS w, floor(greatest(hy - ly, 1) / 2) + 1 AS h FROM points p JOIN l USING (session_id)),
 q AS (SELECT *, CAST(floor((x - lx) / sx * (w - 1)) AS INTEGER) AS px, CAST(floor(h - 1 - (y - ly) / sy * (h - 1)) AS INTEGER) AS py FROM s),
 c AS (SELECT session_id, px, py, avg(z) AS mean_z, count(*) AS n_points, min(lz) AS lz, max(hz) AS hz FROM q GROUP BY session_id, px, py),
 d AS (SELECT *, ln(1 + n_points) / greatest(ln(1 + max(n_points) OVER (PARTITION BY session_id)), 1) AS density FROM c)
@@ -107,6 +107,14 @@ def raster_topdown(t: Tables):
     return out.select("session_id", "px", "py", r("mean_z", 5), "n_points", r("density", 5))
 
 
+@query(with_tables("points") + """SELECT session_id, level, CAST(floor(x / (0.5 * 2 ** level)) AS BIGINT) AS px, CAST(floor(y / (0.5 * 2 ** level)) AS BIGINT) AS py,
+  round(avg(z), 5) AS mean_z, count(*) AS n_points, min(z) AS min_z, max(z) AS max_z FROM points, (SELECT unnest([0, 1, 2, 3, 4]) AS level) GROUP BY 1, 2, 3, 4""")
+def raster_pyramid(t: Tables):
+    """A24 in five levels, each compared with a direct raster."""
+    out = P.raster_pyramid(t.points(), 0.5, 5, S)
+    return out.select("session_id", "level", "px", "py", r("mean_z", 5), "n_points", "min_z", "max_z")
+
+
 @query(with_tables("points") + """, l AS (SELECT session_id, min(x) AS ox, min(y) AS oy, min(z) AS oz, min(intensity) AS lo, max(intensity) AS hi FROM points GROUP BY session_id)
 SELECT point_id, CAST(round((x - ox) / 0.01::DOUBLE) AS BIGINT) AS x_int, CAST(round((z - oz) / 0.01::DOUBLE) AS BIGINT) AS z_int,
   CAST(floor((intensity - lo) / (hi - lo) * 65535) AS INTEGER) AS intensity_u16, (y - oy) / 0.01 > 2147483647 AS overflow FROM points JOIN l USING (session_id)""")

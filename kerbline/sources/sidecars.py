@@ -15,7 +15,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
+    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition,
+    IsNotNull, LessThan, LessThanOrEqual,
 )
 
 SUFFIX = ".meta.json"
@@ -63,6 +64,7 @@ class SidecarReader(DataSourceReader):
         self.files_per_task = int(options.get("filesPerTask", 5000))
         self.wanted: dict[str, set[str]] = {}
         self.since, self.until = -(2**63), 2**63 - 1
+        self.present: set[str] = set()
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
@@ -70,6 +72,8 @@ class SidecarReader(DataSourceReader):
             if name in ("session_id", "camera") and isinstance(f, (EqualTo, In)):
                 values = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 self.wanted[name] = self.wanted.get(name, values) & values
+            elif name in ("session_id", "camera", "t_ns") and isinstance(f, IsNotNull):
+                self.present.add(name)
             elif name == "t_ns" and isinstance(f, (GreaterThan, GreaterThanOrEqual)):
                 self.since = max(self.since, f.value + isinstance(f, GreaterThan))
             elif name == "t_ns" and isinstance(f, (LessThan, LessThanOrEqual)):
@@ -118,6 +122,8 @@ class SidecarReader(DataSourceReader):
                 continue
             if self.timed and (values[0] is None or not self.since <= values[0] <= self.until):
                 continue
+            if any({"session_id": session, "camera": camera, "t_ns": values[0]}[c] is None for c in self.present):
+                continue
             rows.append((session, camera, frame, *values, path))
             if len(rows) == ROWS:
                 yield _batch(rows)

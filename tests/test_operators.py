@@ -357,6 +357,17 @@ def test_descriptor_distance_ignores_rotation(spark):
     assert abs(r.x) < 1e-12 and abs(r.y - np.linalg.norm(a) / 24) < 1e-12
 
 
+def test_descriptor_distance_equals_all_shifts(spark):
+    rnd = np.random.default_rng(3)
+    pairs = [(rnd.normal(size=(20, 60)), rnd.normal(size=(20, 60)) * (i % 3)) for i in range(40)]
+    rows = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(pairs)] + [(40, None, pairs[0][1].tolist()), (41, None, None)]
+    df = spark.createDataFrame(rows, "id int, a array<array<double>>, b array<array<double>>").repartition(3)
+    got = {r.id: r.d for r in df.select("id", place.descriptor_distance("a", "b").alias("d")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert abs(got[i] - min(np.linalg.norm(a - np.roll(b, s, axis=1)) for s in range(60)) / 1200) < 1e-12
+    assert got[40] is None and got[41] is None
+
+
 def test_empty_scan_gets_zero_descriptor(spark):
     df = spark.createDataFrame([(1, 500.0, 0.0, 3.0)], "scan int, x double, y double, z double")
     d = place.scan_descriptor(df, ["scan"], 4, 6, 80.0).first().descriptor
