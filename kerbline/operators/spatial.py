@@ -53,14 +53,6 @@ def grid_radius_join(frames: DataFrame, props: DataFrame, radius: float, cell: f
     )
 
 
-def radius_join_small(frames: DataFrame, props: DataFrame, radius: float,
-                      max_props: int = 1000) -> DataFrame:
-    """The same pairs for a handful of properties, by a broadcast nested loop.
-
-    The size is checked first; a larger table goes through :func:`grid_radius_join`.
-    """
-    if props.limit(max_props + 1).count() > max_props:
-        return grid_radius_join(frames, props, radius, cell=max(radius, 1.0))
-    few = F.broadcast(props.select(*[F.col(c).alias(f"p_{c}") for c in props.columns]))
-    gap = distance(as_col("x"), as_col("y"), as_col("p_x"), as_col("p_y"))
-    return frames.join(few, gap <= radius).withColumn("distance_m", gap)
+def radius_join_small(frames: DataFrame, props: DataFrame, radius: float) -> DataFrame:
+    """All pairs within a radius, at any number of properties: the grid join with cells of that size."""
+    return grid_radius_join(frames, props, radius, cell=max(radius, 1.0))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.functions.geo import (
     PERPENDICULAR_LIMIT_DEG, bearing, hero_score, in_fov, perp_angle, relative_angle,
 )
 from kerbline.functions.labels import uuid5
-from kerbline.operators.ordered import PART_ROWS, row_index, scan
+from kerbline.operators.ordered import PART_ROWS, match, row_index, scan
 from kerbline.operators.spatial import grid_radius_join
 from kerbline.operators.timejoin import nearest_asof
 from kerbline.operators.windows import dedup_by_time, top_k
@@ -33,15 +33,20 @@ def visibility_pairs(frames: DataFrame, props: DataFrame, radius: float = 75.0,
     )
 
 
+#: What a hero keeps of its property, where the property table has it.
+HERO_PROPERTY = ("address", "building_height_m", "building_use")
+
+
 def heroes(pairs: DataFrame, by: list[str] | None = None, tie: tuple[str, ...] = ("t_ns", "frame_id")) -> DataFrame:
-    """A1: best frame per property, first in time on a tie, with the counts.
+    """A1: best frame per property, first in time on a tie, with the counts and the property's columns.
 
     The partial aggregate runs before the shuffle, so a property seen by a third of all
     frames still sends one row per task.
     """
     keys = [*(by or []), "p_uprn"]
     best = F.struct("score", *tie)
-    detail = F.struct("frame_id", "t_ns", "camera_side", "distance_m", "perp_deg", "score")
+    own = [c for c in HERO_PROPERTY if f"p_{c}" in pairs.columns]
+    detail = F.struct("frame_id", "t_ns", "camera_side", "distance_m", "perp_deg", "score", *[F.col(f"p_{c}").alias(c) for c in own])
     return (
         pairs.groupBy(*keys)
         .agg(
@@ -59,6 +64,7 @@ def heroes(pairs: DataFrame, by: list[str] | None = None, tie: tuple[str, ...] =
             F.col("__b.perp_deg").alias("perp_deg"),
             "visible_count",
             "perpendicular_count",
+            *[F.col(f"__b.{c}").alias(c) for c in own],
         )
     )
 
@@ -147,11 +153,14 @@ def session_counts(frames: DataFrame, pairs: DataFrame, by: list[str]) -> DataFr
     )
 
 
-def visibility_document(frames: DataFrame, pairs: DataFrame, hero_rows: DataFrame,
-                        by: list[str]) -> DataFrame:
+def visibility_document(frames: DataFrame, pairs: DataFrame, hero_rows: DataFrame, by: list[str],
+                        sessions: DataFrame | None = None, assets: DataFrame | None = None, kinds: tuple[str, ...] = ()) -> DataFrame:
     """K2: the visibility document as JSON records (keys, section, sort_key, json).
 
-    Sections: ``statistics``, ``trajectory_bbox``, ``frames``, ``heroes``, ``visibility``.
+    Sections: ``metadata`` (columns of ``sessions``, such as ``rig_id, generated_at,
+    generator``), ``statistics`` with the number of assets per kind, ``trajectory_bbox``,
+    ``frames``, ``heroes`` and ``visibility``. ``assets`` has ``(keys, kind)``; heroes with an
+    ``assets`` map get ``hero_<kind>`` for each of ``kinds``; absent values are left out.
     One record per entry keeps a long session from being collected into a single value;
     written partitioned by the keys and section it is the same document line by line.
     """
@@ -160,38 +169,72 @@ def visibility_document(frames: DataFrame, pairs: DataFrame, hero_rows: DataFram
                          sort_key.cast("string").alias("sort_key"), F.to_json(body).alias("json"))
 
     two = lambda c: F.round(F.col(c), 2)
+    pairs = settle(pairs.select(*by, "p_uprn", "t_ns", "camera_side", "distance_m", "bearing_deg", "perp_deg", "is_perpendicular"))
     unique = dedup_by_time(frames, by, "t_ns", "frame_id")
+    counts = session_counts(frames, pairs, by)
+    if assets is not None:
+        per_kind = assets.groupBy(*by, "kind").agg(F.count(F.lit(1)).alias("__n"))  # a short list of kinds
+        counts = match(counts, per_kind.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "__n")))).alias("assets")), by, "left")
+    known = [F.col(c) for c in HERO_PROPERTY if c in hero_rows.columns]
+    files = [F.col("assets")[k].alias(f"hero_{k}") for k in kinds]
     parts = [
-        record(session_counts(frames, pairs, by), "statistics", F.lit(""),
-               F.struct("total_frames", "total_properties", "total_visibility", "heroes")),
+        record(counts, "statistics", F.lit(""),
+               F.struct("total_frames", F.col("total_properties").alias("total_uprns"), F.col("total_visibility").alias("total_visibility_records"),
+                        F.col("heroes").alias("uprns_with_hero_shots"), *(["assets"] if assets is not None else []))),
         record(bbox(frames, by), "trajectory_bbox", F.lit(""), F.struct("xmin", "ymin", "xmax", "ymax")),
         record(unique, "frames", F.col("t_ns"),
                F.struct(F.col("t_ns").alias("timestamp_ns"), two("x").alias("x"), two("y").alias("y"),
                         two("heading_deg").alias("heading_deg"))),
-        record(hero_rows, "heroes", F.col("p_uprn"),
+        record(hero_rows, "heroes", F.concat(F.lit("UPRN_"), F.col("p_uprn").cast("string")),
                F.struct(F.col("p_uprn").alias("uprn"), F.col("best_t_ns").alias("hero_rgb_timestamp_ns"),
                         "camera_side", two("distance_m").alias("distance_m"),
                         two("perp_deg").alias("angle_from_perpendicular_deg"),
                         F.col("visible_count").alias("visible_frame_count"),
-                        F.col("perpendicular_count").alias("perpendicular_frame_count"))),
+                        F.col("perpendicular_count").alias("perpendicular_frame_count"), *known, *files)),
         record(pairs, "visibility", F.concat_ws("/", "t_ns", "p_uprn"),
                F.struct(F.col("t_ns").alias("frame_timestamp_ns"), F.col("p_uprn").alias("uprn"),
                         "camera_side", two("distance_m").alias("distance_m"),
                         two("bearing_deg").alias("bearing_deg"),
                         two("perp_deg").alias("angle_from_perpendicular_deg"), "is_perpendicular")),
     ]
+    if sessions is not None:
+        about = [c for c in sessions.columns if c not in by]
+        name = F.concat_ws("_", *[F.col(c).cast("string") for c in by]).alias("session_name")
+        parts.insert(0, record(sessions, "metadata", F.lit(""), F.struct(name, *about)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+#: The last known state of a session that its summary tells, and how many digits of each.
+STATE = {"rig_id": None, "ambient_temp_c": None, "heading_source": None, "gnss_fix_status": None, "gnss_h_covariance_m2": 4,
+         "heading_offset_deg": 2, "heading_offset_std_deg": 2, "heading_converged": None, "heading_offset_rtk_samples": None}
+ORIGIN = {"easting": "origin_x", "northing": "origin_y", "altitude": "origin_z"}
+
+
+def session_state(rows: DataFrame, by: list[str], time: str = "t_ns", crs: str = "EPSG:27700", local: str = "SLAM_local") -> DataFrame:
+    """K3: the latest value of each column of ``STATE`` that ``rows`` have, and the origin of the local frame.
+
+    A session is ``georeferenced`` when it has an origin (``origin_x, origin_y, origin_z``).
+    Each column counts for itself: its latest row with a value.
+    """
+    there = [c for c in (*STATE, *ORIGIN.values()) if c in rows.columns]
+    last = rows.groupBy(*by).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in there])
+    out = [(F.col(c) if STATE[c] is None else F.round(c, STATE[c])).alias(c) for c in STATE if c in there]
+    if set(ORIGIN.values()) <= set(there):
+        placed = F.col("origin_x").isNotNull() & F.col("origin_y").isNotNull()
+        spot = F.struct(*[F.round(c, 3).alias(n) for n, c in ORIGIN.items()])
+        out += [placed.alias("georeferenced"), F.when(placed, crs).otherwise(local).alias("crs"), F.when(placed, spot).alias("slam_origin_bng")]
+    return last.select(*by, *out)
+
+
 def session_summary(frames: DataFrame, pairs: DataFrame, assets: DataFrame, clouds: DataFrame,
-                    by: list[str]) -> DataFrame:
-    """K3: one row per session: counts, bounding box, assets and cloud totals.
+                    by: list[str], state: DataFrame | None = None) -> DataFrame:
+    """K3: one row per session: counts, bounding box, assets, cloud totals and the last state.
 
     ``assets`` has ``(keys, kind)`` and ``clouds`` ``(keys, n_points)``. The asset map has
-    one entry per configured kind.
+    one entry per configured kind. ``state`` comes from :func:`session_state`.
     """
     per_kind = assets.groupBy(*by, "kind").agg(F.count(F.lit(1)).alias("n"))
     kinds = per_kind.groupBy(*by).agg(
@@ -201,10 +244,11 @@ def session_summary(frames: DataFrame, pairs: DataFrame, assets: DataFrame, clou
     points = clouds.groupBy(*by).agg(
         F.count(F.lit(1)).alias("cloud_count"), F.sum("n_points").alias("cloud_points")
     )
-    return (
+    whole = (
         session_counts(frames, pairs, by).join(bbox(frames, by), by, "left")
         .join(kinds, by, "left").join(points, by, "left")
     )
+    return whole if state is None else whole.join(state, by, "left")
 
 
 def property_manifests(pairs: DataFrame, recording: str, key_prefix: str = "bags") -> DataFrame:
@@ -230,6 +274,29 @@ def manifest_frames(pairs: DataFrame, recording: str) -> DataFrame:
                         F.round("distance_m", 1).alias("distance_m"))
 
 
+def manifest_lines(pairs: DataFrame, recording: str) -> DataFrame:
+    """K5: every manifest as the lines of one JSON text: ``osid, line_no, line``.
+
+    The first line opens the record, one line follows per visible frame, in time order, and the
+    last one closes it; joined in order they are the manifest. A property that a parked vehicle
+    sees in any number of frames is thus never one value.
+    """
+    name = F.concat_ws("_", F.col(recording).cast("string"), F.col("p_uprn").cast("string"))
+    rows = pairs.select(uuid5(name).alias("osid"), F.col(recording).cast("string").alias("__bag"), F.col("p_uprn").cast("string").alias("__uprn"),
+                        "t_ns", F.col("camera_side").alias("camera"), F.col("frame_id").cast("string").alias("frame"))
+    rows = settle(rows)
+    inside = Window.partitionBy("osid").orderBy("t_ns", "frame")
+    comma = F.when(F.lead("osid").over(inside).isNull(), "").otherwise(",")
+    shown = F.to_json(F.struct("camera", "frame"))
+    frames = rows.select("osid", F.row_number().over(inside).alias("line_no"), F.concat(shown, comma).alias("line"))
+    each = rows.groupBy("osid").agg(F.min("__bag").alias("bag_id"), F.min("__uprn").alias("uprn"), F.count(F.lit(1)).alias("__n"))
+    head = F.to_json(F.struct("osid", "uprn", "bag_id"))
+    begun = F.concat(F.expr("left(__head, length(__head) - 1)"), F.lit(',"visible_frames":['))
+    opened = each.withColumn("__head", head).select("osid", F.lit(0).alias("line_no"), begun.alias("line"))
+    closed = each.select("osid", (F.col("__n") + 1).cast("int").alias("line_no"), F.lit('],"hero_rgb":null}').alias("line"))
+    return opened.unionByName(frames).unionByName(closed)
+
+
 def hero_locations(hero_rows: DataFrame, track: DataFrame, props: DataFrame, by: list[str],
                    part_rows: int = PART_ROWS) -> DataFrame:
     """Hero -> nearest trajectory point -> property place."""
@@ -245,8 +312,9 @@ def overlay_features(track: DataFrame, hero_points: DataFrame, by: list[str],
     """K4: GeoJSON features (keys, kind, json): one line, heading arrows, property points.
 
     The line is thinned to fewer than ``2 * max_line`` points before it is gathered, so the
-    gathered array has a fixed bound. ``track`` has ``t_ns, lat, lon, heading_deg``;
-    ``hero_points`` has ``lat, lon, p_uprn`` and hero columns.
+    gathered array has a fixed bound. ``track`` has ``t_ns, lat, lon, heading_deg`` and
+    perhaps ``heading_source``; ``hero_points`` has ``lat, lon, p_uprn`` and hero columns. The
+    line tells its session and heading source, a property its address and use.
     """
     placed = row_index(track, by, ["t_ns"], "__i", part_rows, total="__n")
     ok = (F.abs("lat") > 0.1) & (F.abs("lon") > 0.0001)
@@ -265,11 +333,14 @@ def overlay_features(track: DataFrame, hero_points: DataFrame, by: list[str],
         ))
 
     ordered = F.array_sort(F.collect_list(F.struct("__i", point.alias("p"))))
+    told = {"heading_source": F.max_by("heading_source", "__i").alias("__src")} if "heading_source" in track.columns else {}
+    session = F.concat_ws("_", *[F.col(c).cast("string") for c in by])
     line = (
         placed.filter((F.col("__n") >= 2) & every(max_line) & ok)
-        .groupBy(*by).agg(F.transform(ordered, lambda s: s["p"]).alias("__c"), F.max("__n").alias("__n"))
+        .groupBy(*by).agg(F.transform(ordered, lambda s: s["p"]).alias("__c"), F.max("__n").alias("__n"), *told.values())
         .select(*by, F.lit("trajectory").alias("kind"),
-                feature("LineString", F.col("__c"), name=F.lit("trajectory"), points=F.col("__n")).alias("json"))
+                feature("LineString", F.col("__c"), name=F.lit("trajectory"), session=session, points=F.col("__n"),
+                        **({"heading_source": F.col("__src")} if told else {})).alias("json"))
     )
     h = F.radians("heading_deg")
     tip = F.array(seven(F.col("lon") + arrow_deg * F.sin(h)), seven(F.col("lat") + arrow_deg * F.cos(h)))
@@ -282,6 +353,7 @@ def overlay_features(track: DataFrame, hero_points: DataFrame, by: list[str],
         *by, F.lit("property").alias("kind"),
         feature("Point", point, name=F.concat(F.lit("UPRN_"), F.col("p_uprn").cast("string")),
                 distance_m=F.round("distance_m", 2), perp_angle=F.round("perp_deg", 2),
-                camera=F.col("camera_side"), visible_count=F.col("visible_count")).alias("json"),
+                camera=F.col("camera_side"), visible_count=F.col("visible_count"),
+                **{c: F.col(c) for c in ("address", "building_use") if c in hero_points.columns}).alias("json"),
     )
     return line.unionByName(arrows).unionByName(points)

@@ -119,14 +119,14 @@ def calibration_coverage(t: Tables):
     return out.select("label", "frames_detected", "dist_hit", "tilt_hit", "roll_hit", "grid_hit")
 
 
-@query(with_tables("pixels") + """, g AS (SELECT frame_id, count(*) AS n_points, max(col * 0.1::DOUBLE) - min(col * 0.1::DOUBLE) AS gx, max("row" * 0.1::DOUBLE) - min("row" * 0.1::DOUBLE) AS gy,
-  max(raw / 50.0) - min(raw / 50.0) AS us, max(raw / 40.0) - min(raw / 40.0) AS vs FROM pixels WHERE raw > 9000 AND (frame_id % 3 > 0 OR col < 3) GROUP BY frame_id)
-SELECT frame_id, n_points, CASE WHEN n_points < 12 THEN 'points' WHEN least(gx, gy) < 3.5 * 0.1 THEN 'grid' WHEN least(us, vs) < 80 THEN 'pixels' END AS dropped_for FROM g""")
+@query(with_tables("pixels") + """, g AS (SELECT frame_id, raw // 500 AS band, count(*) AS n_points, max(col * 0.1::DOUBLE) - min(col * 0.1::DOUBLE) AS gx, max("row" * 0.1::DOUBLE) - min("row" * 0.1::DOUBLE) AS gy,
+  max(raw / 50.0) - min(raw / 50.0) AS us, max(raw / 40.0) - min(raw / 40.0) AS vs FROM pixels GROUP BY frame_id, raw // 500)
+SELECT frame_id, CAST(band AS BIGINT) AS band, n_points, CASE WHEN n_points < 12 THEN 'points' WHEN least(gx, gy) < 3.5 * 0.1 THEN 'grid' WHEN least(us, vs) < 80 THEN 'pixels' END AS dropped_for FROM g""")
 def calib_frame_gate(t: Tables):
-    p = t.pixels().filter((F.col("raw") > 9000) & ((F.col("frame_id") % 3 > 0) | (F.col("col") < 3)))
-    p = p.select("frame_id", (F.col("col") * 0.1).alias("grid_x"), (F.col("row") * 0.1).alias("grid_y"),
+    """P18, each band of raw values of a frame taken as one picture of the board."""
+    p = t.pixels().select("frame_id", F.floor(F.col("raw") / 500).alias("band"), (F.col("col") * 0.1).alias("grid_x"), (F.col("row") * 0.1).alias("grid_y"),
                  (F.col("raw") / 50.0).alias("u"), (F.col("raw") / 40.0).alias("v"))
-    return I.calib_frame_gate(p, ["frame_id"], 0.1).select("frame_id", "n_points", "dropped_for")
+    return I.calib_frame_gate(p, ["frame_id", "band"], 0.1).select("frame_id", "band", "n_points", "dropped_for")
 
 
 BOXES = """WITH e AS (SELECT vec_id AS frame_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS v FROM embeddings),

@@ -241,11 +241,11 @@ def rate_compliance(t: Tables):
 
 
 @query(with_tables("frames") + """, m AS (SELECT session_id, source, avg(sin(radians(heading_deg))) AS s, avg(cos(radians(heading_deg))) AS c, count(*) AS n
-  FROM frames WHERE heading_deg < 300 GROUP BY session_id, source),
+  FROM frames GROUP BY session_id, source),
 d AS (SELECT *, degrees(atan2(s, c)) AS a, sqrt(s * s + c * c) AS l FROM m)
 SELECT session_id, source, n, round(a - 360 * floor(a / 360), 4) AS mean_deg, round(degrees(sqrt(-2 * ln(l))), 4) AS std_deg FROM d""")
 def circular_mean_std(t: Tables):
-    out = Q.circular_mean_std(t.frames().filter("heading_deg < 300"), ["session_id", "source"], "heading_deg")
+    out = Q.circular_mean_std(t.frames(), ["session_id", "source"], "heading_deg")
     return out.select("session_id", "source", "n", r("mean_deg", 4), r("std_deg", 4))
 
 
@@ -345,18 +345,18 @@ def missing_keys(t: Tables):
     return L.missing(t.raw("customer").select(F.col("c_custkey").alias("uprn")), seen, ["uprn"])
 
 
-@query(with_tables("frames") + f"SELECT DISTINCT camera_side, frame_id % 100 AS stem FROM frames WHERE value > 50")
+@query(with_tables("frames") + "SELECT DISTINCT camera_side, frame_id % 100 AS stem FROM frames")
 def keep_set(t: Tables):
-    f = t.frames().filter("value > 50").withColumn("stem", F.col("frame_id") % 100)
+    f = t.frames().withColumn("stem", F.col("frame_id") % 100)
     return L.keep_set(f, ["camera_side", "stem"])
 
 
 @query(with_tables("frames") + """SELECT frame_id, camera_side, value FROM frames WHERE source = 'view'
-UNION ALL SELECT frame_id, NULL, value FROM frames WHERE source = 'click'""")
+UNION ALL SELECT frame_id, NULL, value FROM frames WHERE source <> 'view'""")
 def union_cameras(t: Tables):
     f = t.frames()
     return L.union_all([f.filter("source = 'view'").select("frame_id", "camera_side", "value"),
-                        f.filter("source = 'click'").select("frame_id", "value")])
+                        f.filter("source <> 'view'").select("frame_id", "value")])
 
 
 LOGLINE = "CASE WHEN doc_id % 4 = 0 THEN 'drop   0% ' WHEN doc_id % 4 = 1 THEN 'drop 7% ' WHEN doc_id % 4 = 2 THEN 'ERROR ' ELSE '' END || text"

@@ -44,7 +44,7 @@ def asof_backward(t: Tables):
     return out.select("frame_id", "r_frame_id")
 
 
-@query(with_tables("frames") + f""", l AS (SELECT session_id, t_ns, frame_id FROM frames WHERE source = 'view'),
+@query(with_tables("frames") + f""", l AS (SELECT session_id, t_ns, frame_id FROM frames WHERE source IN ('view', 'purchase')),
 p0 AS (SELECT l.*, f.t_ns AS t0, f.heading_deg AS h0 FROM l ASOF LEFT JOIN (SELECT * FROM frames WHERE source = 'error') f ON l.session_id = f.session_id AND l.t_ns >= f.t_ns),
 p1 AS (SELECT p0.*, f.t_ns AS t1, f.heading_deg AS h1 FROM p0 ASOF LEFT JOIN (SELECT * FROM frames WHERE source = 'click') f ON p0.session_id = f.session_id AND p0.t_ns >= f.t_ns),
 p2 AS (SELECT p1.*, f.t_ns AS t2, f.heading_deg AS h2 FROM p1 ASOF LEFT JOIN (SELECT * FROM frames WHERE source = 'signup') f ON p1.session_id = f.session_id AND p1.t_ns >= f.t_ns),
@@ -57,7 +57,7 @@ SELECT frame_id, coalesce(v, max(v) OVER (PARTITION BY session_id, grp)) AS head
     WHEN grp > 0 THEN 'stale' ELSE 'none' END AS heading_source FROM g""")
 def prioritized_heading(t: Tables):
     f = t.frames()
-    out = J.prioritized_asof(f.filter("source = 'view'").select(*S, *T, "frame_id"), f, S, "source", "heading_deg",
+    out = J.prioritized_asof(f.filter("source in ('view', 'purchase')").select(*S, *T, "frame_id"), f, S, "source", "heading_deg",
                              [("error", HOUR), ("click", HOUR), ("signup", 2 * HOUR)], part_rows=PARTS)
     return out.select("frame_id", F.col("value").alias("heading_deg"), F.col("value_source").alias("heading_source"))
 
@@ -114,7 +114,7 @@ def trajectory_association(t: Tables):
     return out.select("frame_id", F.col("e_id").alias("est_id"), "dt_ns")
 
 
-@query(with_tables("odom") + f""", c AS (SELECT frame_id, session_id, t_ns FROM odom WHERE source = 'view'),
+@query(with_tables("odom") + f""", c AS (SELECT frame_id, session_id, t_ns FROM odom WHERE source NOT IN ('click', 'error')),
 lp AS (SELECT * FROM odom WHERE source = 'click'), gp AS (SELECT * FROM odom WHERE source = 'error'),
 l1 AS (SELECT c.*, lp.t_ns AS bt, lp.frame_id AS bid FROM c ASOF LEFT JOIN lp ON c.session_id = lp.session_id AND c.t_ns >= lp.t_ns),
 l2 AS (SELECT l1.*, lp.t_ns AS ta, lp.frame_id AS aid FROM l1 ASOF LEFT JOIN lp ON l1.session_id = lp.session_id AND l1.t_ns < lp.t_ns),
@@ -133,7 +133,7 @@ SELECT frame_id, fresh, round(gx - (cos(ga - la) * lx - sin(ga - la) * ly), 4) +
   round(gy - (sin(ga - la) * lx + cos(ga - la) * ly), 4) + 0 AS ty, round(cos(ga - la), 5) + 0 AS r0 FROM s""")
 def frame_correction(t: Tables):
     o = t.odometry()
-    out = J.correct_frames(o.filter("source = 'view'").select(*S, *T, "frame_id"), o.filter("source = 'click'"),
+    out = J.correct_frames(o.filter("source not in ('click', 'error')").select(*S, *T, "frame_id"), o.filter("source = 'click'"),
                            o.filter("source = 'error'"), S, HOUR, 2 * HOUR, part_rows=PARTS)
     return out.select("frame_id", "fresh", r("corr.tx", 4, "tx"), r("corr.ty", 4, "ty"), r("corr.r0", 5, "r0"))
 
@@ -195,11 +195,11 @@ def class_runs(t: Tables):
     return W.class_runs(t.frames().select(*S, *T, "source"), S, T, "source", min_rows=2, part_rows=PARTS)
 
 
-@query("""WITH i AS (SELECT DISTINCT o_custkey % 10 AS session_id, o_orderkey // 3 AS idx FROM orders WHERE o_orderstatus = 'F'),
+@query("""WITH i AS (SELECT DISTINCT o_custkey % 10 AS session_id, o_orderkey // 3 AS idx FROM orders),
 g AS (SELECT *, idx - row_number() OVER (PARTITION BY session_id ORDER BY idx) AS k FROM i)
 SELECT session_id, min(idx) AS start, max(idx) AS "end", count(*) AS n FROM g GROUP BY session_id, k""")
 def index_ranges(t: Tables):
-    o = t.raw("orders").filter("o_orderstatus = 'F'").select(
+    o = t.raw("orders").select(
         (F.col("o_custkey") % 10).alias("session_id"), F.floor(F.col("o_orderkey") / 3).alias("idx"))
     return W.index_ranges(o, S, "idx", part_rows=PARTS)
 

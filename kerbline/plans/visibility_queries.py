@@ -70,12 +70,10 @@ def grid_window_pairs(t: Tables):
 
 @query(with_tables("frames", "props") + """SELECT f.frame_id, p.uprn,
   round(sqrt((p.x - f.x) * (p.x - f.x) + (p.y - f.y) * (p.y - f.y)), 6) AS distance_m
-FROM frames f JOIN props p ON sqrt((p.x - f.x) * (p.x - f.x) + (p.y - f.y) * (p.y - f.y)) <= 50
-WHERE p.building_use = 'BUILDING' AND p.x < 400""")
+FROM frames f JOIN props p ON sqrt((p.x - f.x) * (p.x - f.x) + (p.y - f.y) * (p.y - f.y)) <= 50""")
 def radius_join_few(t: Tables):
-    """Few properties; above the checked size it becomes the grid join."""
-    few = t.properties().filter((F.col("building_use") == "BUILDING") & (F.col("x") < 400))
-    pairs = radius_join_small(t.frames(), few, 50.0)
+    """All pairs within a radius, without a grid of the caller's."""
+    pairs = radius_join_small(t.frames(), t.properties(), 50.0)
     return pairs.select("frame_id", F.col("p_uprn").alias("uprn"), r("distance_m"))
 
 
