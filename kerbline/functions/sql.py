@@ -24,6 +24,13 @@ SQL_FUNCTIONS = {
         "d DOUBLE", "DOUBLE",
         "CASE WHEN d > 180 THEN d - 360 WHEN d < -180 THEN d + 360 ELSE d END",
     ),
+    "uuid5_digest": ("name STRING", "STRING", "sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(name, 'UTF-8'))"),
+    "uuid5_dns": (
+        "name STRING", "STRING",
+        "concat_ws('-', substr(uuid5_digest(name), 1, 8), substr(uuid5_digest(name), 9, 4), '5' || substr(uuid5_digest(name), 14, 3), "
+        "lower(hex(CAST(conv(substr(uuid5_digest(name), 17, 1), 16, 10) AS INT) % 4 + 8)) || substr(uuid5_digest(name), 18, 3), "
+        "substr(uuid5_digest(name), 21, 12))",
+    ),
     "quat_yaw": (
         "qx DOUBLE, qy DOUBLE, qz DOUBLE, qw DOUBLE", "DOUBLE",
         "atan2(2 * (qw * qz + qx * qy), 1 - 2 * (qy * qy + qz * qz))",

@@ -14,7 +14,7 @@ from kerbline.functions.geo import distance3
 from kerbline.operators.chains import greedy_chain
 from kerbline.operators.ordered import PART_ROWS, neighbour, scan
 from kerbline.operators.quantiles import exact_quantiles
-from kerbline.operators.windows import circular_from_means, step_deltas
+from kerbline.operators.windows import circular_from_means, first_by, index_ranges, step_deltas
 from kerbline.session import settle
 
 NS = 1_000_000_000
@@ -150,11 +150,49 @@ def verdict(stats: DataFrame, rules: str = "card", max_speed: float = 30.0, max_
     ).withColumn("reasons", F.concat_ws("; ", *[F.when(test, text) for test, text in fails]))
 
 
-def require_pass(stats: DataFrame, **rules) -> None:
-    """Stop before an expensive export when any trajectory fails the audit rules."""
-    bad = verdict(stats, rules="audit", **rules).filter(F.col("verdict") == "FAIL").limit(5).collect()
+def require_pass(stats: DataFrame, force: bool = False, **rules) -> DataFrame:
+    """Stop before an expensive export when any trajectory fails the audit rules.
+
+    With ``force`` the export goes on and failures are told as ``WARN (forced)``.
+    """
+    told = verdict(stats, rules="audit", **rules)
+    failed = F.col("verdict") == "FAIL"
+    if force:
+        return told.withColumn("verdict", F.when(failed, "WARN (forced)").otherwise(F.col("verdict")))
+    bad = told.filter(failed).limit(5).collect()
     if bad:
         raise ValueError(f"divergent trajectory: {bad}")
+    return told
+
+
+#: The lines of a report: label, column and format, in their order.
+CARD = (
+    ("verdict", "verdict", "%s"), ("pose_count", "pose_count", "%d"), ("time_span_s", "span_s", "%.2f"), ("pose_rate_hz", "rate_hz", "%.2f"),
+    ("cumul_distance_m", "cumul_m", "%.1f"), ("mean_speed_mps", "mean_speed_mps", "%.2f"), ("p99_speed_mps", "p99_speed_mps", "%.2f"),
+    ("max_speed_mps", "max_speed_mps", "%.1f"), ("extent_x_m", "extent_x", "%.1f"), ("extent_y_m", "extent_y", "%.1f"), ("extent_z_m", "extent_z", "%.1f"),
+)
+
+
+def sanity_cards(stats: DataFrame, by: list[str], max_speed: float = 30.0, max_extent: float = 2000.0, min_rate: float = 5.0) -> DataFrame:
+    """A10: the report of each trajectory as text lines ``(keys, line_no, value)`` that S10 reads back.
+
+    Besides the statistics it tells the verdict, the gates, the reasons of a failure and, as
+    ``warn_rate``, a rate that is too low.
+    """
+    told = verdict(stats, "card", max_speed, max_extent, min_rate)
+    slow = (F.col("rate_hz") > 0) & (F.col("rate_hz") < min_rate)
+    lines = [F.format_string(f"%-19s: {form}", F.lit(label), F.col(column)) for label, column, form in CARD]
+    lines += [F.lit(f"gate_max_speed_mps : {max_speed}"), F.lit(f"gate_max_extent_m  : {max_extent}")]
+    lines.append(F.when(F.col("reasons") != "", F.concat(F.lit("fail_reasons     : "), F.col("reasons"))))
+    lines.append(F.when(slow, F.format_string(f"warn_rate        : rate=%.2f<{min_rate} Hz", F.col("rate_hz"))))
+    return told.select(*by, F.posexplode(F.array_compact(F.array(*lines))).alias("line_no", "value"))
+
+
+def audit_summary(audit: DataFrame, idx: str, moving: str, min_path_m: float, min_peak_mps: float, part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
+    """K6: one row of totals and thresholds, and the ranges of consecutive moving shards."""
+    totals = audit.agg(F.count(F.lit(1)).alias("total_bags"), F.count_if(moving).alias("moving_bags")).withColumn(
+        "thresholds", F.struct(F.lit(float(min_path_m)).alias("min_path_m"), F.lit(float(min_peak_mps)).alias("min_peak_speed_mps")))
+    return totals, index_ranges(audit.where(moving), [], idx, part_rows)
 
 
 def ate(pairs: DataFrame, by: list[str], a: str = "", b: str = "e_") -> DataFrame:
@@ -237,10 +275,16 @@ def legacy_segments(spark) -> DataFrame:
 
 
 def lookup_segment(runs: DataFrame, segments: DataFrame, legacy: DataFrame) -> DataFrame:
-    """Class and range of a tag from the segment list, else the fallback list, else '?'."""
+    """Class and range of a tag from the segment list, else the fallback list, else '?'.
+
+    Of several segments with one tag the first by start and end is taken.
+    """
     cols = ["class", "n_bags", "start", "end"]
-    seg = segments.select("tag", F.struct(*cols).alias("__s")).dropDuplicates(["tag"])
-    old = legacy.select("tag", F.struct(*cols).alias("__o")).dropDuplicates(["tag"])
+
+    def one(df: DataFrame, name: str) -> DataFrame:
+        return first_by(df.select("tag", *cols), ["tag"], [F.asc("start"), F.asc("end")]).select("tag", F.struct(*cols).alias(name))
+
+    seg, old = one(segments, "__s"), one(legacy, "__o")
     rows = runs.join(seg, "tag", "left").join(old, "tag", "left")
     hit = F.coalesce("__s", "__o")
     rows = rows.withColumn("__h", hit)

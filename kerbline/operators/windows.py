@@ -265,6 +265,12 @@ def top_k(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFram
     return df.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
 
 
+def first_by(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """One whole row per key: the first in ``order``, then by the other columns, nulls first."""
+    rest = [F.asc(c) for c in df.columns if c not in by]
+    return top_k(df, by, [*order, *rest] or [F.asc(by[0])], 1).drop("rank")
+
+
 def time_sorted(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
     """O3: rows in (key, time) order over range partitions, without a single sorting task."""
     spread = df.repartitionByRange(*([partitions] if partitions else []), *by, *order)

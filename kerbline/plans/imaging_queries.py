@@ -307,14 +307,22 @@ def cell_functions(t: Tables):
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", zone.alias("zone"), F.floor(bright * 0.5).alias("red"))
 
 
-@query("""SELECT event_id, round(sqrt(value * value + 1), 6) AS dist, CAST((event_id % 360) AS DOUBLE) AS rel,
-  round(value + abs(20 - 32.5) * 0.3, 6) AS score FROM events""")
+@query("""WITH e AS (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode('bag_' || CAST(event_id AS VARCHAR))) AS s, event_id % 360 AS a FROM events)
+SELECT event_id, round(sqrt(value * value + 1), 6) AS dist, CAST(a AS DOUBLE) AS rel, round(value + abs(20 - 32.5) * 0.3, 6) AS score,
+  round(degrees(atan2(value, 1)), 6) AS bearing, CAST(least(abs(a - 90), 360 - abs(a - 90)) AS DOUBLE) AS perp, CAST(CASE WHEN a > 180 THEN a - 360 ELSE a END AS DOUBLE) AS wrapped,
+  round(2 * radians(a / 2), 6) AS yaw, s[1:8] || '-' || s[9:12] || '-5' || s[14:16] || '-' ||
+  CASE WHEN s[17:17] IN ('0', '4', '8', 'c') THEN '8' WHEN s[17:17] IN ('1', '5', '9', 'd') THEN '9' WHEN s[17:17] IN ('2', '6', 'a', 'e') THEN 'a' ELSE 'b' END
+  || s[18:20] || '-' || s[21:32] AS osid FROM e""")
 def sql_functions(t: Tables):
-    """The registered SQL functions."""
+    """Every registered SQL function."""
     register_sql_functions(t.spark)
-    ev = t.raw("events")
+    ev = t.raw("events").withColumn("a", (F.col("event_id") % 360).cast("double"))
+    turn = F.expr("quat_yaw(0D, 0D, sin(radians(a / 2) / 2), cos(radians(a / 2) / 2))")
     return ev.select("event_id", r(F.expr("plan_distance(0D, 0D, value, 1D)"), 6, "dist"),
-                     F.expr("relative_angle(CAST(event_id AS DOUBLE), 0D)").alias("rel"), r(F.expr("hero_score(value, 20D)"), 6, "score"))
+                     F.expr("relative_angle(CAST(event_id AS DOUBLE), 0D)").alias("rel"), r(F.expr("hero_score(value, 20D)"), 6, "score"),
+                     r(F.expr("plan_bearing(0D, 0D, value, 1D)"), 6, "bearing"), F.expr("camera_perp_angle(a, 'left')").alias("perp"),
+                     F.expr("wrap180(a)").alias("wrapped"), r(turn * 2, 6, "yaw"),
+                     F.expr("uuid5_dns('bag_' || CAST(event_id AS STRING))").alias("osid"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN round((o_custkey % 65536) * 0.01::DOUBLE / 3.6, 6) END AS speed_mps,

@@ -445,3 +445,28 @@ def property_table(t: Tables):
     bldg = t.raw("supplier").select(F.col("s_suppkey").alias("osid"), F.col("s_acctbal").alias("building_height_m"))
     out = R.build_property_table(t.properties().select("uprn", "x", "y"), addr, xref, bldg)
     return out.select("uprn", "grid_x", "grid_y", "fulladdress", "osid", "building_height_m")
+
+
+@query(STATS + """SELECT session_id, source, CAST(pose_count AS VARCHAR) AS pose_count, printf('%.2f', span_s) AS time_span_s, printf('%.2f', p99_speed_mps) AS p99_speed_mps,
+  printf('%.1f', extent_x) AS extent_x_m, CASE WHEN rate_hz > 0 AND rate_hz < 0.00002 THEN printf('rate=%.2f<2e-05 Hz', rate_hz) END AS warn_rate,
+  CASE WHEN mean_speed_mps > 0.1 OR p99_speed_mps > 0.1 OR greatest(extent_x, extent_y) > 1975 THEN 'FAIL'
+    WHEN p99_speed_mps > 0.05 OR (rate_hz > 0 AND rate_hz < 0.00002) OR max_dt_s > 1 THEN 'WARN' ELSE 'PASS' END AS verdict FROM full_stats""")
+def card_round_trip(t: Tables):
+    """Reports written as lines and read back."""
+    by = ["session_id", "source"]
+    cards = Q.sanity_cards(_stats(t), by, 0.1, 1975.0, 0.00002)
+    fields = ["pose_count", "time_span_s", "p99_speed_mps", "extent_x_m", "warn_rate", "verdict"]
+    return R.parse_cards(cards, by, fields)
+
+
+@query(STEPS + """, a AS (SELECT session_id, source, t_ns, x, y, vx, lag(x) OVER w AS px, lag(y) OVER w AS py FROM odom WINDOW w AS (PARTITION BY session_id, source ORDER BY t_ns)),
+m AS (SELECT session_id * 5 + CASE source WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END AS idx,
+  coalesce(sum(sqrt((x - px) ** 2 + (y - py) ** 2)), 0) >= 150000 AND max(vx) >= 20 AS moving FROM a GROUP BY session_id, source),
+g AS (SELECT idx, idx - row_number() OVER (ORDER BY idx) AS k FROM m WHERE moving)
+SELECT min(idx) AS start, max(idx) AS "end", count(*) AS n, (SELECT count(*) FROM m) AS total_bags, (SELECT count(*) FROM m WHERE moving) AS moving_bags FROM g GROUP BY k""")
+def audit_ranges(t: Tables):
+    """K6: the moving ranges of the motion audit with its totals."""
+    a = Q.is_moving(Q.motion_audit_odom(t.odometry(), ["session_id", "source"], T, part_rows=PARTS), 150000.0, 20.0)
+    rank = F.array_position(F.array(*[F.lit(s) for s in ("click", "error", "purchase", "signup", "view")]), F.col("source")) - 1
+    totals, ranges = Q.audit_summary(a.select((F.col("session_id") * 5 + rank).alias("idx"), "moving"), "idx", "moving", 150000.0, 20.0, PARTS)
+    return ranges.crossJoin(F.broadcast(totals.drop("thresholds")))  # one row of totals

@@ -220,3 +220,114 @@ def bng_roundtrip(t: Tables):
     grid = t.properties().select("uprn", (F.col("x") + 400000).alias("x"), (F.col("y") + 300000).alias("y"))
     back = wgs84_to_bng(bng_to_wgs84(grid), names=("e", "n"))
     return back.select("uprn", r(F.col("e") - F.col("x"), 2, "dx"), r(F.col("n") - F.col("y"), 2, "dy"))
+
+
+SESSION = ["session_id"]
+
+
+def _document(t: Tables):
+    """The whole document with metadata, asset counts and a file of two kinds per hero."""
+    f, pairs = t.frames(), _pairs(t)
+    assets = f.select("session_id", "t_ns", F.col("source").alias("kind"), F.concat(F.lit("file_"), F.col("frame_id").cast("string")).alias("file"))
+    found = V.hero_assets(V.heroes(pairs, by=SESSION), assets, ["view", "error"], SESSION, part_rows=PARTS)
+    about = f.select("session_id").distinct().select("session_id", F.format_string("rig_%d", "session_id").alias("rig_id"), F.lit("2024-01-31").alias("generated_at"))
+    return V.visibility_document(f, pairs, found, SESSION, about, assets, ("view", "error"))
+
+
+def _section(t: Tables, name: str, schema: str):
+    return _document(t).where(F.col("section") == name).select("session_id", "sort_key", F.from_json("json", schema).alias("j")).select("session_id", "sort_key", "j.*")
+
+
+@query(BASE + """, hs AS (SELECT *, row_number() OVER (PARTITION BY session_id, uprn ORDER BY score, t_ns, frame_id) AS rn, count(*) OVER w AS n, count(*) FILTER (is_perp) OVER w AS np
+  FROM scored WINDOW w AS (PARTITION BY session_id, uprn)),
+b AS (SELECT session_id, uprn, t_ns, camera_side, dist, perp, n, np FROM hs WHERE rn = 1),
+v AS (SELECT b.*, a.frame_id AS vf FROM b ASOF LEFT JOIN (SELECT * FROM frames WHERE source = 'view') a ON b.session_id = a.session_id AND b.t_ns >= a.t_ns),
+e AS (SELECT v.*, a.frame_id AS ef FROM v ASOF LEFT JOIN (SELECT * FROM frames WHERE source = 'error') a ON v.session_id = a.session_id AND v.t_ns >= a.t_ns)
+SELECT session_id, 'UPRN_' || CAST(e.uprn AS VARCHAR) AS sort_key, e.uprn, t_ns AS hero_rgb_timestamp_ns, camera_side, round(dist, 2) AS distance_m,
+  round(perp, 2) AS angle_from_perpendicular_deg, n AS visible_frame_count, np AS perpendicular_frame_count, address, building_use,
+  'file_' || CAST(vf AS VARCHAR) AS hero_view, 'file_' || CAST(ef AS VARCHAR) AS hero_error FROM e JOIN props p ON p.uprn = e.uprn""")
+def document_heroes(t: Tables):
+    """K2: the hero records as their JSON has them."""
+    return _section(t, "heroes", "uprn long, hero_rgb_timestamp_ns long, camera_side string, distance_m double, angle_from_perpendicular_deg double, visible_frame_count long,"
+                    " perpendicular_frame_count long, address string, building_use string, hero_view string, hero_error string")
+
+
+@query(BASE + """SELECT session_id, CAST(t_ns AS VARCHAR) || '/' || CAST(uprn AS VARCHAR) AS sort_key, t_ns AS frame_timestamp_ns, uprn, camera_side, round(dist, 2) AS distance_m,
+  round(bearing, 2) AS bearing_deg, round(perp, 2) AS angle_from_perpendicular_deg, is_perp AS is_perpendicular FROM scored""")
+def document_visibility(t: Tables):
+    """K2: the visibility records as their JSON has them."""
+    return _section(t, "visibility", "frame_timestamp_ns long, uprn long, camera_side string, distance_m double, bearing_deg double, angle_from_perpendicular_deg double, is_perpendicular boolean")
+
+
+@query(BASE + """, v AS (SELECT session_id, count(DISTINCT uprn) AS n_props, count(*) AS n FROM scored GROUP BY session_id)
+SELECT f.session_id, 'rig_' || CAST(f.session_id AS VARCHAR) AS rig_id, CAST(f.session_id AS VARCHAR) AS session_name, count(DISTINCT f.t_ns) AS total_frames,
+  coalesce(any_value(n_props), 0) AS total_uprns, coalesce(any_value(n), 0) AS total_visibility_records, coalesce(any_value(n_props), 0) AS uprns_with_hero_shots,
+  count(*) FILTER (source = 'view') AS n_view, count(*) FILTER (source = 'error') AS n_error, round(min(x), 2) AS xmin, round(max(y), 2) AS ymax
+FROM frames f LEFT JOIN v ON v.session_id = f.session_id GROUP BY f.session_id""")
+def document_statistics(t: Tables):
+    """K2: metadata, statistics with asset counts and bounding box, from their JSON."""
+    schema = "rig_id string, session_name string, total_frames long, total_uprns long, total_visibility_records long, uprns_with_hero_shots long, assets map<string, long>, xmin double, ymax double"
+    rows = _document(t).where(F.col("section").isin("metadata", "statistics", "trajectory_bbox")).select("session_id", F.from_json("json", schema).alias("j"))
+    whole = rows.groupBy("session_id").agg(*[F.max(f"j.{c}").alias(c) for c in (
+        "rig_id", "session_name", "total_frames", "total_uprns", "total_visibility_records", "uprns_with_hero_shots", "xmin", "ymax")],
+        F.max(F.col("j.assets")["view"]).alias("n_view"), F.max(F.col("j.assets")["error"]).alias("n_error"))
+    return whole
+
+
+@query(with_tables("fixes") + """, s AS (SELECT session_id, max_by(status, t_ns) AS gnss_fix_status, round(max_by(var, t_ns), 4) AS gnss_h_covariance_m2,
+  max_by(source, t_ns) AS heading_source, max_by(x, t_ns) FILTER (status >= 2) AS ox, max_by(y, t_ns) FILTER (status >= 2) AS oy
+  FROM (SELECT fixes.*, frames.source FROM fixes JOIN frames USING (frame_id)) GROUP BY session_id)
+SELECT session_id, gnss_fix_status, gnss_h_covariance_m2, heading_source, ox IS NOT NULL AS georeferenced, CASE WHEN ox IS NULL THEN 'SLAM_local' ELSE 'EPSG:27700' END AS crs,
+  round(ox, 3) AS easting, round(oy, 3) AS northing FROM s""".replace("max_by(", "arg_max("))
+def session_state(t: Tables):
+    """K3: the last state of each session; its origin is where it was last fixed well."""
+    fixes = t.fixes().join(t.frames().select("frame_id", F.col("source").alias("heading_source")), "frame_id")
+    good = F.col("status") >= 2
+    rows = fixes.select("session_id", "t_ns", "heading_source", F.col("status").alias("gnss_fix_status"), F.col("covariance")[0].alias("gnss_h_covariance_m2"),
+                        F.when(good, F.col("x")).alias("origin_x"), F.when(good, F.col("y")).alias("origin_y"), F.when(good, F.lit(0.0)).alias("origin_z"))
+    out = V.session_state(rows, SESSION)
+    return out.select("session_id", "gnss_fix_status", "gnss_h_covariance_m2", "heading_source", "georeferenced", "crs", "slam_origin_bng.easting", "slam_origin_bng.northing")
+
+
+@query(BASE + """, m AS (SELECT session_id, uprn, CAST(session_id AS VARCHAR) || '_' || CAST(uprn AS VARCHAR) AS name, row_number() OVER (PARTITION BY session_id, uprn ORDER BY t_ns, CAST(frame_id AS VARCHAR)) AS n,
+  frame_id, camera_side FROM scored)
+SELECT CAST(session_id AS VARCHAR) AS bag_id, CAST(uprn AS VARCHAR) AS uprn, CAST(n AS INTEGER) AS n, CAST(frame_id AS VARCHAR) AS frame, camera_side AS camera FROM m""")
+def manifest_json(t: Tables):
+    """K5: every manifest put together from its lines and read as JSON, one row per visible frame."""
+    lines = V.manifest_lines(_pairs(t), "session_id")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
+    schema = "osid string, bag_id string, uprn string, visible_frames array<struct<camera: string, frame: string>>"
+    whole = lines.groupBy("osid").agg(F.from_json(text, schema).alias("j")).where("osid = j.osid")
+    rows = whole.select("j.bag_id", "j.uprn", F.posexplode("j.visible_frames").alias("n", "f"))
+    return rows.select("bag_id", "uprn", (F.col("n") + 1).alias("n"), "f.frame", "f.camera")
+
+
+@query(BASE + """, h AS (SELECT h.*, f.session_id FROM heroes h JOIN frames f ON f.frame_id = h.best_frame_id)
+SELECT session_id, 'UPRN_' || CAST(h.uprn AS VARCHAR) AS name, round(distance_m, 2) AS distance_m, round(perp_deg, 2) AS perp_angle, camera_side AS camera, visible_count, address, building_use
+FROM h JOIN props USING (uprn)""")
+def overlay_properties(t: Tables):
+    """K4: the property points of the overlay, from their JSON."""
+    f = t.frames().withColumn("lat", F.lit(51.5) + F.col("y") / 111000).withColumn("lon", F.lit(-1.25) + F.col("x") / 111000).withColumn("heading_source", F.col("source"))
+    h = V.heroes(_pairs(t)).join(f.select(F.col("frame_id").alias("best_frame_id"), "session_id"), "best_frame_id")
+    grid = t.properties().select(F.col("uprn").alias("p_uprn"), (F.col("x") + 400000).alias("x"), (F.col("y") + 300000).alias("y"))
+    feats = V.overlay_features(f, h.join(bng_to_wgs84(grid).select("p_uprn", "lat", "lon"), "p_uprn"), SESSION, part_rows=PARTS)
+    schema = "properties struct<name: string, distance_m: double, perp_angle: double, camera: string, visible_count: long, address: string, building_use: string>"
+    return feats.where("kind = 'property'").select("session_id", F.from_json("json", schema).alias("j")).select("session_id", "j.properties.*")
+
+
+@query(with_tables("frames") + """, i AS (SELECT f.*, count(*) OVER (PARTITION BY session_id) AS n, row_number() OVER (PARTITION BY session_id ORDER BY t_ns) - 1 AS i FROM frames f),
+k AS (SELECT * FROM i WHERE i % greatest(1, n // 2000) = 0)
+SELECT k.session_id, CAST(k.session_id AS VARCHAR) AS session, max(n) AS points, arg_max(source, i) AS heading_source, count(*) AS n_vertices,
+  round(sum(round(-1.25::DOUBLE + x / 111000, 7)), 4) AS lon_sum, round(sum(round(51.5::DOUBLE + y / 111000, 7)), 4) AS lat_sum FROM k GROUP BY k.session_id HAVING max(n) >= 2""")
+def overlay_lines(t: Tables):
+    """K4: the line of each session with its vertices, from its JSON."""
+    f = t.frames().withColumn("lat", F.lit(51.5) + F.col("y") / 111000).withColumn("lon", F.lit(-1.25) + F.col("x") / 111000).withColumn("heading_source", F.col("source"))
+    none = t.properties().limit(0).select(F.col("uprn").alias("p_uprn"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), F.lit(0).cast("long").alias("session_id"),
+                                          F.lit(0.0).alias("distance_m"), F.lit(0.0).alias("perp_deg"), F.lit("").alias("camera_side"), F.lit(0).alias("visible_count"))
+    lines = V.overlay_features(f, none, SESSION, part_rows=PARTS).where("kind = 'trajectory'")
+    schema = "geometry struct<coordinates: array<array<double>>>, properties struct<session: string, points: long, heading_source: string>"
+    j = lines.select("session_id", F.from_json("json", schema).alias("j")).select("session_id", "j.properties.*", F.col("j.geometry.coordinates").alias("c"))
+    lon = F.aggregate("c", F.lit(0.0), lambda total, p: total + p[0])
+    lat = F.aggregate("c", F.lit(0.0), lambda total, p: total + p[1])
+    add = [F.round(lon, 4).alias("lon_sum"), F.round(lat, 4).alias("lat_sum")]
+    return j.select("session_id", "session", "points", "heading_source", F.size("c").cast("long").alias("n_vertices"), *add)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbline.operators.fleet import merge_progress
 from kerbline.operators.points import with_tile
+from kerbline.operators.quality import audit_summary
 from kerbline.session import settle
 
 SAMPLE_SPACE = 1_000_000
@@ -38,12 +39,21 @@ def write_trajectory(traj: DataFrame, path: str, by: list[str]) -> None:
     trajectory_json(traj, by).write.mode("overwrite").partitionBy(*by).json(f"{path}/trajectory_wgs84")
 
 
-def write_motion_audit(audit: DataFrame, ranges: DataFrame, path: str) -> None:
-    """K6: the audit as CSV and the moving ranges as JSON lines."""
+def write_motion_audit(audit: DataFrame, path: str, idx: str = "idx", moving: str = "moving", min_path_m: float = 50.0,
+                       min_peak_mps: float = 2.0) -> None:
+    """K6: the audit as CSV, its totals with the thresholds and the moving ranges as JSON."""
+    audit = settle(audit)
+    totals, ranges = audit_summary(audit, idx, moving, min_path_m, min_peak_mps)
     audit.write.mode("overwrite").option("header", "true").csv(f"{path}/motion_audit")
+    totals.write.mode("overwrite").json(f"{path}/summary")
     ranges.write.mode("overwrite").json(f"{path}/moving_ranges")
 
 
+def write_cards(cards: DataFrame, path: str, by: list[str]) -> None:
+    """A10: the lines of :func:`sanity_cards`, one folder per key, in order inside a file."""
+    cards.repartition(*by).sortWithinPartitions(*by, "line_no").select(*by, "value").write.mode("overwrite").partitionBy(*by).text(path)
+
+
 def write_document(records: DataFrame, path: str, by: list[str]) -> None:
     """K2, K3: JSON records partitioned by the keys and section."""
     records.select(*by, "section", "json").write.mode("overwrite").partitionBy(*by, "section").text(path)

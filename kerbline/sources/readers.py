@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbline.functions.pose import rot_to_quat
+from kerbline.operators.windows import first_by
 from kerbline.sources.sidecars import SidecarSource
 
 MESSAGES = "topic STRING, log_time_ns LONG, publish_time_ns LONG, seq LONG, payload BINARY"
@@ -52,13 +53,14 @@ def build_property_table(uprn: DataFrame, addr: DataFrame, xref: DataFrame, bldg
                          cell: float = 50.0) -> DataFrame:
     """Places with address and building attributes, and the grid cell.
 
-    Address and cross-reference rows are reduced to one per property first so that the table
-    keeps one row per property.
+    The table keeps one row per property: of several addresses the whole row that is first by
+    full address (null last) and then by its other columns, of several cross-references the
+    least, of several rows of a building the first by its columns. What is passed over is the
+    caller's to look at in the inputs.
     """
-    a = addr.groupBy("uprn").agg(*[F.min_by(c, "fulladdress").alias(c) for c in addr.columns if c not in ("uprn", "fulladdress")],
-                                 F.min("fulladdress").alias("fulladdress"))
+    a = first_by(addr, ["uprn"], [F.asc_nulls_last("fulladdress")])
     x = xref.groupBy("uprn").agg(F.min("osid").alias("osid"))
-    b = bldg.dropDuplicates(["osid"])
+    b = first_by(bldg, ["osid"], [])
     rows = uprn.join(a, "uprn", "left").join(x, "uprn", "left").join(b, "osid", "left")
     return rows.withColumn("grid_x", F.floor(F.col("x") / cell)).withColumn("grid_y", F.floor(F.col("y") / cell))
 

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from kerbline.operators import fleet
+from kerbline.operators import fleet, quality
 from kerbline.sinks import writers
 from kerbline.sources import readers
 
@@ -122,3 +122,33 @@ def test_point_tiles_and_reports(spark, tmp_path):
 def test_missing_folder_is_not_swallowed(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_properties(spark, str(tmp_path / "absent")).count()
+
+
+def test_audit_and_cards_are_written_and_read_back(spark, tmp_path):
+    audit = spark.createDataFrame([(i, i in (2, 3, 7), float(i)) for i in range(9)], "idx long, moving boolean, path_length_m double")
+    writers.write_motion_audit(audit, str(tmp_path / "a"), min_path_m=10.0, min_peak_mps=1.5)
+    total = spark.read.json(str(tmp_path / "a" / "summary")).first()
+    assert (total.total_bags, total.moving_bags, total.thresholds.min_path_m) == (9, 3, 10.0)
+    assert {(r.start, r.end, r.n) for r in spark.read.json(str(tmp_path / "a" / "moving_ranges")).collect()} == {(2, 3, 2), (7, 7, 1)}
+    assert spark.read.option("header", "true").csv(str(tmp_path / "a" / "motion_audit")).count() == 9
+    poses = spark.createDataFrame([(e, t * 10**9, float(t * v)) for e, v in (("glim", 1), ("dlio", 90)) for t in range(5)], "engine string, t_ns long, x double").selectExpr(
+        "engine", "t_ns", "x", "0D y", "0D z", "0D qx", "0D qy", "0D qz", "1D qw")
+    cards = quality.sanity_cards(quality.pose_stats(poses, ["engine"], ["t_ns"]), ["engine"])
+    writers.write_cards(cards, str(tmp_path / "c"), ["engine"])
+    lines = spark.read.text(str(tmp_path / "c")).withColumn("line_no", F.lit(0))
+    got = {r.engine: r for r in readers.parse_cards(lines, ["engine"], ["verdict", "pose_count", "fail_reasons", "warn_rate"]).collect()}
+    assert (got["glim"].verdict, got["glim"].pose_count, got["glim"].fail_reasons, got["glim"].warn_rate) == ("WARN", "5", None, "rate=1.00<5.0 Hz")
+    assert got["dlio"].verdict == "FAIL" and "p99_speed=90.0" in got["dlio"].fail_reasons
+    with pytest.raises(ValueError):
+        quality.require_pass(quality.pose_stats(poses, ["engine"], ["t_ns"]))
+    forced = quality.require_pass(quality.pose_stats(poses, ["engine"], ["t_ns"]), force=True)
+    assert {r.engine: r.verdict for r in forced.collect()}["dlio"] == "WARN (forced)"
+
+
+def test_property_table_takes_whole_rows(spark):
+    places = spark.createDataFrame([(1, 10.0, 60.0), (2, 0.0, 0.0)], "uprn long, x double, y double")
+    addr = spark.createDataFrame([(1, None, "A"), (1, "b road", "B"), (1, "b road", "A"), (2, None, "C"), (2, None, None)], "uprn long, fulladdress string, postcode string")
+    xref = spark.createDataFrame([(1, "o2"), (1, "o1")], "uprn long, osid string")
+    bldg = spark.createDataFrame([("o1", 5.0, "x"), ("o1", 4.0, "y"), ("o2", 1.0, "z")], "osid string, height double, age string")
+    got = {r.uprn: (r.fulladdress, r.postcode, r.osid, r.height, r.age) for r in readers.build_property_table(places, addr, xref, bldg).collect()}
+    assert got == {1: ("b road", "A", "o1", 4.0, "y"), 2: (None, None, None, None, None)}
