@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.functions.camera import in_image, project_fisheye, project_pinhole
+from kerbline.functions.camera import MIN_DEPTH_M, bend_fisheye, bend_pinhole, in_image
 from kerbline.functions.labels import height_color, tile_of, voxel_of
 from kerbline.functions.pose import apply_t, compose_t, extrinsic, pose_t
-from kerbline.operators.ordered import PART_ROWS, row_index
+from kerbline.operators.ordered import PART_ROWS, match, row_index
 from kerbline.operators.quantiles import exact_quantiles
 from kerbline.operators.timejoin import interpolate_poses, nearest_asof
 from kerbline.session import settle
 
 VOXEL = ("ix", "iy", "iz")
-HASH_SPAN = 1 << 40
-MAX_CAMERAS = 64
 
 
 def _finite(c: str) -> Column:
@@ -327,37 +325,71 @@ def world_or_deskew(world: DataFrame, raw: DataFrame, poses: DataFrame, session:
     return world.unionByName(moved, allowMissingColumns=True)
 
 
-def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame,
-                    tol_ns: int, by: list[str], point_id: str = "point_id",
-                    part_rows: int = PART_ROWS) -> DataFrame:
-    """Colour of each point from the first camera, by priority, that sees it.
+def _apart(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns behind a generator, which no filter or projection is merged through: each is computed once."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
 
-    ``images`` (keys, camera, t_ns, image_id); ``pixels`` (image_id, row, col, value);
-    ``cameras`` (camera, priority, model, width, height, fx..cy, d0..d4, r0..r8, tx..tz), a
-    handful of rows. Scans are matched to images once per camera, not once per point, and
-    only points that fall inside a picture reach the pixel join.
+def seen_pixels(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame, tol_ns: int, by: list[str],
+                point_id: str = "point_id", part_rows: int = PART_ROWS) -> DataFrame:
+    """Every (point, camera) in a picture: ``point_id``, the other columns of ``cameras`` and of ``pixels``.
+
+    ``images`` (keys, camera, t_ns, image_id); ``pixels`` (image_id, row, col and values);
+    ``cameras`` (camera, model, width, height, fx..cy, d0..d4, r0..r8, tx..tz and more, such as
+    priority and kind). Scans are matched to images once per camera of their session, not once
+    per point, and only points that fall inside a picture reach the pixel join.
     """
-    rig = [row.camera for row in cameras.select("camera").distinct().limit(MAX_CAMERAS + 1).collect()]
-    if len(rig) > MAX_CAMERAS:
-        raise ValueError(f"more than {MAX_CAMERAS} cameras on one vehicle")
-    each = F.explode(F.array(*[F.lit(name) for name in sorted(rig)]))
-    scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct().withColumn("camera", each)
-    matched = nearest_asof(settle(scans), images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id",
-                           part_rows=part_rows)
+    scans = points.select(*by, F.col("scan_ns").alias("t_ns")).distinct()
+    rig = images.select(*by, "camera").distinct()
+    asked = settle(match(scans, rig, by) if by else scans.crossJoin(rig))  # a rig has a handful of cameras
+    matched = nearest_asof(asked, images, [*by, "camera"], tol_ns, prefix="i_", right_tie="image_id", part_rows=part_rows)
     matched = matched.select(*by, F.col("t_ns").alias("scan_ns"), "camera", F.col("i_image_id").alias("image_id"))
-    rows = points.join(matched, [*by, "scan_ns"]).join(F.broadcast(cameras), "camera")
-    where = ("x", "y", "z")
+    rows = points.select(*by, "scan_ns", point_id, "x", "y", "z").join(matched, [*by, "scan_ns"]).join(cameras, "camera")
     r, t = [F.col(f"r{i}") for i in range(9)], [F.col(f"t{a}") for a in "xyz"]
     k = [F.col(n) for n in ("fx", "fy", "cx", "cy")]
-    flat = project_pinhole(where, r, t, k, [F.col(f"d{i}") for i in range(5)])
-    wide = project_fisheye(where, r, t, k, [F.col(f"d{i}") for i in range(4)])
+    rows = _apart(rows, dict(zip(("__x", "__y", "__d"), apply_t((r, t), ("x", "y", "z"))))).filter(F.col("__d") > MIN_DEPTH_M)
+    rows = _apart(rows, {"__a": F.col("__x") / F.col("__d"), "__b": F.col("__y") / F.col("__d")})
+    rows = _apart(rows, {"__r2": F.col("__a") * F.col("__a") + F.col("__b") * F.col("__b")})
+    rows = _apart(rows, {"__r": F.sqrt("__r2"), "__th": F.atan(F.sqrt("__r2"))})
+    flat = bend_pinhole("__a", "__b", "__r2", k, [F.col(f"d{i}") for i in range(5)])
+    wide = bend_fisheye("__a", "__b", "__r", "__th", k, [F.col(f"d{i}") for i in range(4)])
     is_wide = F.col("model") == "fisheye"
-    for name, a, b in zip(("__u", "__v", "__d"), wide, flat):
-        rows = rows.withColumn(name, F.when(is_wide, a).otherwise(b))
+    rows = _apart(rows, {n: F.when(is_wide, w).otherwise(f) for n, w, f in zip(("__u", "__v"), wide, flat)})
     rows = rows.filter(in_image("__u", "__v", "__d", "width", "height"))
     rows = rows.withColumn("col", F.floor("__u").cast("int")).withColumn("row", F.floor("__v").cast("int"))
-    seen = rows.join(pixels, ["image_id", "row", "col"])
+    used = {"model", "width", "height", "fx", "fy", "cx", "cy", *[f"d{i}" for i in range(5)], *[f"r{i}" for i in range(9)], "tx", "ty", "tz"}
+    about = [c for c in cameras.columns if c not in used]
+    values = [c for c in pixels.columns if c not in ("image_id", "row", "col")]
+    return rows.join(pixels, ["image_id", "row", "col"]).select(point_id, *about, *values)
+
+
+def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame,
+                    tol_ns: int, by: list[str], point_id: str = "point_id",
+                    part_rows: int = PART_ROWS) -> DataFrame:
+    """Colour of each point from the first camera, by priority, that sees it; see :func:`seen_pixels`."""
+    seen = seen_pixels(points, images, pixels, cameras, tol_ns, by, point_id, part_rows)
     best = seen.groupBy(point_id).agg(
         F.min_by("value", "priority").alias("value"), F.min("priority").alias("priority")
     )
     return points.join(best, point_id, "left").withColumn("has_color", F.col("value").isNotNull())
+
+
+def point_attributes(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame, tol_ns: int, by: list[str],
+                     kinds: tuple[str, ...] = ("rgb", "thermal"), point_id: str = "point_id", part_rows: int = PART_ROWS) -> DataFrame:
+    """All that the cameras tell of each point, each kind of camera for itself.
+
+    ``cameras`` also has ``kind`` and ``priority``. Per kind the pixel columns of the first
+    camera that sees the point, as ``<kind>_<column>``, with ``<kind>_camera`` and
+    ``has_<kind>``; beside them ``raw``, a map from every camera that sees the point to a struct
+    of its pixel columns, as large as the rig. Points that no camera sees keep nulls.
+    """
+    values = [c for c in pixels.columns if c not in ("image_id", "row", "col")]
+    seen = seen_pixels(points, images, pixels, cameras, tol_ns, by, point_id, part_rows)
+    picks = []
+    for kind in kinds:
+        rank = F.when(F.col("kind") == kind, F.col("priority"))
+        picks += [F.min_by(c, rank).alias(f"{kind}_{c}") for c in (*values, "camera")]
+    raw = F.map_from_entries(F.array_sort(F.collect_list(F.struct("camera", F.struct(*values).alias("v"))))).alias("raw")
+    told = seen.groupBy(point_id).agg(*picks, raw)
+    rows = points.join(told, point_id, "left")
+    return rows.withColumns({f"has_{kind}": F.col(f"{kind}_camera").isNotNull() for kind in kinds})

@@ -194,24 +194,38 @@ hit AS (SELECT point_id, priority, p.raw, row_number() OVER (PARTITION BY point_
 SELECT sc.point_id, h.raw AS value, h.priority, h.raw IS NOT NULL AS has_color FROM sc LEFT JOIN (SELECT * FROM hit WHERE rn = 1) h USING (point_id)"""
 
 
-@query(COLOR)
-def colorize_points(t: Tables):
-    """Two cameras look along y; the pinhole camera wins over the fisheye."""
+def _rig(t: Tables):
+    """Points, pictures, pixels and two cameras that look along y: a pinhole one (rgb) before a fisheye one (thermal)."""
     emb = t.raw("embeddings")
     images = emb.select((F.col("vec_id") % 7).alias("session_id"), F.when(F.col("label") % 2 == 0, "a").otherwise("b").alias("camera"),
                         (F.lit(1704067200000000000) + F.col("vec_id") * F.lit(HOUR)).alias("t_ns"), F.col("vec_id").alias("image_id"))
     turn = [1.0, 0, 0, 0, 0, 1.0, 0, 1.0, 0]
-    rows = [("a", 1, "pinhole", 8, 8, 4.0, 4.0, 4.0, 4.0, 0.1, 0.01, 0.0, 0.0, 0.0, *map(float, turn), -25.0, -5.0, 0.0),
-            ("b", 2, "fisheye", 8, 8, 4.0, 4.0, 4.0, 4.0, 0.1, 0.0, 0.0, 0.0, 0.0, *map(float, turn), -25.0, -5.0, 0.0)]
-    names = ("camera string, priority int, model string, width int, height int, fx double, fy double, cx double, cy double, "
+    rows = [("a", "rgb", 1, "pinhole", 8, 8, 4.0, 4.0, 4.0, 4.0, 0.1, 0.01, 0.0, 0.0, 0.0, *map(float, turn), -25.0, -5.0, 0.0),
+            ("b", "thermal", 2, "fisheye", 8, 8, 4.0, 4.0, 4.0, 4.0, 0.1, 0.0, 0.0, 0.0, 0.0, *map(float, turn), -25.0, -5.0, 0.0)]
+    names = ("camera string, kind string, priority int, model string, width int, height int, fx double, fy double, cx double, cy double, "
              + ", ".join(f"d{i} double" for i in range(5)) + ", " + ", ".join(f"r{i} double" for i in range(9)) + ", tx double, ty double, tz double")
-    cams = t.spark.createDataFrame(rows, names)
     pixels = t.pixels().select(F.col("frame_id").alias("image_id"), "row", "col", F.col("raw").alias("value"))
-    points = _scans(t).select(*S, "scan_ns", "point_id", "x", "y", "z")
-    out = P.colorize_points(points, images, pixels, cams, 6 * HOUR, S, part_rows=PARTS)
+    return _scans(t).select(*S, "scan_ns", "point_id", "x", "y", "z"), images, pixels, t.spark.createDataFrame(rows, names)
+
+
+@query(COLOR)
+def colorize_points(t: Tables):
+    """The pinhole camera wins over the fisheye."""
+    out = P.colorize_points(*_rig(t), 6 * HOUR, S, part_rows=PARTS)
     return out.select("point_id", "value", "priority", "has_color")
 
 
+@query(COLOR[:COLOR.index("SELECT sc.point_id, h.raw")] + """SELECT sc.point_id, max(raw) FILTER (priority = 1) AS rgb_value, max(raw) FILTER (priority = 2) AS thermal_value,
+  CASE WHEN count(*) FILTER (priority = 1) > 0 THEN 'a' END AS rgb_camera, count(*) FILTER (priority = 2) > 0 AS has_thermal, CAST(nullif(count(priority), 0) AS INTEGER) AS n_raw
+FROM sc LEFT JOIN hit USING (point_id) GROUP BY sc.point_id""")
+def point_attributes(t: Tables):
+    """Both kinds of camera per point, and the raw value of each."""
+    points, images, pixels, cams = _rig(t)
+    out = P.point_attributes(points, images, pixels.withColumn("twice", F.col("value") * 2), cams, 6 * HOUR, S, part_rows=PARTS)
+    return out.where((F.col("raw")["b"]["twice"] == F.col("thermal_twice")) | F.col("raw")["b"].isNull()).select(
+        "point_id", "rgb_value", "thermal_value", "rgb_camera", "has_thermal", F.when(F.col("raw").isNotNull(), F.size("raw")).alias("n_raw"))
+
+
 POLAR = with_tables("points") + """, c AS (SELECT scan_id, x - 25 AS x, y - 50 AS y, z FROM points),
 i AS (SELECT scan_id, z, CASE WHEN sqrt(x * x + y * y) < 40 THEN least(CAST(floor(sqrt(x * x + y * y) / 5) AS INTEGER), 7) END AS ring,
   least(CAST(floor((atan2(y, x) + pi()) / (2 * pi() / 12)) AS INTEGER), 11) AS sector FROM c),
