@@ -14,7 +14,7 @@ The first order column must be a BIGINT. Rows of a key that share its value stay
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from kerbline.session import settle
@@ -57,11 +57,13 @@ def _counts(df: DataFrame, by: list[str], order: list[str], part_rows: int) -> l
     bits = max((high - low) // (BINS_PER_PART * parts), 1).bit_length() if rows else 0
     levels = []
     while True:
-        counts = settle(seen.groupBy(*by, _bin(bits).alias(START)).agg(F.count(F.lit(1)).alias(N)))
+        most = Observation()
+        counts = seen.groupBy(*by, _bin(bits).alias(START)).agg(F.count(F.lit(1)).alias(N))
+        counts = settle(counts.observe(most, F.max(N).alias("n")))
         levels.append((bits, counts))
-        dense = counts.where(F.col(N) > part_rows)
-        if bits == 0 or dense.isEmpty():
+        if bits == 0 or (most.get["n"] or 0) <= part_rows:
             return levels
+        dense = counts.where(F.col(N) > part_rows)
         coarse = dense.select(*[F.col(c).alias(f"__d_{c}") for c in (*by, START)])
         here = [*[F.col(c) for c in by], _bin(bits)]
         seen = seen.join(coarse, _same(here, [F.col(f"__d_{c}") for c in (*by, START)]), "left_semi")

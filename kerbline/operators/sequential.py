@@ -167,11 +167,16 @@ def entry_states(narrow: DataFrame, by: list[str], order: list[str], step: Step,
     limit = 1 + max(1, segments - 1).bit_length() if rounds is None else rounds
     tables = settle(narrow.groupBy(SEG).applyInPandas(first, ran))
     part = [SEG, *by]
+    # a key inside one segment is entered with the empty state; only the others have anything to compose
+    within = tables.groupBy(*by).agg(F.count(F.lit(1)).alias("__parts")).where("__parts = 1").drop("__parts")
+    whole = match(tables, within, by, "left_semi").select(*part, ENTRY)
+    tables = settle(match(tables, within, by, "left_anti")) if segments > 1 else tables
     for number in range(1, limit + 1):
         chain = settle(tables.groupBy(*by).applyInPandas(compose, placed))
         asked = chain.where(~F.col(KNOWN))
         if asked.isEmpty():
-            return chain.where(MAIN).select(*part, ENTRY), number
+            known = chain.where(MAIN).select(*part, ENTRY)
+            return (known if segments == 1 else settle(known.unionByName(whole))), number
         rows = match(narrow, asked.select(*part).distinct(), part, "left_semi")
         fresh = rows.groupBy(SEG).cogroup(asked.groupBy(SEG)).applyInPandas(runner(number), ran)
         tables = tables.unionByName(settle(fresh))
@@ -180,7 +185,7 @@ def entry_states(narrow: DataFrame, by: list[str], order: list[str], step: Step,
     walked = _walk_on(narrow, chain, front, by, order, step, T.StructType(head))
     settled = match(chain.select(*part, ENTRY), front.select(*by), by, "left_anti") if by else chain.limit(0).select(*part, ENTRY)
     behind = match(chain.select(*part, ENTRY), front, by).where(F.col(SEG) < F.col("__from")).select(*part, ENTRY)
-    return settle(settled.unionByName(behind).unionByName(walked)), limit + 1
+    return settle(whole.unionByName(settled).unionByName(behind).unionByName(walked)), limit + 1
 
 
 def _walk_on(narrow: DataFrame, chain: DataFrame, front: DataFrame, by: list[str], order: list[str], step: Step,
@@ -211,10 +216,13 @@ def _walk_on(narrow: DataFrame, chain: DataFrame, front: DataFrame, by: list[str
 
 
 def run_sequential(df: DataFrame, by: list[str], order: list[str], step: Step,
-                   segment_rows: int = SEGMENT_ROWS, rounds: int | None = None) -> DataFrame:
-    """Apply ``step`` to each key in ``order``; rows it emits keep their columns and gain its outputs."""
+                   segment_rows: int = SEGMENT_ROWS, rounds: int | None = None, segments: int | None = None) -> DataFrame:
+    """Apply ``step`` to each key in ``order``; rows it emits keep their columns and gain its outputs.
+
+    There is one segment per ``segment_rows`` rows, or as many as ``segments`` says.
+    """
     columns = list(df.columns)
-    segments = max(1, -(-df.count() // segment_rows))
+    segments = segments or max(1, -(-df.count() // segment_rows))
     data = settle(df.repartitionByRange(segments, *by, *order).withColumn(SEG, F.spark_partition_id()))
     narrow = data.select(SEG, *dict.fromkeys([*by, *order, *step.inputs]))
     known, _ = entry_states(narrow, by, order, step, segments, rounds)

@@ -13,8 +13,8 @@ from kerbline.plans.bindings import DAY, HOUR, PARTS, Tables, with_tables
 from kerbline.plans.registry import query, r
 
 U = ["user_id"]
-#: Rows a segment: small, so that even the small tables are cut into ten segments or more.
-SEGMENT = 1_000
+#: Segments of the whole table: even small tables are cut, keys across them included.
+SEGMENTS = 12
 
 
 def _walk(tables: str, extra: str, first: str, then: str, final: str) -> str:
@@ -37,7 +37,7 @@ def _arrivals(t: Tables):
              "o.user_id, o.n, o.frame_id, CASE WHEN o.raw > s.out_ns THEN o.raw ELSE s.out_ns + 1000 END, NOT o.raw > s.out_ns",
              "SELECT frame_id, out_ns, corrected FROM seq"))
 def monotonic_guard(t: Tables):
-    out = run_sequential(_arrivals(t), U, ["frame_id"], T.monotonic_guard(1000), segment_rows=SEGMENT)
+    out = run_sequential(_arrivals(t), U, ["frame_id"], T.monotonic_guard(1000), segments=SEGMENTS)
     return out.select("frame_id", "out_ns", "corrected")
 
 
@@ -71,7 +71,7 @@ O_FIX = """o AS (SELECT *, status >= 2 AND var < 0.1 AS rtk, row_number() OVER (
     v <= 0.03 AS ok, sqrt((o.x - s.ax) ** 2 + (o.y - s.ay) ** 2) > CASE WHEN o.rtk THEN 100 ELSE 900 END AS m) z)"""))
 def gnss_track(t: Tables):
     fixes = is_rtk(valid_fix(t.fixes())).select("frame_id", *U, "t_ns", "lat", "lon", "x", "y", "is_rtk")
-    out = run_sequential(fixes, U, ["t_ns"], T.gnss_track(0.03, 100.0, 900.0), segment_rows=SEGMENT)
+    out = run_sequential(fixes, U, ["t_ns"], T.gnss_track(0.03, 100.0, 900.0), segments=SEGMENTS)
     return out.select("frame_id", r("speed_mps"), r("heading_deg", 5))
 
 
@@ -119,7 +119,7 @@ def heading_calibration(t: Tables):
     f = t.frames()
     rows = f.select("frame_id", *U, "t_ns", "heading_deg", (F.col("heading_deg") - F.col("value") / 20 - 60 * shift).alias("yaw_deg"),
                     (F.col("source") != "view").alias("from_dual"))
-    out = run_sequential(rows, U, ["t_ns"], T.heading_calibration(), segment_rows=SEGMENT)
+    out = run_sequential(rows, U, ["t_ns"], T.heading_calibration(), segments=SEGMENTS)
     return out.select("frame_id", r("offset_deg", 7), r("offset_std_deg", 3), "converged", "rejects", "action")
 
 
@@ -132,7 +132,7 @@ O_XY = "o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ns) A
              "SELECT frame_id FROM seq WHERE ok"))
 def trajectory_gate(t: Tables):
     f = t.frames().select("frame_id", *U, "t_ns", "x", "y")
-    return run_sequential(f, U, ["t_ns"], T.trajectory_gate(700.0), segment_rows=SEGMENT).select("frame_id")
+    return run_sequential(f, U, ["t_ns"], T.trajectory_gate(700.0), segments=SEGMENTS).select("frame_id")
 
 
 GATE = f"sqrt((o.x - s.x) ** 2 + (o.y - s.y) ** 2) >= o.sp AND o.t_ns - s.t_ns >= {6 * HOUR}"
@@ -144,7 +144,7 @@ GATE = f"sqrt((o.x - s.x) ** 2 + (o.y - s.y) ** 2) >= o.sp AND o.t_ns - s.t_ns >
              "SELECT frame_id FROM seq WHERE ok"))
 def keyframe_gate(t: Tables):
     f = t.frames().select("frame_id", *U, "t_ns", "x", "y", (keyframe_distance("value") * 100).alias("spacing_m"))
-    return run_sequential(f, U, ["t_ns"], T.keyframe_gate(6 * HOUR), segment_rows=SEGMENT).select("frame_id")
+    return run_sequential(f, U, ["t_ns"], T.keyframe_gate(6 * HOUR), segments=SEGMENTS).select("frame_id")
 
 
 O_Q = "o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t_ns) AS n FROM odom)"
@@ -157,7 +157,7 @@ GATE3 = "(sqrt((o.x - s.x) ** 2 + (o.y - s.y) ** 2) > 900 OR 2 * acos(least(1, a
 def keyframe_gate_turn(t: Tables):
     """T6 by distance or angle."""
     o = t.odometry().select("frame_id", *U, "t_ns", "x", "y", "z", "qx", "qy", "qz", "qw")
-    return run_sequential(o, U, ["t_ns"], T.keyframe_gate_3d(900.0, 2.5), segment_rows=SEGMENT).select("frame_id")
+    return run_sequential(o, U, ["t_ns"], T.keyframe_gate_3d(900.0, 2.5), segments=SEGMENTS).select("frame_id")
 
 
 @query(_walk("frames", O_XY, "user_id, n, frame_id, true AS ok, t_ns",
@@ -165,7 +165,7 @@ def keyframe_gate_turn(t: Tables):
              "SELECT frame_id FROM seq WHERE ok"))
 def throttle(t: Tables):
     f = t.frames().select("frame_id", *U, "t_ns")
-    return run_sequential(f, U, ["t_ns"], T.throttle(12 * HOUR), segment_rows=SEGMENT).select("frame_id")
+    return run_sequential(f, U, ["t_ns"], T.throttle(12 * HOUR), segments=SEGMENTS).select("frame_id")
 
 
 KEPT = f"list_filter(s.acts, lambda a: a >= o.t_ns - {3 * DAY})"
@@ -177,7 +177,7 @@ OKAY = f"len({KEPT}) < 3 AND (len({KEPT}) = 0 OR o.t_ns - {KEPT}[len({KEPT})] >=
              "SELECT frame_id, ok AS allowed FROM seq"))
 def limit_alerts(t: Tables):
     f = t.frames().select("frame_id", *U, "t_ns")
-    return run_sequential(f, U, ["t_ns"], T.limit_alerts(3, 3 * DAY, 8 * HOUR), segment_rows=SEGMENT).select("frame_id", "allowed")
+    return run_sequential(f, U, ["t_ns"], T.limit_alerts(3, 3 * DAY, 8 * HOUR), segments=SEGMENTS).select("frame_id", "allowed")
 
 
 @query(_walk("frames", O_XY, "user_id, n, frame_id, CASE WHEN source = 'error' THEN heading_deg END AS held, source = 'error' AS fresh",
