@@ -145,6 +145,22 @@ def tile_of(x, y, tile_m) -> tuple[Column, Column]:
     return F.floor(as_col(x) / tile_m), F.floor(as_col(y) / tile_m)
 
 
+#: Shifts and masks that put a zero between the bits of a 32-bit number (fixed values).
+SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def morton(cx, cy) -> Column:
+    """Place of a cell on a space-filling curve: the bits of both numbers in turn, each within 2**30 of zero."""
+
+    def spread(cell) -> Column:
+        v = (as_col(cell) + (1 << 30)).cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
+        for shift, mask in SPREAD:
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return spread(cx).bitwiseOR(F.shiftleft(spread(cy), 1))
+
+
 def ring_of(x, y, max_radius: float, rings: int) -> Column:
     """Ring number by planar range; null outside the radius."""
     x, y = as_col(x), as_col(y)

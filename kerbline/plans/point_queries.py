@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from kerbline.operators import ground as G
@@ -9,6 +11,7 @@ from kerbline.operators import place as D
 from kerbline.operators import points as P
 from kerbline.plans.bindings import DAY, HOUR, NS, PARTS, YEAR, Tables, with_tables
 from kerbline.plans.registry import query, r
+from kerbline.session import ensure_checkpoint_dir
 from kerbline.sinks import writers as K
 
 S = ["session_id"]
@@ -134,6 +137,17 @@ def point_tiles(t: Tables):
     return P.with_tile(t.points(), 10.0).groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(with_tables("points") + """SELECT CAST(floor(x / 10) AS BIGINT) AS tx, CAST(floor(y / 10) AS BIGINT) AS ty, count(*) AS n, round(sum(z), 4) AS z_sum, min(point_id) AS first_id
+FROM points WHERE x BETWEEN 10 AND 30 AND y BETWEEN 20 AND 60 GROUP BY 1, 2""")
+def point_map(t: Tables):
+    """K7: all points written along the curve; a box of them read back."""
+    ensure_checkpoint_dir(t.spark)
+    path = f"{t.spark.sparkContext.getCheckpointDir().rstrip('/')}/points-{uuid.uuid4().hex}"
+    K.write_point_map(t.points().select("point_id", "x", "y", "z"), path, 1.0, 10_000)
+    box = K.read_point_box(t.spark, path, 10.0, 20.0, 30.0, 60.0)
+    return P.with_tile(box, 10.0).groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n"), r(F.sum("z"), 4, "z_sum"), F.min("point_id").alias("first_id"))
+
+
 @query()
 def sample_export(t: Tables):
     """K9: the sample follows a Spark hash, so there is no SQL twin; tests check share and repeatability."""

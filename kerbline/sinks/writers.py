@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbline.functions.labels import morton, tile_of
 from kerbline.operators.fleet import merge_progress
 from kerbline.operators.points import with_tile
 from kerbline.operators.quality import audit_summary
@@ -73,6 +74,26 @@ def write_point_tiles(points: DataFrame, path: str, tile_m: float, max_rows: int
     )
 
 
+def write_point_map(points: DataFrame, path: str, cell_m: float, max_rows: int = 5_000_000, group_bytes: int = 16 << 20) -> None:
+    """K7 for large areas: one table of points along a space-filling curve of cells.
+
+    Rows are dealt to tasks by ranges of (curve, x, y), about ``max_rows`` each, so a cell with
+    half of all points is many files and a million empty cells cost nothing. Neighbours lie
+    together, so the least and greatest coordinates that Parquet keeps of each row group are
+    close, and :func:`read_point_box` skips all groups outside its box.
+    """
+    rows = points.withColumn("__z", morton(*tile_of("x", "y", cell_m)))
+    parts = max(1, -(-points.count() // max_rows))
+    spread = rows.repartitionByRange(parts, "__z", "x", "y").sortWithinPartitions("__z", "x", "y").drop("__z")
+    spread.write.mode("overwrite").option("maxRecordsPerFile", max_rows).option("parquet.block.size", group_bytes).parquet(path)
+
+
+def read_point_box(spark: SparkSession, path: str, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
+    """The points of :func:`write_point_map` inside a box; the box reaches the file scan."""
+    rows = spark.read.parquet(path)
+    return rows.where(F.col("x").between(xmin, xmax) & F.col("y").between(ymin, ymax))
+
+
 def sample_export(points: DataFrame, share: float, id_cols: list[str], seed: int = 0) -> DataFrame:
     """K9: a repeatable sample by hash; the same rows on every run and cluster."""
     spot = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in id_cols]), F.lit(SAMPLE_SPACE))

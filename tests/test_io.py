@@ -3,6 +3,7 @@
 import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,24 @@ def test_property_table_takes_whole_rows(spark):
     bldg = spark.createDataFrame([("o1", 5.0, "x"), ("o1", 4.0, "y"), ("o2", 1.0, "z")], "osid string, height double, age string")
     got = {r.uprn: (r.fulladdress, r.postcode, r.osid, r.height, r.age) for r in readers.build_property_table(places, addr, xref, bldg).collect()}
     assert got == {1: ("b road", "A", "o1", 4.0, "y"), 2: (None, None, None, None, None)}
+
+
+def test_point_map_skips_row_groups(spark, tmp_path):
+    """Half of the points lie in one cell; a box elsewhere reads few row groups."""
+    spread = spark.range(60_000).selectExpr("id", "rand(1) * 1000 - 500 AS x", "rand(2) * 1000 - 500 AS y")
+    dense = spark.range(60_000, 120_000).selectExpr("id", "rand(3) AS x", "rand(4) AS y")
+    path = str(tmp_path / "map")
+    points = spread.union(dense)
+    writers.write_point_map(points, path, 10.0, max_rows=2_000, group_bytes=1 << 14)
+    groups, inside = 0, 0
+    for file in (tmp_path / "map").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        assert meta.num_rows <= 2_000
+        for g in range(meta.num_row_groups):
+            x, y = (next(meta.row_group(g).column(c).statistics for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema == n) for n in "xy")
+            groups += 1
+            inside += x.max >= 100 and x.min <= 150 and y.max >= -300 and y.min <= -250
+    assert groups >= 60 and inside < 0.1 * groups
+    box = writers.read_point_box(spark, path, 100.0, -300.0, 150.0, -250.0)
+    assert "PushedFilters: [IsNotNull(x)" in box._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in box.collect()) == sorted(r.id for r in points.where("x between 100 and 150 and y between -300 and -250").collect())
