@@ -97,6 +97,43 @@ def gnss_track(max_speed: float = 30.0, rtk_move_m: float = 0.5, plain_move_m: f
     return Step(("t_ns", "lat", "lon", "x", "y", "is_rtk"), "speed_mps double, heading_deg double", advance)
 
 
+def datum_heading(park_m: float = 2.0, datum_m: float = 2.0, rtk_move_m: float = 0.5, plain_move_m: float = 10.0) -> Step:
+    """Headings for the calibration, the better ones from a place where the vehicle stood.
+
+    A survey-grade fix within ``park_m`` of the last place on the way is kept as a datum. The
+    next heading from such fixes is taken over the distance from the datum when that is more
+    than ``datum_m``, which uses the datum up; otherwise, as for plain fixes, over the movement
+    since the last heading. Rows with a heading are emitted.
+    """
+
+    def away(x, y, place) -> float:
+        return math.hypot(x - place[0], y - place[1])
+
+    def towards(x, y, place) -> float:
+        return math.degrees(math.atan2(x - place[0], y - place[1])) % 360
+
+    def advance(state, row):
+        _, x, y, rtk = row
+        here = [x, y]
+        way, datum, sure, last = state or [here, False, None, None]
+        moving = away(x, y, way) > park_m
+        if rtk and not moving:
+            datum, sure = True, here
+        found = None
+        if last is None:
+            last = here
+        elif away(x, y, last) > (rtk_move_m if rtk else plain_move_m):
+            found = (towards(x, y, last), "movement")
+            last = here
+            if rtk:
+                if datum and away(x, y, sure) > datum_m:
+                    found, datum = (towards(x, y, sure), "datum"), False
+                sure = here
+        return [here if moving else way, datum, sure, last], found
+
+    return Step(("t_ns", "x", "y", "is_rtk"), "heading_deg double, heading_from string", advance)
+
+
 def circular_mean_std(angles: list[float]) -> tuple[float, float]:
     n = len(angles)
     s = sum(math.sin(math.radians(a)) for a in angles) / n

@@ -75,6 +75,27 @@ def gnss_track(t: Tables):
     return out.select("frame_id", r("speed_mps"), r("heading_deg", 5))
 
 
+def _toward(x: str, y: str) -> str:
+    turn = f"degrees(atan2(o.x - {x}, o.y - {y}))"
+    return f"{turn} - 360 * floor({turn} / 360)"
+
+
+@query(_walk("fixes", O_FIX, "user_id, n, frame_id, x AS wx, y AS wy, rtk AS dat, CASE WHEN rtk THEN x END AS rx, CASE WHEN rtk THEN y END AS ry, x AS px, y AS py, NULL::DOUBLE AS hd, NULL::VARCHAR AS src",
+             f"""o.user_id, o.n, o.frame_id, CASE WHEN a.mv THEN o.x ELSE s.wx END, CASE WHEN a.mv THEN o.y ELSE s.wy END, b.dat AND NOT c.used,
+  CASE WHEN a.far AND o.rtk THEN o.x ELSE b.rx END, CASE WHEN a.far AND o.rtk THEN o.y ELSE b.ry END, CASE WHEN a.far THEN o.x ELSE s.px END, CASE WHEN a.far THEN o.y ELSE s.py END,
+  CASE WHEN c.used THEN {_toward("b.rx", "b.ry")} WHEN a.far THEN {_toward("s.px", "s.py")} END, CASE WHEN c.used THEN 'datum' WHEN a.far THEN 'movement' END""",
+             "SELECT frame_id, round(hd, 5) AS heading_deg, src AS heading_from FROM seq WHERE hd IS NOT NULL").replace(
+    "JOIN o ON o.user_id = s.user_id AND o.n = s.n + 1)", """JOIN o ON o.user_id = s.user_id AND o.n = s.n + 1,
+  LATERAL (SELECT sqrt((o.x - s.wx) ** 2 + (o.y - s.wy) ** 2) > 600 AS mv, sqrt((o.x - s.px) ** 2 + (o.y - s.py) ** 2) > CASE WHEN o.rtk THEN 100 ELSE 900 END AS far) a,
+  LATERAL (SELECT o.rtk AND NOT a.mv OR s.dat AS dat, CASE WHEN o.rtk AND NOT a.mv THEN o.x ELSE s.rx END AS rx, CASE WHEN o.rtk AND NOT a.mv THEN o.y ELSE s.ry END AS ry) b,
+  LATERAL (SELECT coalesce(a.far AND o.rtk AND b.dat AND sqrt((o.x - b.rx) ** 2 + (o.y - b.ry) ** 2) > 300, false) AS used) c)"""))
+def datum_heading(t: Tables):
+    """Headings by movement and from places where the vehicle stood."""
+    fixes = is_rtk(valid_fix(t.fixes())).select("frame_id", *U, "t_ns", "x", "y", "is_rtk")
+    out = run_sequential(fixes, U, ["t_ns"], T.datum_heading(600.0, 300.0, 100.0, 900.0), segments=SEGMENTS)
+    return out.select("frame_id", r("heading_deg", 5), "heading_from")
+
+
 def _circ(buf: str) -> tuple[str, str]:
     """SQL for the circular mean and deviation of a list of degrees."""
     s = f"list_aggregate(list_transform({buf}, lambda v: sin(radians(v))), 'sum') / len({buf})"
