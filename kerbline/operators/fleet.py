@@ -14,7 +14,7 @@ NS = 1_000_000_000
 LOG_NOISE = (
     r"(?i)type hash|USER_DATA|sequence size|Failed to parse|Could not set gain|enumentr|"
     r"error_handling\.c|rcutils_reset_error|This error state is being overwritten|"
-    r"with this new error message|drop\s+0%|Failed to load schemaDefinition"
+    r"with this new error message|drop\s+0%|Failed to load schemaDefinition for topic \"/rtcm\""
 )
 LOG_ERRORS = r"(?i)error|fatal|\bfail|drop\s+[1-9]|incomplete|disconnect|\btimeout|segfault|abort"
 # File ending -> (path template part, content type).

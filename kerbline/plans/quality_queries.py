@@ -360,7 +360,7 @@ def union_cameras(t: Tables):
 
 
 LOGLINE = "CASE WHEN doc_id % 4 = 0 THEN 'drop   0% ' WHEN doc_id % 4 = 1 THEN 'drop 7% ' WHEN doc_id % 4 = 2 THEN 'ERROR ' ELSE '' END || text"
-NOISE_SQL = "(?i)type hash|USER_DATA|sequence size|Failed to parse|Could not set gain|enumentr|error_handling\\.c|rcutils_reset_error|This error state is being overwritten|with this new error message|drop\\s+0%|Failed to load schemaDefinition"
+NOISE_SQL = "(?i)type hash|USER_DATA|sequence size|Failed to parse|Could not set gain|enumentr|error_handling\\.c|rcutils_reset_error|This error state is being overwritten|with this new error message|drop\\s+0%|Failed to load schemaDefinition for topic \"/rtcm\""
 
 
 @query(f"""WITH lines AS (SELECT doc_id, source, {LOGLINE} AS line FROM documents),
