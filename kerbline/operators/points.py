@@ -374,6 +374,10 @@ def colorize_points(points: DataFrame, images: DataFrame, pixels: DataFrame, cam
     return points.join(best, point_id, "left").withColumn("has_color", F.col("value").isNotNull())
 
 
+def _of_kind(kind: str):
+    return lambda sight: sight["kind"] == kind
+
+
 def point_attributes(points: DataFrame, images: DataFrame, pixels: DataFrame, cameras: DataFrame, tol_ns: int, by: list[str],
                      kinds: tuple[str, ...] = ("rgb", "thermal"), point_id: str = "point_id", part_rows: int = PART_ROWS) -> DataFrame:
     """All that the cameras tell of each point, each kind of camera for itself.
@@ -381,15 +385,19 @@ def point_attributes(points: DataFrame, images: DataFrame, pixels: DataFrame, ca
     ``cameras`` also has ``kind`` and ``priority``. Per kind the pixel columns of the first
     camera that sees the point, as ``<kind>_<column>``, with ``<kind>_camera`` and
     ``has_<kind>``; beside them ``raw``, a map from every camera that sees the point to a struct
-    of its pixel columns, as large as the rig. Points that no camera sees keep nulls.
+    of its pixel columns, as large as the rig. Points that no camera sees keep nulls; of several
+    sightings of a repeated point by one camera the one with the least values counts.
     """
     values = [c for c in pixels.columns if c not in ("image_id", "row", "col")]
     seen = seen_pixels(points, images, pixels, cameras, tol_ns, by, point_id, part_rows)
-    picks = []
+    each = F.struct("kind", "priority", "camera", F.struct(*values).alias("v"))
+    told = seen.groupBy(point_id).agg(F.array_sort(F.collect_set(each)).alias("__seen"))
+    told = told.withColumn("__raw", F.array_sort(F.transform("__seen", lambda s: F.struct(s["camera"].alias("camera"), s["v"].alias("v")))))
+    first = F.filter("__raw", lambda s, i: (i == 0) | (F.get(F.col("__raw"), i - 1)["camera"] != s["camera"]))
+    told = told.withColumn("raw", F.map_from_entries(first))
     for kind in kinds:
-        rank = F.when(F.col("kind") == kind, F.col("priority"))
-        picks += [F.min_by(c, rank).alias(f"{kind}_{c}") for c in (*values, "camera")]
-    raw = F.map_from_entries(F.array_sort(F.collect_list(F.struct("camera", F.struct(*values).alias("v"))))).alias("raw")
-    told = seen.groupBy(point_id).agg(*picks, raw)
+        told = told.withColumn("__best", F.get(F.filter("__seen", _of_kind(kind)), F.lit(0)))
+        told = told.withColumns({f"{kind}_{c}": F.col("__best")["v"][c] for c in values} | {f"{kind}_camera": F.col("__best")["camera"]})
+    told = told.drop("__seen", "__raw", "__best")
     rows = points.join(told, point_id, "left")
     return rows.withColumns({f"has_{kind}": F.col(f"{kind}_camera").isNotNull() for kind in kinds})

@@ -229,9 +229,9 @@ def colorize_points(t: Tables):
     return out.select("point_id", "value", "priority", "has_color")
 
 
-@query(COLOR[:COLOR.index("SELECT sc.point_id, h.raw")] + """SELECT sc.point_id, max(raw) FILTER (priority = 1) AS rgb_value, max(raw) FILTER (priority = 2) AS thermal_value,
-  CASE WHEN count(*) FILTER (priority = 1) > 0 THEN 'a' END AS rgb_camera, count(*) FILTER (priority = 2) > 0 AS has_thermal, CAST(nullif(count(priority), 0) AS INTEGER) AS n_raw
-FROM sc LEFT JOIN hit USING (point_id) GROUP BY sc.point_id""")
+@query(COLOR[:COLOR.index("SELECT sc.point_id, h.raw")] + """SELECT sc.point_id, rgb_value, thermal_value, CASE WHEN rgb_value IS NOT NULL THEN 'a' END AS rgb_camera, thermal_value IS NOT NULL AS has_thermal, n_raw
+FROM sc LEFT JOIN (SELECT point_id, min(raw) FILTER (priority = 1) AS rgb_value, min(raw) FILTER (priority = 2) AS thermal_value, CAST(count(DISTINCT priority) AS INTEGER) AS n_raw
+  FROM hit GROUP BY point_id) h USING (point_id)""")
 def point_attributes(t: Tables):
     """Both kinds of camera per point, and the raw value of each."""
     points, images, pixels, cams = _rig(t)

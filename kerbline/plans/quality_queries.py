@@ -461,12 +461,12 @@ def card_round_trip(t: Tables):
 
 @query(STEPS + """, a AS (SELECT session_id, source, t_ns, x, y, vx, lag(x) OVER w AS px, lag(y) OVER w AS py FROM odom WINDOW w AS (PARTITION BY session_id, source ORDER BY t_ns)),
 m AS (SELECT session_id * 5 + CASE source WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END AS idx,
-  coalesce(sum(sqrt((x - px) ** 2 + (y - py) ** 2)), 0) >= 150000 AND max(vx) >= 20 AS moving FROM a GROUP BY session_id, source),
+  coalesce(sum(sqrt((x - px) ** 2 + (y - py) ** 2)), 0) >= 1000 AND max(vx) >= 25 AS moving FROM a GROUP BY session_id, source),
 g AS (SELECT idx, idx - row_number() OVER (ORDER BY idx) AS k FROM m WHERE moving)
 SELECT min(idx) AS start, max(idx) AS "end", count(*) AS n, (SELECT count(*) FROM m) AS total_bags, (SELECT count(*) FROM m WHERE moving) AS moving_bags FROM g GROUP BY k""")
 def audit_ranges(t: Tables):
     """K6: the moving ranges of the motion audit with its totals."""
-    a = Q.is_moving(Q.motion_audit_odom(t.odometry(), ["session_id", "source"], T, part_rows=PARTS), 150000.0, 20.0)
+    a = Q.is_moving(Q.motion_audit_odom(t.odometry(), ["session_id", "source"], T, part_rows=PARTS), 1000.0, 25.0)
     rank = F.array_position(F.array(*[F.lit(s) for s in ("click", "error", "purchase", "signup", "view")]), F.col("source")) - 1
-    totals, ranges = Q.audit_summary(a.select((F.col("session_id") * 5 + rank).alias("idx"), "moving"), "idx", "moving", 150000.0, 20.0, PARTS)
+    totals, ranges = Q.audit_summary(a.select((F.col("session_id") * 5 + rank).alias("idx"), "moving"), "idx", "moving", 1000.0, 25.0, PARTS)
     return ranges.crossJoin(F.broadcast(totals.drop("thresholds")))  # one row of totals
